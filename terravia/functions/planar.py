@@ -107,14 +107,77 @@ def segment_box(seg):
     return (F.least(x1, x2), F.least(y1, y2), F.greatest(x1, x2), F.greatest(y1, y2))
 
 
+def _corner_array(box) -> Column:
+    return F.array(*[F.struct(cx.alias("x"), cy.alias("y")) for cx, cy in corners(box)])
+
+
 def box_meets_segment(box, seg) -> Column:
     """Bounding boxes meet and the corners do not all lie strictly on one side of the line."""
-    sides = [side(cx, cy, *seg) for cx, cy in corners(box)]
-    return boxes_meet(box, segment_box(seg)) & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+    around = _corner_array(box)
+    return (
+        boxes_meet(box, segment_box(seg))
+        & F.exists(around, lambda c: side(c["x"], c["y"], *seg) <= 0)
+        & F.exists(around, lambda c: side(c["x"], c["y"], *seg) >= 0)
+    )
+
+
+def _foot(c, seg):
+    """Of a corner: does it project onto the segment, its squared offset times the squared length,
+    and that length. A corner that projects elsewhere is nearest to an end of the segment."""
+    x1, y1, x2, y2 = seg
+    dx, dy = x2 - x1, y2 - y1
+    length2 = dx * dx + dy * dy
+    along = (c["x"] - x1) * dx + (c["y"] - y1) * dy
+    off = side(c["x"], c["y"], *seg)
+    return (length2 > 0) & (along >= 0) & (along <= length2), off * off, length2
 
 
 def box_segment_d2(box, seg) -> Column:
+    """0 when they meet; else from an end to the box, or from a corner square onto the segment."""
+    x1, y1, x2, y2 = seg
+
+    def corner_d2(c):
+        lands, scaled, length2 = _foot(c, seg)
+        return F.when(lands, scaled / length2)
+
+    least = F.least(
+        box_box_d2((x1, y1, x1, y1), box),
+        box_box_d2((x2, y2, x2, y2), box),
+        F.array_min(F.transform(_corner_array(box), corner_d2)),
+    )
+    return F.when(box_meets_segment(box, seg), _zero()).otherwise(least)
+
+
+def box_within_segment(box, seg, radius: float) -> Column:
+    """Is the box at most ``radius`` from the segment? Same cases as ``box_segment_d2``, without
+    division and cut short at the first that holds.
+
+    The corners are an array, not four copies of the formula: in a join condition those would make
+    the generated loop too long for the JVM to compile.
+    """
     x1, y1, x2, y2 = seg
-    ends = [box_box_d2((x1, y1, x1, y1), box), box_box_d2((x2, y2, x2, y2), box)]
-    corner = [point_segment_d2(cx, cy, *seg) for cx, cy in corners(box)]
-    return F.when(box_meets_segment(box, seg), _zero()).otherwise(F.least(*ends, *corner))
+    r2 = F.lit(float(radius) * float(radius))
+
+    def corner_near(c):
+        lands, scaled, length2 = _foot(c, seg)
+        return lands & (scaled <= r2 * length2)
+
+    return (
+        (box_box_d2((x1, y1, x1, y1), box) <= r2)
+        | (box_box_d2((x2, y2, x2, y2), box) <= r2)
+        | F.exists(_corner_array(box), corner_near)
+        | box_meets_segment(box, seg)
+    )
+
+
+def segment_within_segment(a, b, radius: float) -> Column:
+    """Are two segments at most ``radius`` apart?"""
+    r2 = F.lit(float(radius) * float(radius))
+    names = ("px", "py", "x1", "y1", "x2", "y2")
+    ends = F.array(
+        *[
+            F.struct(*[c.alias(n) for n, c in zip(names, (*point, *other))])
+            for point, other in ((a[:2], b), (a[2:], b), (b[:2], a), (b[2:], a))
+        ]
+    )
+    return F.exists(ends, lambda e: point_segment_d2(*[e[n] for n in names]) <= r2) | segments_meet(a, b)

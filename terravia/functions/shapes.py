@@ -152,3 +152,16 @@ def distance2_to_xy(a: Shape, px: Column, py: Column) -> Column:
     if isinstance(a, Box):
         return F.when(a.present(), planar.box_box_d2(a.box(), (px, py, px, py)))
     return G.st_distance2(a.geom(), G.make_point(px, py))
+
+
+def within(a: Shape, b: Shape, radius: float) -> Column:
+    """Are two shapes in one row at most ``radius`` apart? NULL when either is missing."""
+    if isinstance(a, Box) and isinstance(b, Segment):
+        return F.when(a.present() & b.present(), planar.box_within_segment(a.box(), b.ends(), radius))
+    if isinstance(a, Segment) and isinstance(b, Box):
+        return within(b, a, radius)
+    if isinstance(a, Segment) and isinstance(b, Segment):
+        return F.when(
+            a.present() & b.present(), planar.segment_within_segment(a.ends(), b.ends(), radius)
+        )
+    return distance2(a, b) <= float(radius) * float(radius)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from terravia.errors import LayerError
 from terravia.functions import planar
 from terravia.functions.shapes import Point, Segment, Shape
+from terravia.session import use_all_cores
 
 MAX_CROWDED = 1024
 CELL_WORK = 20_000_000  # candidate pairs one task may take on before its cell is split
@@ -161,7 +162,7 @@ def grid_candidates(
         raise LayerError(f"rename columns that both sides have: {same}")
     if cell <= 0:
         raise LayerError("the cell size must be positive")
-    listed_left = list_cells(left, left_shape, cell)
+    listed_left = list_cells(use_all_cores(left), left_shape, cell)
     listed_right = list_cells(right, right_shape, cell, radius)
     crowded = Crowded(None)
     if balance:

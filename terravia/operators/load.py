@@ -15,6 +15,7 @@ from terravia.functions import crs
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 512
+DECLARED_LENGTH = "__CHAR_VARCHAR_TYPE_STRING"  # fixed value: Spark's own metadata key
 
 
 def lowercase_fields(df: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def lowercase_fields(df: DataFrame) -> DataFrame:
 
 def _char_fields(schema: T.StructType):
     for field in schema:
-        declared = field.metadata.get("__CHAR_VARCHAR_TYPE_STRING", "")
+        declared = field.metadata.get(DECLARED_LENGTH)
         if isinstance(field.dataType, (T.VarcharType, T.CharType)) or declared:
             yield field.name
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terravia.errors import LayerError
+from terravia.functions import geom as G
 from terravia.functions import shapes as S
 from terravia.operators.grid import choose_cell, grid_candidates, needs_distinct
 
@@ -48,10 +50,82 @@ def within_distance_join(
     **options,
 ) -> DataFrame:
     """One row per pair at most ``radius`` apart."""
-    near = S.distance2(left_shape, right_shape) <= float(radius) * float(radius)
+    near = S.within(left_shape, right_shape, radius)
     return grid_join(left, left_shape, right, right_shape, near, cell, radius, **options)
 
 
+def _edges_of(df: DataFrame, key: str, shape: S.Shape, tag: str) -> tuple[DataFrame, S.Segment]:
+    """One row per straight edge of every geometry: key and four tagged columns."""
+    named = S.Segment(*[tag + c for c in ("x1", "y1", "x2", "y2")])
+    present = df.where(shape.present())
+    if isinstance(shape, S.Segment):
+        return present.select(key, *[F.col(c).alias(n) for c, n in zip(shape.columns, named.columns)]), named
+    listed = present.select(key, F.explode(G.edges(shape.geom())).alias("_e"))
+    return listed.select(key, *[F.col("_e")[c].alias(n) for c, n in zip(("x1", "y1", "x2", "y2"), named.columns)]), named
+
+
+def _starts_of(df: DataFrame, key: str, shape: S.Shape, tag: str) -> tuple[DataFrame, S.Point]:
+    """The first vertex of every part."""
+    named = S.Point(tag + "px", tag + "py")
+    present = df.where(shape.present())
+    if isinstance(shape, S.Segment):
+        return present.select(key, F.col(shape.x1).alias(named.x), F.col(shape.y1).alias(named.y)), named
+    first = F.transform(shape.geom()["parts"], lambda p: F.get(p["pts"], F.lit(0)))
+    listed = present.select(key, F.explode(first).alias("_p"))
+    return listed.select(key, F.col("_p.x").alias(named.x), F.col("_p.y").alias(named.y)), named
+
+
+def _holding(areas: DataFrame, area_key: str, area: S.Shape, others: DataFrame, key: str, shape: S.Shape, cell, options):
+    """Pairs in which an area holds the first vertex of a part of the other geometry.
+
+    Keys and boxes find the candidates; the polygon itself joins only them.
+    """
+    polygons = areas.where(area.present()).select(area_key, area.geom().alias("_polygon"))
+    polygons = polygons.where(G.is_area(F.col("_polygon")))
+    box = S.Box("_bx0", "_by0", "_bx1", "_by1")
+    boxes = polygons.select(area_key, *[b.alias(n) for b, n in zip(G.bounds(F.col("_polygon")), box.columns)])
+    starts, point = _starts_of(others, key, shape, "_s")
+    found = grid_candidates(starts, point, boxes, box, cell, **options).select(area_key, key, point.x, point.y)
+    held = found.join(polygons, area_key).where(
+        G.inside(F.col(point.x), F.col(point.y), G.edges(F.col("_polygon")))
+    )
+    return held.select(area_key, key)
+
+
+def geometry_pairs(
+    left: DataFrame,
+    left_key: str,
+    left_shape: S.Shape,
+    right: DataFrame,
+    right_key: str,
+    right_shape: S.Shape,
+    radius: float = 0.0,
+    cell: float | None = None,
+    **options,
+) -> DataFrame:
+    """Distinct ``(left_key, right_key)`` of geometries at most ``radius`` apart, of any kind.
+
+    Two geometries are near when two of their edges are, or when an area holds the other one. Edges
+    join edges on the grid as plain columns, so a geometry with many vertices is spread over many
+    rows and no row compares all edges of one geometry with all of another.
+    """
+    if left_key == right_key:
+        raise LayerError(f"both sides use the key {left_key!r}: rename one")
+    a, a_shape = _edges_of(left, left_key, left_shape, "_a")
+    b, b_shape = _edges_of(right, right_key, right_shape, "_b")
+    cell = cell or choose_cell(b, b_shape, radius)
+    test = S.within(a_shape, b_shape, radius) if radius else S.intersects(a_shape, b_shape)
+    edge_pairs = grid_candidates(a, a_shape, b, b_shape, cell, radius, **options).where(test)
+    found = edge_pairs.select(left_key, right_key)
+    if isinstance(left_shape, (S.Geom, S.Box)):
+        held = _holding(left, left_key, left_shape, right, right_key, right_shape, cell, options)
+        found = found.unionByName(held)
+    if isinstance(right_shape, (S.Geom, S.Box)):
+        held = _holding(right, right_key, right_shape, left, left_key, left_shape, cell, options)
+        found = found.unionByName(held.select(left_key, right_key))
+    return found.distinct()
+
+
 def buffer_intersects_join(
     left: DataFrame,
     left_shape: S.Shape,
@@ -68,10 +142,12 @@ def buffer_intersects_join(
     The buffer is a predicate: the exact distance to some part of the route is at most ``radius``.
     Only the key and the geometry travel through the join; pairs are combined before the shuffle.
     """
-    cell = cell or choose_cell(parts, part_shape, radius)
     a = left.select(key, *left_shape.columns)
     b = parts.select(route, *part_shape.columns)
-    near = S.distance2(left_shape, part_shape) <= float(radius) * float(radius)
+    if isinstance(left_shape, S.Geom) or isinstance(part_shape, S.Geom):
+        return geometry_pairs(a, key, left_shape, b, route, part_shape, radius, cell, **options)
+    cell = cell or choose_cell(parts, part_shape, radius)
+    near = S.within(left_shape, part_shape, radius)
     pairs = grid_candidates(a, left_shape, b, part_shape, cell, radius, **options).where(near)
     return pairs.select(key, route).distinct()
 

@@ -97,11 +97,14 @@ def lowercase_fields(spark, sf):
 
 @query("drop_string_length", "select c_custkey, c_name, c_mktsegment from customer")
 def drop_string_length(spark, sf):
-    limited = spark.read.schema("c_custkey bigint, c_name varchar(40), c_mktsegment char(10)").parquet(
-        f"{sf}/customer.parquet"
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    # the field metadata under which Spark keeps the declared length of a table column
+    limited = customer.withMetadata("c_name", {load.DECLARED_LENGTH: "varchar(40)"}).withMetadata(
+        "c_mktsegment", {load.DECLARED_LENGTH: "varchar(10)"}
     )
     plain = load.drop_string_length(limited)
-    return plain.withColumn("c_mktsegment", F.rtrim("c_mktsegment"))
+    assert not any(f.metadata for f in plain.schema)
+    return plain
 
 
 @query("geometryless_import", "select s_suppkey, s_name from supplier")

@@ -129,11 +129,21 @@ def intersects_join_parcel(spark, sf):
     select id, seg_id from rect, segment where {sql.box_meets_segment()}""",
 )
 def st_intersects(spark, sf):
-    """Polygons and lines as general geometries: exact edge and containment tests."""
+    """Polygons and lines as general geometries: edges on the grid, then containment."""
     rect = view(spark, sf, "rect").select("id", S.Box().geom().alias("geom"))
     line = view(spark, sf, "segment").select("seg_id", S.Segment().geom().alias("line"))
-    pairs = spatial.intersects_join(rect, S.Geom(), line, S.Geom("line"), CELL)
-    return pairs.select("id", "seg_id")
+    return spatial.geometry_pairs(rect, "id", S.Geom(), line, "seg_id", S.Geom("line"), cell=CELL)
+
+
+@query(
+    "st_intersects_row",
+    with_views("parcel", "segment") + f"""
+    select id, {sql.box_meets_segment()} as meets from parcel join segment on id = seg_id""",
+)
+def st_intersects_row(spark, sf):
+    """The predicate on geometries that are already in one row."""
+    pairs = view(spark, sf, "parcel").join(view(spark, sf, "segment"), F.col("id") == F.col("seg_id"))
+    return pairs.select("id", G.st_intersects(S.Box().geom(), S.Segment().geom()).alias("meets"))
 
 
 def _buffer_sql(radius, views, key, d2, near, only_managed=True):
@@ -166,6 +176,18 @@ def buffer_intersects_join_point(spark, sf):
     )
 
 
+@query(
+    "buffer_intersects_join_polygon",
+    _buffer_sql(50, ("rect", "segment"), "id", sql.box_segment(), sql.box_near_segment(50)),
+)
+def buffer_intersects_join_polygon(spark, sf):
+    """Polygons as general geometries by the buffers of routes that are general lines."""
+    rect = view(spark, sf, "rect").select("id", S.Box().geom().alias("geom"))
+    managed = view(spark, sf, "segment").where("gestionnaire = 'DIRNO'")
+    routes = managed.select("lib_rte", S.Segment().geom().alias("line"))
+    return spatial.buffer_intersects_join(rect, S.Geom(), "id", routes, S.Geom("line"), "lib_rte", 50.0, CELL)
+
+
 @query(
     "touch_flag",
     with_views("rect", "segment") + f""", hit as (

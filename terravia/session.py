@@ -15,6 +15,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf) -
         SparkSession.builder.master(f"local[{cores}]")
         .appName("terravia")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TERRAVIA_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
@@ -52,3 +53,13 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def use_all_cores(df: DataFrame) -> DataFrame:
+    """Spread an input that has fewer partitions than half the cores, as one small file does.
+
+    Meant for work that multiplies rows without a shuffle before it. An input of many files, the
+    normal case at scale, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df

@@ -81,21 +81,20 @@ def read_geojson(
     ``lines=True`` reads one feature per line and splits large files; a FeatureCollection is one
     JSON document, so each file is one task. ``properties`` is the DDL schema of the attributes.
     """
-    feature = f"struct<type:string,geometry:struct<type:string,coordinates:string>,properties:struct<{_fields(properties)}>>"
+    fields = ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in T.StructType.fromDDL(properties))
+    # coordinates stay JSON text here, their depth depends on the kind
+    feature = f"type string, geometry struct<type:string,coordinates:string>, properties struct<{fields}>"
     if lines:
-        features = spark.read.schema(feature[len("struct<"):-1]).json(path)
+        features = spark.read.schema(feature).json(path)
     else:
-        collection = spark.read.option("multiLine", True).schema(f"features array<{feature}>").json(path)
+        collection = spark.read.option("multiLine", True).schema(
+            T.StructType([T.StructField("features", T.ArrayType(T.StructType.fromDDL(feature)))])
+        ).json(path)
         features = collection.selectExpr("inline(features)")
     geom = G.from_geojson(F.col("geometry.type"), F.col("geometry.coordinates"), srid)
     return features.select("properties.*", geom.alias("geom"))
 
 
-def _fields(ddl: str) -> str:
-    parsed = T.StructType.fromDDL(ddl)
-    return ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in parsed)
-
-
 def layer_kind(name: Column) -> Column:
     """Kind of a layer from the last path segment of its name, NULL when none fits."""
     last = F.lower(F.element_at(F.split(name, "/"), -1))
