@@ -240,7 +240,12 @@ def from_wkt(text: Column, srid: int = 2154) -> Column:
 
     first = F.split(F.trim(F.get(F.split(F.get(lists, F.lit(0)), ","), F.lit(0))), r"\s+")
     known = kind.isin(*KINDS) & (F.size(lists) > 0)
-    return _geom(srid, kind, F.zip_with(openers, lists, part), dim=F.size(first), valid=known)
+    # MULTIPOINT (1 2, 3 4) and MULTIPOINT ((1 2), (3 4)) both give one part per point
+    single = F.transform(
+        F.flatten(F.transform(lists, lambda coords: F.split(coords, ","))), lambda pair: _part(F.array(point(pair)))
+    )
+    parts = F.when(kind == "MULTIPOINT", single).otherwise(F.zip_with(openers, lists, part))
+    return _geom(srid, kind, parts, dim=F.size(first), valid=known)
 
 
 def from_geojson(kind: Column, coordinates: Column, srid: int = 2154) -> Column:

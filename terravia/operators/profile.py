@@ -121,7 +121,7 @@ def require_same_srid(a: DataFrame, b: DataFrame, column_a: str = "geom", column
 
     The SRID set of ``b`` is read once (a few integers); the guard itself runs inside the tasks.
     """
-    found = [r[0] for r in b.select(F.col(column_b)["srid"]).distinct().na.drop().limit(2).collect()]
+    found = [r[0] for r in b.select(F.col(column_b)["srid"].alias("s")).where("s is not null").distinct().limit(2).collect()]
     if len(found) > 1:
         raise LayerError(f"several SRIDs in one layer: {sorted(found)}")
     if not found:
