@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terravia.operators.filters import require_column
+from terravia.operators.joins import lookup_join
 
 
 def _one_row_per_key(lookup: DataFrame, key: str, value: str) -> DataFrame:
@@ -30,9 +31,9 @@ def update_from(
     """Set ``target`` from the matching source row; rows without a match keep their value."""
     require_column(df, target)
     unique = _one_row_per_key(source, source_key or key, value)
-    joined = df.join(unique, df[key] == unique["_key"], "left")
+    joined = lookup_join(df, F.col(key), unique, "_key")
     new = F.when(F.col("_rows").isNotNull(), _single("several source rows for key ")).otherwise(F.col(target))
-    return joined.select(*[new.alias(c) if c == target else df[c] for c in df.columns])
+    return joined.select(*[new.alias(c) if c == target else F.col(f"`{c}`") for c in df.columns])
 
 
 def lookup_value(
@@ -49,9 +50,8 @@ def lookup_value(
     ``normalise=True`` compares in upper case; by default the value is compared as it is.
     """
     unique = _one_row_per_key(lookup, key, value)
-    mine = F.upper(df[on]) if normalise else df[on]
-    joined = df.join(unique, mine == unique["_key"], "left")
-    kept = [df[c] for c in df.columns if c != target]
+    joined = lookup_join(df, F.upper(on) if normalise else F.col(on), unique, "_key")
+    kept = [F.col(f"`{c}`") for c in df.columns if c != target]
     return joined.select(*kept, _single("several lookup rows for key ").alias(target))
 
 

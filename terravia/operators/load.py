@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import json
 from collections import Counter
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -59,46 +59,60 @@ def assign_gid(df: DataFrame, gid: str = "gid") -> DataFrame:
     return df.withColumn(gid, F.monotonically_increasing_id() + 1)
 
 
-def _boundaries(df: DataFrame, key: Column, buckets: int, rows: int) -> list:
-    """Bucket limits from a small sample of keys. They steer the layout only, never the result."""
+def _limits(df: DataFrame, key: Column, buckets: int, rows: int) -> list[tuple]:
+    """Ordered bucket limits ``(value, after)`` from a small sample of keys.
+
+    A value the sample meets at several quantiles holds a large share of the rows: it gets a bucket
+    of its own, from the value to just after it. Limits steer the layout only, never the result.
+    """
     wanted = 40 * buckets
     sample = df.select(key.alias("k")).where(F.col("k").isNotNull())
     if rows > wanted:
         sample = sample.sample(fraction=wanted / rows, seed=7)
-    keys = sorted({r[0] for r in sample.limit(4 * wanted).collect()})
+    keys = sorted(r[0] for r in sample.limit(4 * wanted).collect())
     step = max(1, len(keys) // buckets)
-    return keys[step::step][: buckets - 1]
+    cuts = Counter(keys[step::step][: buckets - 1])
+    return [(v, after) for v in sorted(cuts) for after in ((False, True) if cuts[v] > 1 else (False,))]
 
 
 def assign_dense_gid(df: DataFrame, order_by: str, gid: str = "gid", buckets: int | None = None) -> DataFrame:
-    """Dense key 1..n in the order of the unique column ``order_by``, without a global window.
+    """Dense key 1..n in the order of ``order_by``, without a global window.
 
-    Rows go to range buckets with literal limits, each bucket is numbered on its own and shifted by
-    the row count of the buckets before it (at most ``MAX_BUCKETS`` counts reach the driver). The
-    numbers depend on the data only, so a recomputed task gives the same ones.
+    Rows go to range buckets with literal limits, a bucket of one repeated value is cut further by a
+    hash of the row, each piece is numbered on its own and shifted by the row count of the pieces
+    before it (a bounded list of counts reaches the driver). The numbers depend on the data only,
+    so a recomputed task gives the same ones; rows that are equal in every column are alike anyway.
     """
-    key = F.col(order_by)
+    key = F.col(f"`{order_by}`")
+    rows = df.count() if buckets is None or buckets > 1 else 0
     if buckets is None:
-        rows = df.count()
         buckets = max(1, min(MAX_BUCKETS, rows // ROWS_PER_BUCKET))
-    else:
-        rows = df.count() if buckets > 1 else 0
-    limits = _boundaries(df, key, buckets, rows) if buckets > 1 else []
-    bucket = reduce(
-        lambda inner, pair: F.when(key >= F.lit(pair[1]), F.lit(pair[0] + 1)).otherwise(inner),
-        enumerate(limits),
-        F.lit(0),
+    limits = _limits(df, key, buckets, rows) if buckets > 1 else []
+    if not limits:
+        alone = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(key.asc_nulls_last()))
+        return df.select(alone.cast("bigint").alias(gid), *[F.col(f"`{c}`") for c in df.columns])
+    bucket, lone = F.lit(0), F.lit(False)
+    for number, (value, after) in enumerate(limits, start=1):
+        reached = key > F.lit(value) if after else key >= F.lit(value)
+        bucket = F.when(reached, F.lit(number)).otherwise(bucket)
+        if after:
+            lone = lone | (key == F.lit(value))
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(buckets)).cast("int")
+    # a NULL key sorts last, so it is numbered after every bucket
+    marked = df.withColumns(
+        {
+            "_bucket": F.when(key.isNull(), F.lit(len(limits) + 1)).otherwise(bucket),
+            "_piece": F.when(lone | key.isNull(), spread).otherwise(F.lit(0)),
+        }
     )
-    marked = df.withColumn("_bucket", F.coalesce(bucket, F.lit(0)))
     before, offsets = 0, {}
-    if limits:
-        for number, n in sorted((r[0], r[1]) for r in marked.groupBy("_bucket").count().collect()):
-            offsets[number] = before
-            before += n
-    shift = F.lit(0)
-    if offsets:
-        shift = F.get(F.array(*[F.lit(offsets.get(i, 0)) for i in range(len(limits) + 1)]), F.col("_bucket"))
-    rank = F.row_number().over(W.partitionBy("_bucket").orderBy(key.asc_nulls_last()))
+    for r in sorted(marked.groupBy("_bucket", "_piece").count().collect()):
+        offsets[r[0], r[1]] = before
+        before += r[2]
+    table = [[offsets.get((i, j), 0) for j in range(buckets)] for i in range(len(limits) + 2)]
+    literal = F.from_json(F.lit(json.dumps(table)), "array<array<bigint>>")
+    shift = F.get(F.get(literal, F.col("_bucket")), F.col("_piece"))
+    rank = F.row_number().over(W.partitionBy("_bucket", "_piece").orderBy(key.asc_nulls_last()))
     return marked.select((shift + rank).cast("bigint").alias(gid), *[F.col(f"`{c}`") for c in df.columns])
 
 

@@ -42,7 +42,7 @@ def check_not_null(df: DataFrame, columns) -> DataFrame:
 def check_foreign_key(df: DataFrame, keys, parent: DataFrame, parent_keys) -> DataFrame:
     """Rows whose key is not in the parent; a key with a NULL passes."""
     keys, parent_keys = _keys(keys), _keys(parent_keys)
-    wanted = parent.select(*[F.col(p).alias(f"_{i}") for i, p in enumerate(parent_keys)]).distinct()
+    wanted = parent.select(*[F.col(p).alias(f"_{i}") for i, p in enumerate(parent_keys)])
     on = [df[k] == wanted[f"_{i}"] for i, k in enumerate(keys)]
     return df.where(~_any_null(keys)).join(wanted, on, "left_anti")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terravia.session import use_all_cores
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -83,6 +85,11 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **used)
 
 
+def layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A derived layer spread over the cores, for joins that do much work per row."""
+    return use_all_cores(view(spark, sf_dir, name))
+
+
 def with_views(*names: str) -> str:
     """``with`` clause that defines derived layers over the raw tables."""
     plain = {t: t for t in TABLES}

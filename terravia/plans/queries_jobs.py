@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from terravia.functions import shapes as S
 from terravia.plans import jobs
 from terravia.plans import oracle_sql as sql
-from terravia.plans.fixtures import view, with_views
+from terravia.plans.fixtures import layer, view, with_views
 from terravia.plans.queries_layers import LAMBERT_X, LAMBERT_Y
 from terravia.plans.queries_space import CELL, NEAREST_SQL, PARTS_SQL
 from terravia.plans.registry import milli, milli_sql, query
@@ -94,7 +94,7 @@ def job_network_buffer(spark, sf):
 def job_commune_intersect(spark, sf):
     buffers = jobs.network_buffer(view(spark, sf, "segment"))
     return jobs.commune_intersect(
-        view(spark, sf, "rect"), S.Box(), "id", buffers, scratch_path(spark, "commune"), "geo/COMMUNE_2016.shp",
+        layer(spark, sf, "rect"), S.Box(), "id", buffers, scratch_path(spark, "commune"), "geo/COMMUNE_2016.shp",
         YEAR, cell=CELL,
     )
 
@@ -109,7 +109,7 @@ def job_commune_intersect(spark, sf):
 def job_parcel_intersect(spark, sf):
     """Parcels of one département (the layer the job is given) by route buffer."""
     buffers = jobs.network_buffer(view(spark, sf, "segment"))
-    parcels = view(spark, sf, "parcel").where(F.col("dep") == DEP).drop("dep")
+    parcels = layer(spark, sf, "parcel").where(F.col("dep") == DEP).drop("dep")
     return jobs.parcel_intersect(
         parcels, S.Box(), "id", buffers, scratch_path(spark, "parcel"), "geo/PARCELLE_14", DEP, cell=CELL
     )
@@ -126,7 +126,7 @@ def job_localisant_intersect(spark, sf):
     """Address points by route buffer."""
     buffers = jobs.network_buffer(view(spark, sf, "segment"))
     return jobs.parcel_intersect(
-        view(spark, sf, "feat"), S.Point(), "gid", buffers, scratch_path(spark, "parcel"), "geo/localisant_14", DEP,
+        layer(spark, sf, "feat"), S.Point(), "gid", buffers, scratch_path(spark, "parcel"), "geo/localisant_14", DEP,
         cell=CELL,
     )
 
@@ -140,4 +140,4 @@ def job_localisant_intersect(spark, sf):
 )
 def job_departement_flag(spark, sf):
     buffers = jobs.network_buffer(view(spark, sf, "segment"))
-    return jobs.departement_flag(view(spark, sf, "rect"), S.Box(), "id", buffers, "DEPARTEMENT", cell=CELL)
+    return jobs.departement_flag(layer(spark, sf, "rect"), S.Box(), "id", buffers, "DEPARTEMENT", cell=CELL)

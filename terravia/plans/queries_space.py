@@ -8,7 +8,7 @@ from terravia.functions import geom as G
 from terravia.functions import shapes as S
 from terravia.operators import dissolve, nearest, spatial
 from terravia.plans import oracle_sql as sql
-from terravia.plans.fixtures import view, with_views
+from terravia.plans.fixtures import layer, view, with_views
 from terravia.plans.registry import milli, milli_sql, query
 
 CELL = 2000.0
@@ -49,7 +49,7 @@ def nearest_centre_many(spark, sf):
     """A large centre set (a corner of every parcel): found by descending through nested cells."""
     spots = view(spark, sf, "parcel").select("id", F.col("id").cast("string").alias("libcei"), "xmin", "ymin")
     found = nearest.nearest_centre(
-        view(spark, sf, "feat"), S.Point(), spots, gid="id", x="xmin", y="ymin"
+        layer(spark, sf, "feat"), S.Point(), spots, gid="id", x="xmin", y="ymin"
     )
     return found.select("gid", milli(F.col("distance")).alias("distance"))
 
@@ -119,7 +119,7 @@ def intersects_join(spark, sf):
 def intersects_join_parcel(spark, sf):
     """Areas by the parcels they meet."""
     parcel = _other(view(spark, sf, "parcel"))
-    pairs = spatial.intersects_join(view(spark, sf, "rect"), S.Box(), parcel, OTHER_BOX, CELL)
+    pairs = spatial.intersects_join(layer(spark, sf, "rect"), S.Box(), parcel, OTHER_BOX, CELL)
     return pairs.select("id", "b_id", "b_dep")
 
 
@@ -160,7 +160,7 @@ def buffer_intersects_join(spark, sf):
     """Parcels by the 50 m route buffers they meet."""
     managed = view(spark, sf, "segment").where("gestionnaire = 'DIRNO'")
     return spatial.buffer_intersects_join(
-        view(spark, sf, "parcel"), S.Box(), "id", managed, S.Segment(), "lib_rte", 50.0, CELL
+        layer(spark, sf, "parcel"), S.Box(), "id", managed, S.Segment(), "lib_rte", 50.0, CELL
     )
 
 
@@ -172,7 +172,7 @@ def buffer_intersects_join(spark, sf):
 def buffer_intersects_join_point(spark, sf):
     """Points by the 500 m route buffers they lie in."""
     return spatial.buffer_intersects_join(
-        view(spark, sf, "feat"), S.Point(), "gid", view(spark, sf, "segment"), S.Segment(), "lib_rte", 500.0, CELL
+        layer(spark, sf, "feat"), S.Point(), "gid", view(spark, sf, "segment"), S.Segment(), "lib_rte", 500.0, CELL
     )
 
 

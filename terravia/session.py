@@ -58,8 +58,8 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
 def use_all_cores(df: DataFrame) -> DataFrame:
     """Spread an input that has fewer partitions than half the cores, as one small file does.
 
-    Meant for work that multiplies rows without a shuffle before it. An input of many files, the
-    normal case at scale, is returned as it is.
+    For a layer as it is read, before work that multiplies rows: counting the partitions of a plain
+    scan runs no job. An input of many files, the normal case at scale, is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df

@@ -10,7 +10,7 @@ from terravia.errors import LayerError
 from terravia.functions import geom as G
 from terravia.functions import shapes as S
 from terravia.functions import text
-from terravia.operators import dissolve, enrich, evolve, filters, layout, load, profile, quality
+from terravia.operators import dissolve, enrich, evolve, filters, joins, layout, load, profile, quality
 from terravia.plans import jobs
 from terravia.session import cut_lineage, scratch_path, shared_dir, use_all_cores
 from terravia.sources import layers, sinks
@@ -45,6 +45,26 @@ def test_dense_gid_on_text_keys(spark):
     assert [r.gid for r in got] == list(range(1, 301))
 
 
+@pytest.mark.parametrize("buckets", [1, 6])
+def test_dense_gid_with_a_hot_value_and_nulls(spark, buckets):
+    k = F.when(F.col("id") % 3 == 0, F.lit(500)).when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id"))
+    got = load.assign_dense_gid(spark.range(900).select("id", k.alias("k")), "k", buckets=buckets).collect()
+    assert sorted(r.gid for r in got) == list(range(1, 901))
+    in_order = [r.k for r in sorted(got, key=lambda r: r.gid)]
+    known = [v for v in in_order if v is not None]
+    assert known == sorted(known) and in_order[: len(known)] == known
+
+
+def test_lookup_join_splits_hot_keys(spark):
+    df = spark.range(600).select("id", F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 50 == 1, F.lit(None))
+                                 .otherwise(F.col("id")).alias("k"))
+    table = spark.range(0, 400, 1).select(F.col("id").alias("t"), (F.col("id") * 2).alias("v"))
+    plain = df.join(table, F.col("k") == F.col("t"), "left")
+    split = joins.lookup_join(df, F.col("k"), table, "t", broadcast_rows=10, share=10)
+    assert joins.hot_keys(df, F.col("k"), 10) == [7]
+    assert _rows(split) == _rows(plain)
+
+
 def test_domain_check_reports_null_and_require_domain_raises(spark):
     df = spark.createDataFrame([("a",), ("B",), ("x",), (None,)], "v string")
     domain = spark.createDataFrame([("A",), ("B",)], "d string")
