@@ -153,8 +153,8 @@ def grid_candidates(
 ) -> DataFrame:
     """Pairs whose bounding boxes come within ``radius``.
 
-    The pairs are unique unless the right side is a segment longer than its cells, where the cover
-    follows the line; ``grid_join`` deals with that. Column names of both sides must differ.
+    The pairs are unique unless a side is a segment, whose cover follows the line (see
+    ``needs_distinct``). Column names of both sides must differ.
     """
     same = sorted(set(left.columns) & set(right.columns))
     if same:
@@ -173,7 +173,7 @@ def grid_candidates(
         b.drop(*[k for k in KEYS if k not in keys]), list(keys)
     )
     pairs = pairs.where(planar.boxes_meet(left_shape.box(), right_shape.box(), radius))
-    if isinstance(left_shape, Point) or isinstance(right_shape, Segment):
+    if isinstance(left_shape, Point) or needs_distinct(left_shape, right_shape):
         return pairs.drop(*KEYS)
     # of all cells two boxes share, exactly one holds the lower left corner of their overlap
     lx, ly, *_ = left_shape.box()
@@ -192,8 +192,9 @@ def grid_candidates(
 
 
 def needs_distinct(left_shape: Shape, right_shape: Shape) -> bool:
-    """Can a pair come from more than one cell?"""
-    return isinstance(right_shape, Segment) and not isinstance(left_shape, Point)
+    """Can a pair come from more than one cell? A point lies in one; of the cells two boxes share
+    one can be told apart, but a segment need not be listed in that one."""
+    return not isinstance(left_shape, Point) and Segment in (type(left_shape), type(right_shape))
 
 
 def choose_cell(df: DataFrame, shape: Shape, radius: float = 0.0, rows_per_cell: int = 8) -> float:

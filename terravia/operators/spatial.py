@@ -9,6 +9,7 @@ from terravia.errors import LayerError
 from terravia.functions import geom as G
 from terravia.functions import shapes as S
 from terravia.operators.grid import choose_cell, grid_candidates, needs_distinct
+from terravia.operators.profile import require_same_srid
 
 
 def grid_join(
@@ -23,8 +24,8 @@ def grid_join(
 ) -> DataFrame:
     """Every pair within ``radius`` by bounding box that passes the exact ``test``, once each.
 
-    With a segment on the right a pair can come from several cells: then the whole row is made
-    distinct, so both sides should carry a key.
+    With segments on a side a pair can come from several cells: then the whole row is made distinct,
+    so both sides should carry a key.
     """
     cell = cell or choose_cell(right, right_shape, radius)
     pairs = grid_candidates(left, left_shape, right, right_shape, cell, radius, **options).where(test)
@@ -111,6 +112,8 @@ def geometry_pairs(
     """
     if left_key == right_key:
         raise LayerError(f"both sides use the key {left_key!r}: rename one")
+    if isinstance(left_shape, S.Geom) and isinstance(right_shape, S.Geom):
+        left = require_same_srid(left, right, left_shape.column, right_shape.column)
     a, a_shape = _edges_of(left, left_key, left_shape, "_a")
     b, b_shape = _edges_of(right, right_key, right_shape, "_b")
     cell = cell or choose_cell(b, b_shape, radius)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -26,6 +27,11 @@ class Imported:
     profile: DataFrame
 
 
+def plain_fields(df: DataFrame) -> DataFrame:
+    """Lower-case names and strings without a length limit."""
+    return load.drop_string_length(load.lowercase_fields(df))
+
+
 def prepare(
     df: DataFrame,
     source_srid: int = 2154,
@@ -33,7 +39,7 @@ def prepare(
     gid_order: str | None = None,
 ) -> DataFrame:
     """Lower-case names, unlimited strings, Lambert-93 coordinates and a ``gid``."""
-    ready = load.drop_string_length(load.lowercase_fields(df))
+    ready = plain_fields(df)
     if lonlat:
         ready = load.reproject_lonlat(ready, *lonlat, source=source_srid)
     elif has_geometry(ready) and source_srid != 2154:
@@ -120,6 +126,14 @@ def network_buffer(
     return dissolve.buffer_parts(dissolve.dissolve_parts(managed, route, shape), radius)
 
 
+def load_network(network: DataFrame, path: str, year: int | None = None) -> DataFrame:
+    """One manager's part of the network, written as the partition of its vintage."""
+    managed = plain_fields(network).where(F.col("gestionnaire") == MANAGER)
+    stamped = sinks.with_vintage(managed, year)
+    stored = sinks.write_partition(stamped, path, "millesime")
+    return stored.where(F.col("millesime") == (year or datetime.date.today().year))
+
+
 def intersect_buffers(
     layer: DataFrame,
     shape: S.Shape,
@@ -135,9 +149,11 @@ def intersect_buffers(
 ) -> DataFrame:
     """Rows of a layer per route buffer they meet, written as one partition.
 
-    The layer name must be of one of ``kinds``; a rerun replaces the partition.
+    The layer name must be of one of ``kinds``; a rerun replaces the partition. ``shape`` and
+    ``key`` name the columns in lower case, as the load leaves them.
     """
     kind = require_kind(name, kinds)
+    layer = plain_fields(layer)
     pairs = spatial.buffer_intersects_join(layer, shape, key, buffers, S.Segment(), route, radius, cell)
     rows = spatial.attach(pairs, layer, key)
     values = {"layer": kind, **partition}
@@ -167,5 +183,6 @@ def departement_flag(
 ) -> DataFrame:
     """Does each département meet any route buffer?"""
     require_kind(name, ("departement",))
+    layer = plain_fields(layer)
     pairs = spatial.buffer_intersects_join(layer, shape, key, buffers, S.Segment(), route, radius, cell)
     return spatial.touch_flag(layer, key, pairs)

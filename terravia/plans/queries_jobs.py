@@ -82,7 +82,10 @@ def job_district_by_attribute(spark, sf):
     + f", {PARTS_SQL} select lib_rte, x1, y1, x2, y2, 50.0::double as radius from parts",
 )
 def job_network_buffer(spark, sf):
-    return jobs.network_buffer(view(spark, sf, "segment"))
+    """Load one manager's network as a vintage, then dissolve and buffer it."""
+    raw = view(spark, sf, "segment")
+    loaded = jobs.load_network(raw.toDF(*[c.upper() for c in raw.columns]), scratch_path(spark, "network"), YEAR)
+    return jobs.network_buffer(loaded)
 
 
 @query(

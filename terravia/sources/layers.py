@@ -55,12 +55,14 @@ def read_layer(
     geometry=None,
     srid: int = 2154,
     schema=None,
+    name_as: str | None = None,
     **options,
 ) -> DataFrame:
     """Read a layer of any geometry kind.
 
     ``fmt`` is parquet, orc, csv, json or geojson; ``encoding`` and ``geometry`` say how and in
     which columns the geometry is stored. Files without a geometry give an attribute-only layer.
+    ``name_as`` adds the file path of each row, for ``route_by_name``.
     """
     if fmt == "geojson":
         return read_geojson(spark, path, srid=srid, properties=schema, **options)
@@ -70,6 +72,8 @@ def read_layer(
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(path)
+    if name_as:
+        df = df.withColumn(name_as, F.col("_metadata.file_path"))
     return with_geometry(df, encoding, geometry, srid) if geometry else df
 
 

@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terravia.errors import LayerError
 
@@ -20,12 +21,13 @@ def write_layer(df: DataFrame, path: str, overwrite: bool = False, fmt: str = "p
 def write_partition(df: DataFrame, path: str, partition_by) -> DataFrame:
     """Write by partition columns; a rerun replaces only the partitions it holds.
 
-    There is no shuffle by partition value, so a partition with most of the rows is written by as
-    many tasks as hold its rows.
+    Rows are rebalanced by partition value first: Spark merges small partitions, so there are few
+    files, and splits one that holds most of the rows over several tasks.
     """
     names = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *[F.col(n) for n in names])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*names)
         .parquet(path)
@@ -52,15 +54,23 @@ def publish_view(df: DataFrame, table: str) -> str:
 
 
 def save_table(df: DataFrame, schema: str, table: str, overwrite: bool = False) -> str:
-    """Save as a catalog table with statistics for every column; returns the full name."""
+    """Save as a catalog table with statistics; returns the full name."""
     spark: SparkSession = df.sparkSession
     full = f"{catalog_name(schema)}.{catalog_name(table)}"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {catalog_name(schema)}")
     df.write.mode("overwrite" if overwrite else "errorifexists").saveAsTable(full)
-    spark.sql(f"ANALYZE TABLE {full} COMPUTE STATISTICS")
+    refresh_statistics(spark, full)
     return full
 
 
+def refresh_statistics(spark: SparkSession, table: str) -> None:
+    """Row count and column statistics of a saved table, for the optimizer."""
+    nested = (T.StructType, T.ArrayType, T.MapType, T.BinaryType)
+    plain = [f"`{f.name}`" for f in spark.table(table).schema if not isinstance(f.dataType, nested)]
+    columns = f" FOR COLUMNS {', '.join(plain)}" if plain else ""
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{columns}")
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, overwrite: bool = False, **properties) -> None:
     """Write attributes to an external database; a geometry column must be exported as text first."""
     if "geom" in df.columns and df.schema["geom"].dataType.typeName() == "struct":

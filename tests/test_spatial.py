@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from terravia.errors import LayerError
@@ -92,6 +93,29 @@ def test_radius_edge(spark):
     assert _set(found) == [(1, "A")]
 
 
+@pytest.mark.parametrize("options", [{}, FORCED])
+def test_segments_on_the_left_equal_brute_force(spark, options):
+    parts = _segments(spark, 90, 21).withColumn("k", F.monotonically_increasing_id()).coalesce(1)
+    boxes = _boxes(spark, 90, 22)
+    brute = parts.join(boxes).where(S.intersects(S.Segment(), S.Box())).select("k", "id")
+    found = spatial.intersects_join(parts, S.Segment(), boxes, S.Box(), 150.0, **options).select("k", "id")
+    assert _set(found) == _set(brute)
+
+
+def test_result_does_not_depend_on_partitions(spark):
+    a, b = _boxes(spark, 90, 1), _boxes(spark, 60, 2, "b_")
+    one = spatial.intersects_join(a.coalesce(1), S.Box(), b.coalesce(1), OTHER, 200.0, **FORCED).select("id", "b_id")
+    many = spatial.intersects_join(a.repartition(7), S.Box(), b.repartition(5), OTHER, 200.0, **FORCED).select("id", "b_id")
+    assert _set(one) == _set(many)
+
+
+def test_mixed_srids_are_refused_in_a_join(spark):
+    a = spark.createDataFrame([(1, "POINT (1 1)")], "i int, w string").select("i", G.from_wkt(F.col("w"), 4326).alias("ga"))
+    b = spark.createDataFrame([(1, "POINT (1 1)")], "j int, w string").select("j", G.from_wkt(F.col("w"), 2154).alias("gb"))
+    with pytest.raises(PySparkException, match="mixed SRIDs"):
+        spatial.geometry_pairs(a, "i", S.Geom("ga"), b, "j", S.Geom("gb"), cell=10.0).collect()
+
+
 def test_touching_boxes_intersect(spark):
     a = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 1.0)], "id long, xmin double, ymin double, xmax double, ymax double")
     b = spark.createDataFrame(

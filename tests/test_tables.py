@@ -207,6 +207,14 @@ def test_layer_names(spark):
     assert sinks.catalog_name("0-Stockage") == "s0_Stockage"
 
 
+def test_files_are_routed_by_their_name(spark):
+    root = scratch_path(spark, "layers")
+    spark.range(3).write.parquet(f"{root}/all/kind=a")
+    df = layers.read_layer(spark, f"{root}/all", name_as="file").withColumn("file", F.replace("file", F.lit("part-"), F.lit("commune-")))
+    ok, bad = layers.route_by_name(df, "file", ("commune",))
+    assert ok.count() == 3 and bad.count() == 0
+
+
 def test_write_read_and_refuse_overwrite(spark):
     path = scratch_path(spark, "t")
     sinks.write_layer(spark.range(3).toDF("a"), path)
@@ -223,7 +231,9 @@ def test_partition_rerun_replaces_only_its_partition(spark):
 
 
 def test_saved_table_in_a_schema_with_an_odd_name(spark):
-    full = sinks.save_table(spark.range(4).toDF("a"), "0-Stockage", "cei", overwrite=True)
+    layer = spark.range(4).toDF("a").withColumn("geom", G.make_point(F.col("a"), F.lit(0.0)))
+    full = sinks.save_table(layer, "0-Stockage", "cei", overwrite=True)
+    assert "a" in spark.sql(f"describe extended {full} a").first()[1]
     assert full == "s0_Stockage.cei" and spark.table(full).count() == 4
 
 
