@@ -160,7 +160,7 @@ def attach(pairs: DataFrame, df: DataFrame, key: str) -> DataFrame:
     return pairs.join(df, key)
 
 
-def touch_flag(df: DataFrame, key: str, pairs: DataFrame, flag: str = "dep_dirno") -> DataFrame:
+def touch_flag(df: DataFrame, key: str, pairs: DataFrame, flag: str = "touches") -> DataFrame:
     """Does the row occur in any pair? Never NULL, one row per input row."""
     hit = pairs.select(F.col(key).alias("_hit")).distinct()
     joined = df.join(hit, df[key] == hit["_hit"], "left")

@@ -16,7 +16,9 @@ from terravia.sources.layers import has_geometry, require_kind
 
 TAG_LENGTH = 40
 BUFFER_RADIUS = 50.0
-MANAGER = "DIRNO"  # fixed value: the network manager whose routes are buffered
+# fixed values: the manager code in the network data, and the flag column of departments
+MANAGER = "DIRNO"
+FLAG = "dep_dirno"
 
 
 @dataclass(frozen=True)
@@ -185,4 +187,4 @@ def departement_flag(
     require_kind(name, ("departement",))
     layer = plain_fields(layer)
     pairs = spatial.buffer_intersects_join(layer, shape, key, buffers, S.Segment(), route, radius, cell)
-    return spatial.touch_flag(layer, key, pairs)
+    return spatial.touch_flag(layer, key, pairs, FLAG)

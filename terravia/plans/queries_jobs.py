@@ -25,7 +25,7 @@ def job_import(spark, sf):
     """Names, projection, write, key check, view and profile of one layer."""
     raw = view(spark, sf, "lonlat").toDF("GID", "Lon", "LAT")
     imported = jobs.import_layer(
-        raw, "localisant_dirno_14", scratch_path(spark, "import"), primary_key="gid", shape=S.Point(),
+        raw, "localisant_14", scratch_path(spark, "import"), primary_key="gid", shape=S.Point(),
         source_srid=4326, lonlat=("lon", "lat"),
     )
     return spark.table(imported.view).select("gid", milli(F.col("x")).alias("x"), milli(F.col("y")).alias("y"))

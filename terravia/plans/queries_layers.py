@@ -167,7 +167,7 @@ def reproject_l93_layer(spark, sf):
 
 @query("publish_view", with_views("feat") + " select gid, x, y from feat")
 def publish_view(spark, sf):
-    return spark.table(sinks.publish_view(view(spark, sf, "feat"), "0-Stockage feat"))
+    return spark.table(sinks.publish_view(view(spark, sf, "feat"), "0-store feat"))
 
 
 KIND_SQL = """
@@ -284,11 +284,11 @@ def decode_code(spark, sf):
 @query(
     "year_default",
     """select o_orderkey, cast(extract(year from current_date) as int) as millesime,
-              concat('commune_dirno_', cast(extract(year from o_orderdate) as varchar)) as layer
+              concat('commune_', cast(extract(year from o_orderdate) as varchar)) as layer
        from orders""",
 )
 def year_default(spark, sf):
-    named = F.concat(F.lit("commune_dirno_"), F.year("o_orderdate").cast("string"))
+    named = F.concat(F.lit("commune_"), F.year("o_orderdate").cast("string"))
     return table(spark, sf, "orders").select("o_orderkey", text.vintage().alias("millesime"), named.alias("layer"))
 
 

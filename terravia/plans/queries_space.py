@@ -193,7 +193,7 @@ def buffer_intersects_join_polygon(spark, sf):
     with_views("rect", "segment") + f""", hit as (
         select distinct id from rect, segment where gestionnaire = 'DIRNO' and {sql.box_near_segment(50)}
         and {sql.box_segment()} <= 2500)
-    select id, id in (select id from hit) as dep_dirno from rect""",
+    select id, id in (select id from hit) as touches from rect""",
 )
 def touch_flag(spark, sf):
     rect = view(spark, sf, "rect")

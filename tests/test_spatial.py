@@ -156,7 +156,7 @@ def test_same_column_names_are_refused(spark):
 def test_touch_flag_is_never_null(spark):
     df = _points(spark, 4, 1)
     pairs = spark.createDataFrame([(1, "A"), (1, "B")], "gid long, lib_rte string")
-    assert [tuple(r) for r in spatial.touch_flag(df, "gid", pairs).select("gid", "dep_dirno").orderBy("gid").collect()] == [
+    assert [tuple(r) for r in spatial.touch_flag(df, "gid", pairs).select("gid", "touches").orderBy("gid").collect()] == [
         (0, False), (1, True), (2, False), (3, False)]
 
 
@@ -193,6 +193,17 @@ def test_nearest_descent_is_forced_on_deep_clusters(spark):
     assert _set(found.select("gid", "cgid")) == _set(_brute_nearest(features, centres))
 
 
+@pytest.mark.parametrize("share", [4, 1024])
+def test_nearest_without_broadcast(spark, monkeypatch, share):
+    """Every level shuffled, with the hot cells (a third of the features is at one place) salted."""
+    monkeypatch.setattr(nearest, "BROADCAST_CELLS", 0)
+    monkeypatch.setattr(nearest, "HOT_SHARE", share)
+    features = _points(spark, 150, 31)
+    centres = _points(spark, 300, 32).withColumn("libcei", F.lit("L"))
+    found = nearest.nearest_centre(features, S.Point(), centres)
+    assert _set(found.select("gid", "cgid")) == _set(_brute_nearest(features, centres))
+
+
 def test_nearest_of_lines_and_polygons_from_a_large_set(spark):
     centres = _points(spark, 120, 14).withColumn("libcei", F.lit("L"))
     parts = _segments(spark, 30, 15).withColumn("gid", F.monotonically_increasing_id())

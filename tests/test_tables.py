@@ -204,7 +204,7 @@ def test_layer_names(spark):
     names = spark.createDataFrame([("x/COMMUNE",), ("x/other",), (None,)], "n string")
     ok, bad = layers.route_by_name(names, "n", ("commune",))
     assert ok.count() == 1 and bad.count() == 2
-    assert sinks.catalog_name("0-Stockage") == "s0_Stockage"
+    assert sinks.catalog_name("0-store") == "s0_store"
 
 
 def test_files_are_routed_by_their_name(spark):
@@ -232,9 +232,9 @@ def test_partition_rerun_replaces_only_its_partition(spark):
 
 def test_saved_table_in_a_schema_with_an_odd_name(spark):
     layer = spark.range(4).toDF("a").withColumn("geom", G.make_point(F.col("a"), F.lit(0.0)))
-    full = sinks.save_table(layer, "0-Stockage", "cei", overwrite=True)
+    full = sinks.save_table(layer, "0-store", "cei", overwrite=True)
     assert "a" in spark.sql(f"describe extended {full} a").first()[1]
-    assert full == "s0_Stockage.cei" and spark.table(full).count() == 4
+    assert full == "s0_store.cei" and spark.table(full).count() == 4
 
 
 def test_jdbc_refuses_raw_geometry(spark):
