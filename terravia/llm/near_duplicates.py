@@ -11,7 +11,8 @@ the band is as wide as that many unaligned shingles allow.
 
 Texts with the same words are one class before any sketch is made. Within a bucket the classes are not paired with each
 other: each is compared with a few centres, those whose sketches are shared most; what none of them matches is
-compared in the next round with centres of its own, until nothing is left. The links' components are the groups.
+compared in the next round with centres of its own, twice as many, until nothing is left. What is left of a bucket is
+compared in full once it is at most ``FEW`` texts. The links' components are the groups.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ from terravia.llm.rows import KEY, one_per_key, with_key
 from terravia.llm.words import U, Words, mix, shingles, signed, text_chunks
 from terravia.session import cut_lineage
 
-#: Words of a shingle, least similarity, sketches of a text, shingles of a sketch, centres of a bucket in a round.
-SIZE, SIMILAR, SKETCHES, CHOSEN, CENTRES = 5, 0.8, 24, 4, 3
+#: Words of a shingle, least similarity, sketches of a text, shingles of a sketch.
+SIZE, SIMILAR, SKETCHES, CHOSEN = 5, 0.8, 40, 6
+#: Centres of a bucket in the first round, and texts left in a bucket that are few.
+CENTRES, FEW = 3, 16
 _ORDERS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 
 
@@ -177,12 +180,15 @@ def near_links(docs: DataFrame, keys: DataFrame, text: str = "text", centres: in
     mass = cut_lineage(left.groupBy("a").agg(F.sum("count").alias("mass")), "mass")
     left = cut_lineage(left.join(mass, "a").select("bucket", "a", "mass"), "buckets")
     docs = cut_lineage(docs.select(KEY, text).join(left.select(F.col("a").alias(KEY)).distinct(), KEY, "left_semi"), "texts")
-    done = None
+    done, few = None, centres + 1
     while not left.isEmpty():
         # The row limit is applied in every task before the shuffle, so a bucket's rows do not meet.
         order = Window.partitionBy("bucket").orderBy(F.desc("mass"), "a")
-        heads = left.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= centres)
+        heads = left.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= max(centres, few))
+        small = left.groupBy("bucket").agg((F.count("*") <= few).alias("all"))
+        heads = heads.join(small, "bucket").filter(F.col("all") | (F.col("n") <= centres))
         heads = cut_lineage(heads.select("bucket", F.col("a").alias("b")), "centres")
+        centres, few = 2 * centres, FEW
         tries = cut_lineage(left.join(heads, "bucket").select("bucket", "a", "b").filter("a != b"), "tries")
         pairs = tries.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if done is not None:
@@ -211,7 +217,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     empty, punctuation) are a class each. A text shorter than a shingle is one shingle. Rows equal in id and text share
     key and class. No documents give no rows.
 
-    A pair with similarity s shares a sketch with probability about 1 - (1 - s**4)**24, over 0.99999 at 0.8. The one
+    A pair with similarity s shares a sketch with probability about 1 - (1 - s**6)**40, over 0.99999 at 0.8. The one
     further way to miss a link: two similar texts never meet as centre and member although they share a bucket,
     because one of them matched a centre that the other did not; they are then still one class if anything links them.
     """
