@@ -45,10 +45,13 @@ def check_pair(source: int, target: int) -> bool:
     raise LayerError(f"no projection from EPSG:{source} to EPSG:{target}")
 
 
-def reproject_geom(geom: Column, source: int) -> Column:
-    """Project every vertex of a geometry column to Lambert-93."""
-    if not check_pair(source, LAMBERT93):
-        return geom
+def reproject_geom(geom: Column, source: int | None = None) -> Column:
+    """Project every vertex of a geometry column to Lambert-93, each row by its own SRID.
+
+    ``source`` is the SRID of geometries that carry none.
+    """
+    if source is not None:
+        check_pair(source, LAMBERT93)
 
     def vertex(p):
         x, y = lambert93(p["x"], p["y"])
@@ -58,10 +61,18 @@ def reproject_geom(geom: Column, source: int) -> Column:
         geom["parts"],
         lambda part: F.struct(part["ring"].alias("ring"), F.transform(part["pts"], vertex).alias("pts")),
     )
-    return F.when(
-        geom.isNotNull(),
-        F.struct(
-            F.lit(LAMBERT93).alias("srid"), geom["kind"].alias("kind"), geom["dim"].alias("dim"),
-            parts.cast(PARTS_TYPE).alias("parts"),
-        ),
+    moved = F.struct(
+        F.lit(LAMBERT93).alias("srid"), geom["kind"].alias("kind"), geom["dim"].alias("dim"),
+        parts.cast(PARTS_TYPE).alias("parts"),
+    )
+    same = F.struct(
+        F.lit(LAMBERT93).alias("srid"), geom["kind"].alias("kind"), geom["dim"].alias("dim"), geom["parts"].alias("parts")
+    )
+    own = F.coalesce(geom["srid"], F.lit(source).cast("int"))
+    unknown = F.raise_error(F.concat(F.lit("no projection from EPSG:"), F.coalesce(own.cast("string"), F.lit("?"))))
+    return (
+        F.when(geom.isNull(), F.lit(None))
+        .when(own == LAMBERT93, same)
+        .when(own.isin(*GEOGRAPHIC), moved)
+        .otherwise(F.struct(unknown.cast("int").alias("srid"), geom["kind"].alias("kind"), geom["dim"].alias("dim"), geom["parts"].alias("parts")))
     )

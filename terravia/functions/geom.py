@@ -222,8 +222,12 @@ def st_buffer(geom: Column, radius: float) -> Column:
 
 
 def from_wkt(text: Column, srid: int = 2154) -> Column:
-    """Parse WKT of the six simple kinds; extra ordinates are dropped, ``dim`` records them."""
-    body = F.regexp_replace(text, r"^\s*SRID=\d+;", "")
+    """Parse WKT of the six simple kinds; extra ordinates are dropped, ``dim`` records them.
+
+    A prefix ``SRID=n;`` says the SRID of its row; ``srid`` is that of rows without one.
+    """
+    prefix = F.regexp_extract(text, r"(?i)^\s*SRID\s*=\s*(\d+)\s*;", 1)
+    body = F.regexp_replace(text, r"(?i)^\s*SRID\s*=\s*\d+\s*;", "")
     kind = F.upper(F.regexp_extract(body, r"^\s*([A-Za-z]+)", 1))
     area = kind.isin(*AREA_KINDS)
     lists = F.regexp_extract_all(body, F.lit(r"(\(?)\s*\(([^()]+)\)"), F.lit(2))
@@ -245,7 +249,8 @@ def from_wkt(text: Column, srid: int = 2154) -> Column:
         F.flatten(F.transform(lists, lambda coords: F.split(coords, ","))), lambda pair: _part(F.array(point(pair)))
     )
     parts = F.when(kind == "MULTIPOINT", single).otherwise(F.zip_with(openers, lists, part))
-    return _geom(srid, kind, parts, dim=F.size(first), valid=known)
+    built = _geom(srid, kind, parts, dim=F.size(first), valid=known)
+    return built.withField("srid", F.when(prefix != "", prefix.cast("int")).otherwise(F.lit(srid)))
 
 
 def from_geojson(kind: Column, coordinates: Column, srid: int = 2154) -> Column:

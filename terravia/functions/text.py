@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from itertools import chain
 
 from pyspark.sql import Column
@@ -36,7 +37,7 @@ def join_list(items: Column) -> Column:
 
 
 def decode_code(code: Column, labels: dict[str, str]) -> Column:
-    """Label of a code, NULL for an unknown one (report those with ``unknown_codes``)."""
+    """Label of a code, NULL for an unknown one."""
     table = F.create_map(*[F.lit(v) for v in chain.from_iterable(labels.items())])
     return F.try_element_at(table, code)
 
@@ -44,3 +45,7 @@ def decode_code(code: Column, labels: dict[str, str]) -> Column:
 def vintage(default_year: int | None = None) -> Column:
     """The given year, or the current one."""
     return F.lit(default_year) if default_year is not None else F.year(F.current_date())
+
+
+def this_year() -> int:
+    return datetime.date.today().year

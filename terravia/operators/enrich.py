@@ -56,10 +56,18 @@ def lookup_value(
 
 
 def overlay(base: DataFrame, richer: DataFrame, keys, columns) -> DataFrame:
-    """Take ``columns`` from the richer rows where they are present, by key and not by position."""
+    """Take ``columns`` from the richer rows where they are present, by key and not by position.
+
+    A key met in two or more richer rows fails when a base row asks for it.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    top = richer.select(*keys, *[F.col(c).alias(f"_top_{c}") for c in columns])
+    values = F.struct(*[F.col(c).alias(f"_top_{c}") for c in columns])
+    top = richer.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(values).alias("_value"))
     joined = base.join(top, keys, "left")
+    named = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+    failed = F.raise_error(F.concat(F.lit("several richer rows for key "), named))
+    single = F.when(F.col("_rows") > 1, failed).otherwise(F.col("_value"))
+    joined = joined.withColumn("_value", single)
     return joined.select(
-        *[F.coalesce(F.col(f"_top_{c}"), F.col(c)).alias(c) if c in columns else F.col(c) for c in base.columns]
+        *[F.coalesce(F.col("_value")[f"_top_{c}"], F.col(c)).alias(c) if c in columns else F.col(c) for c in base.columns]
     )

@@ -35,12 +35,16 @@ def domain_check(df: DataFrame, column: str, domain: DataFrame, domain_column: s
 
 
 def require_domain(df: DataFrame, column: str, domain: DataFrame, domain_column: str) -> None:
-    """Raise when ``domain_check`` finds anything; the message shows the first values."""
+    """Raise when ``domain_check`` finds anything: its number of values and the first of them.
+
+    All of them are what ``domain_check`` returns.
+    """
     bad = domain_check(df, column, domain, domain_column)
     shown = [r[0] for r in bad.orderBy(F.col(column).asc_nulls_last()).limit(SHOWN + 1).collect()]
     if shown:
-        more = " and more" if len(shown) > SHOWN else ""
-        raise LayerError(f"values of {column!r} not in the reference list: {shown[:SHOWN]}{more}")
+        n = bad.count() if len(shown) > SHOWN else len(shown)
+        more = f", the first of {n} (see domain_check)" if n > SHOWN else ""
+        raise LayerError(f"{n} values of {column!r} not in the reference list: {shown[:SHOWN]}{more}")
 
 
 def capability_sets(grants: DataFrame, keys, privilege: str, known) -> DataFrame:

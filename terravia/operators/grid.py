@@ -1,10 +1,17 @@
 """Spatial join as an equi-join on grid cells.
 
 Both sides are listed in the cells they may touch, joined on the cell, filtered by bounding box and
-then by an exact test. A crowded cell is cut into finer cells and its left rows are spread over
-salts, so one place holding a large part of the data becomes many small join keys. The list of
-crowded cells is bounded by construction: a cell is crowded only with more than 1/1024 of all the
-join work, so at most 1024 cells can be.
+then by an exact test.
+
+A shape that would cover many cells is listed in the few cells of a coarser level instead: level n
+has cells of ``cell * 4**n``. A shape is also listed in the cells above its own, at each level that
+the other side uses, and a pair meets at the coarser of its two levels. So a row gives a bounded
+number of cells, whatever its size.
+
+A cell with much join work is cut into finer cells, and both sides of it are dealt to salts: the
+left rows to one set, the right rows to another, each copied to the other's. So one place holding a
+large part of the data becomes many small join keys on either side. The table of such cells is
+written and joined like any other; nothing about it is limited.
 """
 
 from __future__ import annotations
@@ -17,31 +24,50 @@ from pyspark.sql import functions as F
 from terravia.errors import LayerError
 from terravia.functions import planar
 from terravia.functions.shapes import Point, Segment, Shape
+from terravia.session import cut_lineage
 
-MAX_CROWDED = 1024
 CELL_WORK = 20_000_000  # candidate pairs one task may take on before its cell is split
 ROWS_PER_SALT = 100_000
-MAX_SALTS = 4096
-KEYS = ("_cx", "_cy", "_fx", "_fy", "_salt")
+MOST_CELLS = 64  # cells in which one shape is listed at its own level
+BASE, DEEPEST = 4, 24  # cells of a level are so many times as wide as those below
+CELL_KEYS = ("_level", "_cx", "_cy")
+KEYS = (*CELL_KEYS, "_fx", "_fy", "_ls", "_rs")
 
 
 @dataclass(frozen=True)
 class Crowded:
-    """Crowded cells: how fine each is cut and over how many salts its left rows are spread."""
+    """Crowded cells: how fine each is cut and over how many salts each side is dealt."""
 
     table: DataFrame | None
     count: int = 0
 
 
-def cell_of(value: Column, cell: float) -> Column:
-    return F.floor(value / F.lit(float(cell))).cast("bigint")
+def cell_of(value: Column, cell) -> Column:
+    size = cell if isinstance(cell, Column) else F.lit(float(cell))
+    return F.floor(value / size).cast("bigint")
+
 
+def size_of(cell: float, level) -> Column:
+    """Cell size of a level; powers of four, so exact."""
+    return F.lit(float(cell)) * F.pow(F.lit(float(BASE)), level)
 
-def _listed(shape: Shape, cell: float, radius: float) -> Column:
+
+def level_of(shape: Shape, cell: float, radius: float) -> Column:
+    """The least level at which the box of the shape, grown by ``radius``, spans few cells."""
+    if isinstance(shape, Point):
+        extent = F.lit(2.0 * radius)
+    else:
+        xmin, ymin, xmax, ymax = shape.box()
+        extent = F.greatest(xmax - xmin, ymax - ymin) + 2.0 * radius
+    # a line is followed, so it meets about as many cells as it is long; an area the square of it
+    span = MOST_CELLS / 4 if isinstance(shape, Segment) else MOST_CELLS**0.5 - 2
+    steps = F.ceil(F.log(F.greatest(extent / (span * cell), F.lit(1.0))) / F.log(F.lit(float(BASE))))
+    return F.least(F.lit(DEEPEST), F.greatest(F.lit(0), steps)).cast("int")
+
+
+def _listed(shape: Shape, cell: Column, radius: float) -> Column:
     """Array of cells ``struct<_cx,_cy>`` that cover the shape grown by ``radius``."""
     xmin, ymin, xmax, ymax = shape.box()
-    if isinstance(shape, Point) and radius == 0:
-        return F.array(F.struct(cell_of(xmin, cell).alias("_cx"), cell_of(ymin, cell).alias("_cy")))
 
     def column_cells(cx, low, high):
         return F.transform(
@@ -63,17 +89,27 @@ def _listed(shape: Shape, cell: float, radius: float) -> Column:
         ya, yb = y1 + t0 * dy, y1 + t1 * dy
         return column_cells(cx, F.least(ya, yb) - margin, F.greatest(ya, yb) + margin)
 
-    return F.flatten(
-        F.transform(F.sequence(cell_of(xmin - radius, cell), cell_of(xmax + radius, cell)), strip)
-    )
+    return F.flatten(F.transform(F.sequence(cell_of(xmin - radius, cell), cell_of(xmax + radius, cell)), strip))
 
 
-def list_cells(df: DataFrame, shape: Shape, cell: float, radius: float = 0.0) -> DataFrame:
-    """One row per (row, cell) with ``_cx, _cy``; rows without a geometry are left out."""
-    present = df.where(shape.present())
+def levels_of(df: DataFrame, shape: Shape, cell: float, radius: float = 0.0) -> list[int]:
+    """The levels that a side uses: at most ``DEEPEST`` + 1 numbers."""
     if isinstance(shape, Point) and radius == 0:
-        return present.withColumns({"_cx": cell_of(F.col(shape.x), cell), "_cy": cell_of(F.col(shape.y), cell)})
-    exploded = present.withColumn("_cell", F.explode(_listed(shape, cell, radius)))
+        return [0]
+    found = df.where(shape.present()).select(level_of(shape, cell, radius).alias("l")).distinct()
+    return sorted(r[0] for r in found.collect())
+
+
+def list_cells(df: DataFrame, shape: Shape, cell: float, radius: float = 0.0, levels=(0,)) -> DataFrame:
+    """One row per (row, cell): its own level ``_own``, and ``_level, _cx, _cy`` at that level and at
+    those of ``levels`` above it. Rows without a geometry are left out."""
+    present = df.where(shape.present()).withColumn("_own", level_of(shape, cell, radius))
+    above = F.filter(F.array(*[F.lit(v) for v in levels]).cast("array<int>"), lambda v: v > F.col("_own"))
+    leveled = present.withColumn("_level", F.explode(F.concat(F.array("_own"), above)))
+    size = size_of(cell, F.col("_level"))
+    if isinstance(shape, Point) and radius == 0:
+        return leveled.withColumns({"_cx": cell_of(F.col(shape.x), size), "_cy": cell_of(F.col(shape.y), size)})
+    exploded = leveled.withColumn("_cell", F.explode(_listed(shape, size, radius)))
     return exploded.withColumns({"_cx": F.col("_cell._cx"), "_cy": F.col("_cell._cy")}).drop("_cell")
 
 
@@ -81,63 +117,61 @@ def find_crowded(
     left: DataFrame, right: DataFrame, cell: float, radius: float, cell_work: int = CELL_WORK,
     rows_per_salt: int = ROWS_PER_SALT,
 ) -> Crowded:
-    """Count both sides per cell and pick the cells whose work would hold up one task."""
-    a = left.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_nl"))
-    b = right.groupBy("_cx", "_cy").agg(F.count(F.lit(1)).alias("_nr"))
-    work = a.join(b, ["_cx", "_cy"]).withColumn("_work", F.col("_nl").cast("double") * F.col("_nr"))
-    total, most = work.agg(F.sum("_work"), F.max("_work")).first()
-    if most is None or most <= cell_work:
-        return Crowded(None)
-    floor_ = max(float(cell_work), total / MAX_CROWDED)
-    finest = 64 if radius == 0 else max(1, min(64, int(2 * cell / radius)))
-    cut = F.least(F.lit(finest), F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("_nr") / 16)).cast("int")))
-    salts = F.least(F.lit(MAX_SALTS), F.greatest(F.lit(1), F.ceil(F.col("_nl") / rows_per_salt).cast("int")))
-    rows = (
-        work.where(F.col("_work") > floor_)
-        .select("_cx", "_cy", cut.alias("_cut"), salts.alias("_salts"))
-        .collect()
+    """Count both sides per cell and write down the cells that would hold up one task.
+
+    Those are cells with much join work, and cells into which one side alone sends many rows.
+    """
+    keys = list(CELL_KEYS)
+    a = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
+    b = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
+    both = a.join(b, keys, "full").na.fill(0, ["_nl", "_nr"])
+    much = F.col("_nl").cast("double") * F.col("_nr") > cell_work
+    work = both.where(much | (F.greatest("_nl", "_nr") > 20 * rows_per_salt))
+    # a cut no finer than the radius, as the right rows are listed that far around
+    finest = F.lit(64.0) if radius == 0 else F.least(F.lit(64.0), 2 * size_of(cell, F.col("_level")) / radius)
+    cut = F.least(finest, F.sqrt(F.greatest("_nl", "_nr") / 16)).cast("int")
+    # what a cut leaves in the worst case, all rows at one spot, is dealt to salts
+    per = F.lit(float(min(rows_per_salt, max(1, int(cell_work**0.5)))))
+    table = work.select(
+        *keys,
+        F.greatest(F.lit(1), cut).alias("_cut"),
+        F.greatest(F.lit(1), F.ceil(F.col("_nl") / per)).cast("int").alias("_lsalts"),
+        F.greatest(F.lit(1), F.ceil(F.col("_nr") / per)).cast("int").alias("_rsalts"),
     )
-    if not rows:
-        return Crowded(None)
-    table = left.sparkSession.createDataFrame(rows, "_cx bigint, _cy bigint, _cut int, _salts int")
-    return Crowded(table, len(rows))
+    stored = cut_lineage(table, "crowded")
+    n = stored.count()
+    return Crowded(stored if n else None, n)
 
 
-def _fine(value: Column, cell_no: Column, cell: float, cut: Column) -> Column:
+def _fine(value: Column, cell_no: Column, cell: Column, cut: Column) -> Column:
     """Index 0..cut-1 of a value inside its cell; values outside are clamped, so it is monotone."""
-    step = F.floor((value - cell_no * cell) / (F.lit(float(cell)) / cut)).cast("int")
+    step = F.floor((value - cell_no * cell) / (cell / cut)).cast("int")
     return F.greatest(F.lit(0), F.least(cut - 1, step))
 
 
 def _spread(df: DataFrame, shape: Shape, cell: float, radius: float, crowded: Crowded, is_left: bool) -> DataFrame:
-    """Add the fine cell and the salt; rows outside crowded cells get (0, 0, 0)."""
+    """Add the fine cell and the salts; rows outside crowded cells get zeros."""
     if crowded.table is None:
-        return df.withColumns({k: F.lit(0) for k in KEYS[2:]})
-    # at most MAX_CROWDED rows, see find_crowded
-    marked = df.join(F.broadcast(crowded.table), ["_cx", "_cy"], "left").withColumns(
-        {"_cut": F.coalesce("_cut", F.lit(1)), "_salts": F.coalesce("_salts", F.lit(1))}
-    )
+        return df
+    ones = {c: F.coalesce(c, F.lit(1)) for c in ("_cut", "_lsalts", "_rsalts")}
+    # numbered before the join, in the order of the scan: the same when a lost task is run again
+    numbered = df.withColumn("_n", F.monotonically_increasing_id())
+    marked = numbered.join(crowded.table, list(CELL_KEYS), "left").withColumns(ones)
     xmin, ymin, xmax, ymax = shape.box()
+    size = size_of(cell, F.col("_level"))
 
     def span(low, high, number):
-        return F.sequence(_fine(low, number, cell, F.col("_cut")), _fine(high, number, cell, F.col("_cut")))
+        return F.sequence(_fine(low, number, size, F.col("_cut")), _fine(high, number, size, F.col("_cut")))
 
     for name, low, high, number in (
         ("_fx", xmin - radius, xmax + radius, F.col("_cx")),
         ("_fy", ymin - radius, ymax + radius, F.col("_cy")),
     ):
         marked = marked.withColumn(name, F.explode(span(low, high, number)))
-    if is_left:
-        # a hash of the row keeps the salt the same when a lost task is run again
-        hashed = F.xxhash64(*[F.col(c) for c in shape.columns], *_hashable(df))
-        salt = F.pmod(hashed, F.col("_salts")).cast("int")
-    else:
-        salt = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))
-    return marked.withColumn("_salt", salt).drop("_cut", "_salts")
-
-
-def _hashable(df: DataFrame):
-    return [F.col(f"`{f.name}`") for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+    mine, other = ("_ls", "_rs") if is_left else ("_rs", "_ls")
+    marked = marked.withColumn(mine, F.pmod(F.xxhash64("_n"), F.col(f"{mine}alts")).cast("int"))
+    copies = F.sequence(F.lit(0), F.col(f"{other}alts") - 1)
+    return marked.withColumn(other, F.explode(copies)).drop("_cut", "_lsalts", "_rsalts", "_n")
 
 
 def grid_candidates(
@@ -161,34 +195,35 @@ def grid_candidates(
         raise LayerError(f"rename columns that both sides have: {same}")
     if cell <= 0:
         raise LayerError("the cell size must be positive")
-    listed_left = list_cells(left, left_shape, cell)
-    listed_right = list_cells(right, right_shape, cell, radius)
+    levels = sorted({*levels_of(left, left_shape, cell), *levels_of(right, right_shape, cell, radius)})
+    listed_left = list_cells(left, left_shape, cell, 0.0, levels)
+    listed_right = list_cells(right, right_shape, cell, radius, levels)
     crowded = Crowded(None)
     if balance:
         crowded = find_crowded(listed_left, listed_right, cell, radius, cell_work, rows_per_salt)
-    a = _spread(listed_left, left_shape, cell, 0.0, crowded, True)
-    b = _spread(listed_right, right_shape, cell, radius, crowded, False)
-    keys = KEYS if crowded.table is not None else KEYS[:2]
-    pairs = a.drop(*[k for k in KEYS if k not in keys]).join(
-        b.drop(*[k for k in KEYS if k not in keys]), list(keys)
-    )
+    a = _spread(listed_left, left_shape, cell, 0.0, crowded, True).withColumnRenamed("_own", "_lown")
+    b = _spread(listed_right, right_shape, cell, radius, crowded, False).withColumnRenamed("_own", "_rown")
+    keys = list(KEYS if crowded.table is not None else CELL_KEYS)
+    pairs = a.join(b, keys).where(F.col("_level") == F.greatest("_lown", "_rown"))
     pairs = pairs.where(planar.boxes_meet(left_shape.box(), right_shape.box(), radius))
+    extra = (*KEYS, "_lown", "_rown", "_cut")
     if isinstance(left_shape, Point) or needs_distinct(left_shape, right_shape):
-        return pairs.drop(*KEYS)
+        return pairs.drop(*extra)
     # of all cells two boxes share, exactly one holds the lower left corner of their overlap
     lx, ly, *_ = left_shape.box()
     rx, ry, *_ = right_shape.box()
+    size = size_of(cell, F.col("_level"))
     corner_x, corner_y = F.greatest(lx, rx - radius), F.greatest(ly, ry - radius)
-    here = (cell_of(corner_x, cell) == F.col("_cx")) & (cell_of(corner_y, cell) == F.col("_cy"))
+    here = (cell_of(corner_x, size) == F.col("_cx")) & (cell_of(corner_y, size) == F.col("_cy"))
     if crowded.table is not None:
-        cuts = F.broadcast(crowded.table.drop("_salts"))
-        pairs = pairs.join(cuts, ["_cx", "_cy"], "left").withColumn("_cut", F.coalesce("_cut", F.lit(1)))
+        cuts = crowded.table.drop("_lsalts", "_rsalts")
+        pairs = pairs.join(cuts, list(CELL_KEYS), "left").withColumn("_cut", F.coalesce("_cut", F.lit(1)))
         here = (
             here
-            & (_fine(corner_x, F.col("_cx"), cell, F.col("_cut")) == F.col("_fx"))
-            & (_fine(corner_y, F.col("_cy"), cell, F.col("_cut")) == F.col("_fy"))
+            & (_fine(corner_x, F.col("_cx"), size, F.col("_cut")) == F.col("_fx"))
+            & (_fine(corner_y, F.col("_cy"), size, F.col("_cut")) == F.col("_fy"))
         )
-    return pairs.where(here).drop(*KEYS, "_cut")
+    return pairs.where(here).drop(*extra)
 
 
 def needs_distinct(left_shape: Shape, right_shape: Shape) -> bool:

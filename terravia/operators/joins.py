@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terravia.session import cut_lineage
+
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
 HOT_SHARE = 1024
 
 
@@ -16,16 +19,45 @@ def hot_keys(df: DataFrame, key: Column, share: int = HOT_SHARE) -> list:
     return [r["k"] for r in counted.where(F.col("n") > total / share).select("k").collect()]
 
 
+def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Has the table at most so many rows and, as text, bytes?"""
+    text = F.to_json(F.struct("*"))
+    n, held = table.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(F.octet_length(text))).first()
+    return n <= rows and (held or 0) <= size
+
+
+def salted_join(big: DataFrame, small: DataFrame, on, rows_per_salt: int = 100_000) -> DataFrame:
+    """Inner join in which a key with many rows of ``big`` becomes as many join keys as it needs.
+
+    ``big`` is written, then counted per key; a key is dealt to ``rows / rows_per_salt`` salts, and
+    the rows of ``small`` with that key are copied to each. There is no upper limit to the salts.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    stored = cut_lineage(big, "salted")
+    salts = F.ceil(F.col("_n") / rows_per_salt).cast("int")
+    counted = stored.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_salt)
+    hot = cut_lineage(counted.select(*on, salts.alias("_salts")), "hot-keys")
+    if hot.isEmpty():
+        return stored.join(small, on)
+    spread = stored.join(hot, on, "left").withColumns({"_salts": F.coalesce("_salts", F.lit(1))})
+    # the table is written, so the position of a row stays the same when a task is run again
+    spread = spread.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.col("_salts")).cast("int"))
+    copies = small.join(hot, on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    )
+    return spread.drop("_salts").join(copies.drop("_salts"), [*on, "_salt"]).drop("_salt")
+
+
 def lookup_join(
     df: DataFrame, on: Column, table: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS, share: int = HOT_SHARE
 ) -> DataFrame:
     """``df`` left joined to ``table`` (one row per ``key``) on ``on == key``.
 
-    A table of counted small size is broadcast. A larger one is shuffled, except for its rows of the
+    A table of measured small size is broadcast. A larger one is shuffled, except for its rows of the
     hot keys of ``df``: those are at most ``share`` rows, so they are broadcast to the rows that need
     them, which then never meet in one partition.
     """
-    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if fits_broadcast(table, broadcast_rows):
         return df.join(F.broadcast(table), on == F.col(key), "left")
     hot = hot_keys(df, on, share)
     if not hot:

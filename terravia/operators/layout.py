@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terravia.functions.shapes import Shape
@@ -31,7 +31,8 @@ def add_cells(df: DataFrame, shape: Shape, cell: float, coarse: int = 16) -> Dat
             "cx": cx,
             "cy": cy,
             "zcode": interleave(cx, cy),
-            "coarse_cell": F.concat_ws("_", F.floor(cx / coarse).cast("string"), F.floor(cy / coarse).cast("string")),
+            "coarse_x": F.floor(cx / coarse).cast("bigint"),
+            "coarse_y": F.floor(cy / coarse).cast("bigint"),
         }
     )
 
@@ -43,28 +44,45 @@ def cluster(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return ranged.sortWithinPartitions("zcode")
 
 
-def write_grid(df: DataFrame, shape: Shape, cell: float, path: str, coarse: int = 16) -> DataFrame:
-    """Write a layer clustered by cell and partitioned by coarse cell."""
+def write_grid(
+    df: DataFrame, shape: Shape, cell: float, path: str, coarse: int = 16, overwrite: bool = True
+) -> DataFrame:
+    """Write a layer clustered by cell and partitioned by coarse cell.
+
+    Beside it lies one row on the layout: the cell sizes, and the largest extent of a geometry right
+    and up of its lower left corner, which a box filter must reach back by.
+    """
+    spark = df.sparkSession
     clustered = cluster(add_cells(df, shape, cell, coarse))
-    clustered.write.mode("overwrite").partitionBy("coarse_cell").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    clustered.write.mode("overwrite" if overwrite else "errorifexists").partitionBy("coarse_x", "coarse_y").parquet(path)
+    stored = _read(spark, path, clustered.schema)
+    xmin, ymin, xmax, ymax = shape.box()
+    reach = [F.coalesce(F.max(v), F.lit(0.0)).alias(n) for v, n in ((xmax - xmin, "reach_x"), (ymax - ymin, "reach_y"))]
+    about = stored.where(shape.present()).agg(*reach).select(F.lit(float(cell)).alias("cell"), F.lit(coarse).alias("coarse"), "*")
+    about.write.mode("overwrite").parquet(_about(path))
+    return stored
+
+
+def _about(path: str) -> str:
+    return path.rstrip("/") + ".layout"
+
+
+def _read(spark: SparkSession, path: str, schema) -> DataFrame:
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
-def box_filter(df: DataFrame, cell: float, xmin: float, ymin: float, xmax: float, ymax: float, coarse: int = 16,
-               reach: float = 0.0) -> DataFrame:
-    """Rows whose cell may meet the box: prunes coarse partitions, then row groups by cell number.
+def read_box(spark: SparkSession, path: str, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:
+    """Rows of a written layer whose geometry may meet the box; rows that do are all among them.
 
-    ``reach`` is the largest extent of one geometry right and up of its lower left corner.
+    Prunes coarse partitions, then row groups by cell number.
     """
-    low_x, high_x = int((xmin - reach) // cell), int(xmax // cell)
-    low_y, high_y = int((ymin - reach) // cell), int(ymax // cell)
-    names = [
-        f"{i}_{j}"
-        for i in range(low_x // coarse, high_x // coarse + 1)
-        for j in range(low_y // coarse, high_y // coarse + 1)
-    ]
-    return df.where(
-        F.col("coarse_cell").isin(names)
+    about = spark.read.parquet(_about(path)).first()
+    cell, coarse = about["cell"], about["coarse"]
+    low_x, high_x = int((xmin - about["reach_x"]) // cell), int(xmax // cell)
+    low_y, high_y = int((ymin - about["reach_y"]) // cell), int(ymax // cell)
+    return spark.read.option("basePath", path).parquet(path).where(
+        F.col("coarse_x").between(low_x // coarse, high_x // coarse)
+        & F.col("coarse_y").between(low_y // coarse, high_y // coarse)
         & F.col("cx").between(low_x, high_x)
         & F.col("cy").between(low_y, high_y)
     )

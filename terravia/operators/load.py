@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import json
 from collections import Counter
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terravia.errors import LayerError
 from terravia.functions import crs
+from terravia.session import cut_lineage
 
-ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 512
 DECLARED_LENGTH = "__CHAR_VARCHAR_TYPE_STRING"  # fixed value: Spark's own metadata key
 
 
@@ -59,61 +57,37 @@ def assign_gid(df: DataFrame, gid: str = "gid") -> DataFrame:
     return df.withColumn(gid, F.monotonically_increasing_id() + 1)
 
 
-def _limits(df: DataFrame, key: Column, buckets: int, rows: int) -> list[tuple]:
-    """Ordered bucket limits ``(value, after)`` from a small sample of keys.
-
-    A value the sample meets at several quantiles holds a large share of the rows: it gets a bucket
-    of its own, from the value to just after it. Limits steer the layout only, never the result.
-    """
-    wanted = 40 * buckets
-    sample = df.select(key.alias("k")).where(F.col("k").isNotNull())
-    if rows > wanted:
-        sample = sample.sample(fraction=wanted / rows, seed=7)
-    keys = sorted(r[0] for r in sample.limit(4 * wanted).collect())
-    step = max(1, len(keys) // buckets)
-    cuts = Counter(keys[step::step][: buckets - 1])
-    return [(v, after) for v in sorted(cuts) for after in ((False, True) if cuts[v] > 1 else (False,))]
-
-
 def assign_dense_gid(df: DataFrame, order_by: str, gid: str = "gid", buckets: int | None = None) -> DataFrame:
-    """Dense key 1..n in the order of ``order_by``, without a global window.
+    """Dense key 1..n in the order of ``order_by``, NULL last, without a global window.
 
-    Rows go to range buckets with literal limits, a bucket of one repeated value is cut further by a
-    hash of the row, each piece is numbered on its own and shifted by the row count of the pieces
-    before it (a bounded list of counts reaches the driver). The numbers depend on the data only,
-    so a recomputed task gives the same ones; rows that are equal in every column are alike anyway.
+    Rows are range-partitioned and sorted by the key and then by all columns, so the order is total
+    but for rows that are equal in every column: the numbers depend on the data only. Equal keys and
+    NULL keys spread over ranges like any other. Each range is numbered as it is written, and shifted
+    by the rows of the ranges before it (one row per range). ``buckets`` is the number of ranges.
     """
     key = F.col(f"`{order_by}`")
-    rows = df.count() if buckets is None or buckets > 1 else 0
-    if buckets is None:
-        buckets = max(1, min(MAX_BUCKETS, rows // ROWS_PER_BUCKET))
-    limits = _limits(df, key, buckets, rows) if buckets > 1 else []
-    if not limits:
-        alone = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(key.asc_nulls_last()))
-        return df.select(alone.cast("bigint").alias(gid), *[F.col(f"`{c}`") for c in df.columns])
-    bucket, lone = F.lit(0), F.lit(False)
-    for number, (value, after) in enumerate(limits, start=1):
-        reached = key > F.lit(value) if after else key >= F.lit(value)
-        bucket = F.when(reached, F.lit(number)).otherwise(bucket)
-        if after:
-            lone = lone | (key == F.lit(value))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(buckets)).cast("int")
-    # a NULL key sorts last, so it is numbered after every bucket
-    marked = df.withColumns(
-        {
-            "_bucket": F.when(key.isNull(), F.lit(len(limits) + 1)).otherwise(bucket),
-            "_piece": F.when(lone | key.isNull(), spread).otherwise(F.lit(0)),
-        }
-    )
-    before, offsets = 0, {}
-    for r in sorted(marked.groupBy("_bucket", "_piece").count().collect()):
-        offsets[r[0], r[1]] = before
-        before += r[2]
-    table = [[offsets.get((i, j), 0) for j in range(buckets)] for i in range(len(limits) + 2)]
-    literal = F.from_json(F.lit(json.dumps(table)), "array<array<bigint>>")
-    shift = F.get(F.get(literal, F.col("_bucket")), F.col("_piece"))
-    rank = F.row_number().over(W.partitionBy("_bucket", "_piece").orderBy(key.asc_nulls_last()))
-    return marked.select((shift + rank).cast("bigint").alias(gid), *[F.col(f"`{c}`") for c in df.columns])
+    others = [F.col(f"`{f.name}`") for f in df.schema if _sortable(f.dataType) and f.name != order_by]
+    order = [key.asc_nulls_last(), *others]
+    # columns without an order (maps) are told apart by their text
+    order += [F.to_json(F.struct(f"`{f.name}`")) for f in df.schema if not _sortable(f.dataType)]
+    ranged = df.repartitionByRange(buckets, *order) if buckets else df.repartitionByRange(*order)
+    # the low 33 bits of this id count the rows of a partition in its sorted order
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = ranged.sortWithinPartitions(*order).withColumns({"_range": F.spark_partition_id(), "_place": place})
+    stored = cut_lineage(numbered, "dense-gid")
+    sizes = stored.groupBy("_range").count()
+    before = F.sum("count").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1))
+    shifts = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    number = (F.col("_before") + F.col("_place") + 1).cast("bigint").alias(gid)
+    return stored.join(shifts, "_range").select(number, *[F.col(f"`{c}`") for c in df.columns])
+
+
+def _sortable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_sortable(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _sortable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def reproject_lonlat(df: DataFrame, lon: str, lat: str, x: str = "x", y: str = "y", source: int = 4326) -> DataFrame:
@@ -125,8 +99,12 @@ def reproject_lonlat(df: DataFrame, lon: str, lat: str, x: str = "x", y: str = "
     return df.select(*kept, east.alias(x), north.alias(y))
 
 
-def reproject_layer(df: DataFrame, source: int) -> DataFrame:
-    """Project the ``geom`` column to Lambert-93; a layer without geometry is returned as is."""
+def reproject_layer(df: DataFrame, source: int | None = None) -> DataFrame:
+    """Project the ``geom`` column to Lambert-93; a layer without geometry is returned as is.
+
+    Every geometry is projected by its own SRID: one already in Lambert-93 stays as it is.
+    ``source`` stands in where a geometry has none; an SRID that cannot be projected is an error.
+    """
     if "geom" not in df.columns:
         return df
     return df.withColumn("geom", crs.reproject_geom(F.col("geom"), source))

@@ -82,14 +82,14 @@ PLAIN_KINDS = {Point: "POINT", Segment: "LINESTRING", Box: "POLYGON"}
 def geometry_profile(layers: dict[str, tuple[DataFrame, Shape | None]], srid: int = 2154) -> DataFrame:
     """One row per layer: geometry kind, dimension, SRID, rows, missing geometries and extent.
 
-    A layer without geometry has NULL in all geometry columns. Several kinds in one layer show as
-    a sorted list; the number of kinds is fixed, so the set stays small.
+    A layer without geometry has NULL in all geometry columns. Several kinds, dimensions or SRIDs in
+    one layer show as a sorted list; the number of each is fixed, so the sets stay small.
     """
 
     def one(name, df, shape):
         if shape is None:
             none = {c: F.lit(None).cast(t).alias(c) for c, t in (
-                ("kind", "string"), ("dim", "int"), ("srid", "int"), ("n_missing", "bigint"),
+                ("kind", "string"), ("dim", "string"), ("srid", "string"), ("n_missing", "bigint"),
                 ("xmin", "double"), ("ymin", "double"), ("xmax", "double"), ("ymax", "double"))}
             return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
                 F.lit(name).alias("layer"), "n_rows", *none.values()
@@ -106,8 +106,8 @@ def geometry_profile(layers: dict[str, tuple[DataFrame, Shape | None]], srid: in
         return rows.agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.array_join(F.sort_array(F.collect_set("k")), ",").alias("kind"),
-            F.max("d").cast("int").alias("dim"),
-            F.max("s").cast("int").alias("srid"),
+            F.array_join(F.transform(F.sort_array(F.collect_set("d")), lambda v: v.cast("string")), ",").alias("dim"),
+            F.array_join(F.transform(F.sort_array(F.collect_set("s")), lambda v: v.cast("string")), ",").alias("srid"),
             F.count_if(F.col("k").isNull()).alias("n_missing"),
             F.min("b0").alias("xmin"), F.min("b1").alias("ymin"),
             F.max("b2").alias("xmax"), F.max("b3").alias("ymax"),
@@ -126,6 +126,11 @@ def require_same_srid(a: DataFrame, b: DataFrame, column_a: str = "geom", column
         raise LayerError(f"several SRIDs in one layer: {sorted(found)}")
     if not found:
         return a
-    g = F.col(column_a)
-    bad = F.raise_error(F.concat(F.lit("mixed SRIDs: "), g["srid"].cast("string"), F.lit(f" and {found[0]}")))
-    return a.withColumn(column_a, F.when(g["srid"] != found[0], bad.cast(a.schema[column_a].dataType)).otherwise(g))
+    return with_srid(a, column_a, found[0])
+
+
+def with_srid(df: DataFrame, column: str, srid: int) -> DataFrame:
+    """``df`` with a guard that fails on the first geometry of another SRID."""
+    g = F.col(column)
+    bad = F.raise_error(F.concat(F.lit("mixed SRIDs: "), g["srid"].cast("string"), F.lit(f" and {srid}")))
+    return df.withColumn(column, F.when(g["srid"] != srid, bad.cast(df.schema[column].dataType)).otherwise(g))

@@ -9,7 +9,9 @@ from terravia.errors import LayerError
 from terravia.functions import geom as G
 from terravia.functions import shapes as S
 from terravia.operators.grid import choose_cell, grid_candidates, needs_distinct
+from terravia.operators.joins import salted_join
 from terravia.operators.profile import require_same_srid
+from terravia.session import cut_lineage
 
 
 def grid_join(
@@ -22,14 +24,26 @@ def grid_join(
     radius: float = 0.0,
     **options,
 ) -> DataFrame:
-    """Every pair within ``radius`` by bounding box that passes the exact ``test``, once each.
+    """Every pair of rows within ``radius`` by bounding box that passes the exact ``test``, once each.
 
-    With segments on a side a pair can come from several cells: then the whole row is made distinct,
-    so both sides should carry a key.
+    Equal rows are rows of their own: each gives its own pairs. With segments on a side a pair can
+    come from several cells; the rows are then numbered (and written, so the numbers stay), only
+    numbers and coordinates go through the grid, and the other columns are joined to the pairs.
+    Geometry columns with different SRIDs fail.
     """
+    if isinstance(left_shape, S.Geom) and isinstance(right_shape, S.Geom):
+        left = require_same_srid(left, right, left_shape.column, right_shape.column)
     cell = cell or choose_cell(right, right_shape, radius)
-    pairs = grid_candidates(left, left_shape, right, right_shape, cell, radius, **options).where(test)
-    return pairs.distinct() if needs_distinct(left_shape, right_shape) else pairs
+    if not needs_distinct(left_shape, right_shape):
+        return grid_candidates(left, left_shape, right, right_shape, cell, radius, **options).where(test)
+    a = cut_lineage(left.withColumn("_ln", F.monotonically_increasing_id()), "left")
+    b = cut_lineage(right.withColumn("_rn", F.monotonically_increasing_id()), "right")
+    near = grid_candidates(
+        a.select("_ln", *left_shape.columns), left_shape, b.select("_rn", *right_shape.columns), right_shape, cell,
+        radius, **options,
+    )
+    pairs = near.where(test).select("_ln", "_rn").distinct()
+    return pairs.join(a, "_ln").join(b, "_rn").select(*left.columns, *right.columns)
 
 
 def intersects_join(
@@ -79,7 +93,8 @@ def _starts_of(df: DataFrame, key: str, shape: S.Shape, tag: str) -> tuple[DataF
 def _holding(areas: DataFrame, area_key: str, area: S.Shape, others: DataFrame, key: str, shape: S.Shape, cell, options):
     """Pairs in which an area holds the first vertex of a part of the other geometry.
 
-    Keys and boxes find the candidates; the polygon itself joins only them.
+    Keys and boxes find the candidates; the polygon itself joins only them. Rows of the candidates
+    with a NULL key have no pair.
     """
     polygons = areas.where(area.present()).select(area_key, area.geom().alias("_polygon"))
     polygons = polygons.where(G.is_area(F.col("_polygon")))
@@ -87,7 +102,8 @@ def _holding(areas: DataFrame, area_key: str, area: S.Shape, others: DataFrame,
     boxes = polygons.select(area_key, *[b.alias(n) for b, n in zip(G.bounds(F.col("_polygon")), box.columns)])
     starts, point = _starts_of(others, key, shape, "_s")
     found = grid_candidates(starts, point, boxes, box, cell, **options).select(area_key, key, point.x, point.y)
-    held = found.join(polygons, area_key).where(
+    # one area may hold most of the points: its key is dealt to as many salts as they need
+    held = salted_join(found, polygons, area_key).where(
         G.inside(F.col(point.x), F.col(point.y), G.edges(F.col("_polygon")))
     )
     return held.select(area_key, key)

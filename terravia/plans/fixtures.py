@@ -38,7 +38,7 @@ VIEWS = {
         from {customer} join {nation} on c_nationkey = n_nationkey join {region} on n_regionkey = r_regionkey""",
     "segment": """
         select p_partkey as seg_id, p_brand as lib_rte,
-               case when p_type in ('PROMO', 'LARGE') then 'AUTRE' else 'DIRNO' end as gestionnaire,
+               case when p_type in ('PROMO', 'LARGE') then 'OTHER' else 'OWN' end as gestionnaire,
                cast(400000 + (p_partkey * 7507) % 100000 as double) as x1,
                cast(6850000 + (p_partkey * 9109) % 100000 as double) as y1,
                cast(400000 + (p_partkey * 7507) % 100000 + (p_partkey % 7) * 300 - 900 as double) as x2,
@@ -64,7 +64,13 @@ VIEWS = {
                48e0 + (c_custkey % 250) * 1e-2 as lat
         from {customer}""",
     "grants": """
-        select distinct user_id as object_id, event_type as privilege from {events} where value > 20""",
+        select distinct event_id - event_id % 4 as object_id, event_type as privilege from {events}""",
+    "object": """
+        select distinct event_id - event_id % 4 as object_id,
+               case (event_id - event_id % 4) % 3 when 0 then 'pg_own' when 1 then 'roads' else 'stock' end as schema,
+               case when event_id % 8 < 4 then 'r' else 'v' end as type,
+               case when (event_id - event_id % 4) % 5 = 0 then 'geom' end as geom_column
+        from {events}""",
     "layer_name": """
         select page_id,
                concat(url, case page_id % 6 when 0 then '/COMMUNE_2014.shp' when 1 then '/n_departement'

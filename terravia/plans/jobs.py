@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import datetime
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,22 +10,26 @@ from pyspark.sql import functions as F
 
 from terravia.errors import LayerError
 from terravia.functions import shapes as S
-from terravia.operators import dissolve, enrich, filters, load, nearest, profile, quality, spatial
+from terravia.functions.text import this_year
+from terravia.operators import dissolve, enrich, filters, layout, load, nearest, profile, quality, spatial
 from terravia.sources import sinks
 from terravia.sources.layers import has_geometry, require_kind
 
 TAG_LENGTH = 40
 BUFFER_RADIUS = 50.0
-# fixed values: the manager code in the network data, and the flag column of departments
-MANAGER = "DIRNO"
-FLAG = "dep_dirno"
+LAYOUT_CELL = 1000.0
+MANAGER = "OWN"
+FLAG = "on_network"
 
 
 @dataclass(frozen=True)
 class Imported:
+    """A stored layer: its rows, key, view, catalog table with statistics, and description."""
+
     layer: DataFrame
     key: quality.KeyChoice
-    view: str | None
+    view: str
+    table: str
     profile: DataFrame
 
 
@@ -44,7 +48,7 @@ def prepare(
     ready = plain_fields(df)
     if lonlat:
         ready = load.reproject_lonlat(ready, *lonlat, source=source_srid)
-    elif has_geometry(ready) and source_srid != 2154:
+    elif has_geometry(ready):
         ready = load.reproject_layer(ready, source_srid)
     if "gid" in ready.columns:
         return ready
@@ -58,12 +62,30 @@ def import_layer(
     overwrite: bool = True,
     primary_key=None,
     shape: S.Shape | None = None,
+    enriched: Callable[[DataFrame], DataFrame] | None = None,
+    cell: float = LAYOUT_CELL,
+    schema: str = "layers",
     **preparation,
 ) -> Imported:
-    """Prepare a layer, write it, choose its key, publish ``<table>_view`` and describe it."""
-    stored = sinks.write_layer(prepare(df, **preparation), path, overwrite)
+    """The import stage of every job.
+
+    Prepares the layer, adds what ``enriched`` makes of it, writes it (clustered by place if it has a
+    geometry), chooses its key, registers it with statistics, publishes ``<table>_view`` and
+    describes it. Everything returned is read from what was stored.
+    """
+    ready = prepare(df, **preparation)
+    if enriched is not None:
+        ready = enriched(ready)
+    if shape is None:
+        stored = sinks.write_layer(ready, path, overwrite)
+    else:
+        layout.write_grid(ready, shape, cell, path, overwrite=overwrite)
+        stored = df.sparkSession.read.parquet(path).select(*[F.col(f"`{c}`") for c in ready.columns])
     described = profile.geometry_profile({table: (stored, shape)})
-    return Imported(stored, quality.choose_key(stored, primary_key), sinks.publish_view(stored, table), described)
+    return Imported(
+        stored, quality.choose_key(stored, primary_key), sinks.publish_view(stored, table),
+        sinks.register_table(df.sparkSession, schema, table, path), described,
+    )
 
 
 def _fits(df: DataFrame, *columns: str) -> DataFrame:
@@ -120,20 +142,65 @@ def tag_district(
     return tag_centre_and_district(layer, lookup, centres, shape, key=key).drop("_cei")
 
 
+def import_tagged(df, table, path, lookup, centres=None, shape=None, field=None, normalise=False, **options) -> Imported:
+    """Import a layer with its centre and district."""
+    return import_layer(
+        df, table, path, shape=shape, **options,
+        enriched=lambda layer: tag_centre_and_district(layer, lookup, centres, shape, field, normalise=normalise),
+    )
+
+
+def import_districts(df, table, path, lookup, centres=None, shape=None, field=None, **options) -> Imported:
+    """Import a layer with its district only."""
+    return import_layer(
+        df, table, path, shape=shape, **options,
+        enriched=lambda layer: tag_district(layer, lookup, centres, shape, field),
+    )
+
+
 def network_buffer(
-    network: DataFrame, shape: S.Segment = S.Segment(), route: str = "lib_rte", radius: float = BUFFER_RADIUS
+    network: DataFrame,
+    shape: S.Segment = S.Segment(),
+    route: str = "lib_rte",
+    radius: float = BUFFER_RADIUS,
+    manager: str = MANAGER,
 ) -> DataFrame:
     """Buffers of one manager's routes as distinct parts with a radius."""
-    managed = network.where(F.col("gestionnaire") == MANAGER)
+    managed = network.where(F.col("gestionnaire") == manager)
     return dissolve.buffer_parts(dissolve.dissolve_parts(managed, route, shape), radius)
 
 
-def load_network(network: DataFrame, path: str, year: int | None = None) -> DataFrame:
+def load_network(network: DataFrame, path: str, year: int | None = None, manager: str = MANAGER) -> DataFrame:
     """One manager's part of the network, written as the partition of its vintage."""
-    managed = plain_fields(network).where(F.col("gestionnaire") == MANAGER)
-    stamped = sinks.with_vintage(managed, year)
-    stored = sinks.write_partition(stamped, path, "millesime")
-    return stored.where(F.col("millesime") == (year or datetime.date.today().year))
+    managed = plain_fields(network).where(F.col("gestionnaire") == manager)
+    return sinks.write_partition(managed, path, {"millesime": year or this_year()})
+
+
+def store_buffers(
+    network: DataFrame, path: str, route: str = "lib_rte", radius: float = BUFFER_RADIUS, manager: str = MANAGER,
+    cell: float = LAYOUT_CELL,
+) -> DataFrame:
+    """Dissolve and buffer a loaded network once; later jobs read what lies at ``path``."""
+    layout.write_grid(network_buffer(network, route=route, radius=radius, manager=manager), S.Segment(), cell, path)
+    return read_buffers(network.sparkSession, path, route)
+
+
+def read_buffers(spark, path: str, route: str = "lib_rte") -> DataFrame:
+    """The stored buffers: route, ends of a part, radius."""
+    return spark.read.parquet(path).select(route, "x1", "y1", "x2", "y2", "radius")
+
+
+def _pairs(layer: DataFrame, shape: S.Shape, key: str, buffers: DataFrame, route: str, cell: float | None) -> DataFrame:
+    """(key, route, radius) of the buffers met; parts of one radius join together, there are few."""
+    found = None
+    for (radius,) in buffers.select("radius").distinct().collect():
+        parts = buffers.where(F.col("radius") == radius)
+        near = spatial.buffer_intersects_join(layer, shape, key, parts, S.Segment(), route, radius, cell)
+        near = near.withColumn("radius", F.lit(radius))
+        found = near if found is None else found.unionByName(near)
+    if found is None:
+        return layer.select(key).limit(0).withColumns({route: F.lit(""), "radius": F.lit(0.0)})
+    return found
 
 
 def intersect_buffers(
@@ -146,25 +213,18 @@ def intersect_buffers(
     kinds: tuple[str, ...],
     partition: dict,
     route: str = "lib_rte",
-    radius: float = BUFFER_RADIUS,
     cell: float | None = None,
+    overwrite: bool = True,
 ) -> DataFrame:
-    """Rows of a layer per route buffer they meet, written as one partition.
+    """Rows of a layer with the columns of each route buffer they meet, written as one partition.
 
-    The layer name must be of one of ``kinds``; a rerun replaces the partition. ``shape`` and
-    ``key`` name the columns in lower case, as the load leaves them.
+    The layer name must be of one of ``kinds``; a rerun replaces the partition, or fails without
+    ``overwrite``. ``shape`` and ``key`` name the columns in lower case, as the load leaves them.
     """
     kind = require_kind(name, kinds)
     layer = plain_fields(layer)
-    pairs = spatial.buffer_intersects_join(layer, shape, key, buffers, S.Segment(), route, radius, cell)
-    rows = spatial.attach(pairs, layer, key)
-    values = {"layer": kind, **partition}
-    stamped = rows.withColumns({c: F.lit(v) for c, v in values.items()})
-    stored = sinks.write_partition(stamped, path, list(values))
-    mine = [F.col(c) == v for c, v in values.items()]
-    for condition in mine:
-        stored = stored.where(condition)
-    return stored
+    rows = spatial.attach(_pairs(layer, shape, key, buffers, route, cell), layer, key)
+    return sinks.write_partition(rows, path, {"layer": kind, **partition}, overwrite)
 
 
 def commune_intersect(layer, shape, key, buffers, path, name, year, **options) -> DataFrame:
@@ -180,11 +240,13 @@ def parcel_intersect(layer, shape, key, buffers, path, name, dep, **options) ->
 
 
 def departement_flag(
-    layer: DataFrame, shape: S.Shape, key: str, buffers: DataFrame, name: str, route: str = "lib_rte",
-    radius: float = BUFFER_RADIUS, cell: float | None = None,
-) -> DataFrame:
-    """Does each département meet any route buffer?"""
-    require_kind(name, ("departement",))
-    layer = plain_fields(layer)
-    pairs = spatial.buffer_intersects_join(layer, shape, key, buffers, S.Segment(), route, radius, cell)
-    return spatial.touch_flag(layer, key, pairs, FLAG)
+    layer: DataFrame, shape: S.Shape, key: str, buffers: DataFrame, table: str, path: str, route: str = "lib_rte",
+    cell: float | None = None, flag: str = FLAG, **options,
+) -> Imported:
+    """Import the départements with a flag: does each meet any route buffer?"""
+    require_kind(table, ("departement",))
+
+    def flagged(ready: DataFrame) -> DataFrame:
+        return spatial.touch_flag(ready, key, _pairs(ready, shape, key, buffers, route, cell), flag)
+
+    return import_layer(layer, table, path, shape=shape, enriched=flagged, **options)

@@ -12,9 +12,11 @@ from terravia.plans.queries_layers import LAMBERT_X, LAMBERT_Y
 from terravia.plans.queries_space import CELL, NEAREST_SQL, PARTS_SQL
 from terravia.plans.registry import milli, milli_sql, query
 from terravia.session import scratch_path
+from terravia.sources import sinks
 
 YEAR = 2016
-DEP = 14
+DEPS = (14, 15, 16, 17)
+FEAT = S.Point()
 
 
 @query(
@@ -22,10 +24,10 @@ DEP = 14
     with_views("lonlat") + f" select gid, {milli_sql(LAMBERT_X)} as x, {milli_sql(LAMBERT_Y)} as y from lonlat",
 )
 def job_import(spark, sf):
-    """Names, projection, write, key check, view and profile of one layer."""
+    """Names, projection, write, layout, statistics, key check, view and profile of one layer."""
     raw = view(spark, sf, "lonlat").toDF("GID", "Lon", "LAT")
     imported = jobs.import_layer(
-        raw, "localisant_14", scratch_path(spark, "import"), primary_key="gid", shape=S.Point(),
+        raw, "localisant_14", scratch_path(spark, "import"), primary_key="gid", shape=FEAT,
         source_srid=4326, lonlat=("lon", "lat"),
     )
     return spark.table(imported.view).select("gid", milli(F.col("x")).alias("x"), milli(F.col("y")).alias("y"))
@@ -38,10 +40,11 @@ def job_import(spark, sf):
     from feat f left join (select * from ranked where rn = 1) r on r.gid = f.gid left join lookup on cei = r.libcei""",
 )
 def job_cei_by_geometry(spark, sf):
-    layer = jobs.prepare(view(spark, sf, "feat"))
-    return jobs.tag_centre_and_district(
-        layer, view(spark, sf, "lookup"), view(spark, sf, "centre"), shape=S.Point()
+    done = jobs.import_tagged(
+        view(spark, sf, "feat"), "feat_cei", scratch_path(spark, "cei"), view(spark, sf, "lookup"),
+        view(spark, sf, "centre"), FEAT, primary_key="gid",
     )
+    return spark.table(done.view)
 
 
 @query(
@@ -52,8 +55,11 @@ def job_cei_by_geometry(spark, sf):
 )
 def job_cei_by_attribute(spark, sf):
     """Lower-case codes pass the check and get no district, as the lookup compares them as they are."""
-    layer = jobs.prepare(view(spark, sf, "feat_valid").drop("district_field"))
-    return jobs.tag_centre_and_district(layer, view(spark, sf, "lookup"), field="cei_field")
+    layer = view(spark, sf, "feat_valid").drop("district_field")
+    done = jobs.import_tagged(
+        layer, "feat_field", scratch_path(spark, "cei"), view(spark, sf, "lookup"), field="cei_field"
+    )
+    return spark.table(done.table)
 
 
 @query(
@@ -63,8 +69,11 @@ def job_cei_by_attribute(spark, sf):
     from feat f left join (select * from ranked where rn = 1) r on r.gid = f.gid left join lookup on cei = r.libcei""",
 )
 def job_district_by_geometry(spark, sf):
-    layer = jobs.prepare(view(spark, sf, "feat"))
-    return jobs.tag_district(layer, view(spark, sf, "lookup"), view(spark, sf, "centre"), shape=S.Point())
+    done = jobs.import_districts(
+        view(spark, sf, "feat"), "feat_district", scratch_path(spark, "district"), view(spark, sf, "lookup"),
+        view(spark, sf, "centre"), FEAT,
+    )
+    return spark.table(done.view)
 
 
 @query(
@@ -72,8 +81,20 @@ def job_district_by_geometry(spark, sf):
     with_views("feat_valid") + " select gid, district_field, district_field as _district from feat_valid",
 )
 def job_district_by_attribute(spark, sf):
-    layer = jobs.prepare(view(spark, sf, "feat_valid").drop("cei_field"))
-    return jobs.tag_district(layer, view(spark, sf, "lookup"), field="district_field")
+    layer = view(spark, sf, "feat_valid").drop("cei_field")
+    done = jobs.import_districts(
+        layer, "feat_district_field", scratch_path(spark, "district"), view(spark, sf, "lookup"), field="district_field"
+    )
+    return spark.table(done.table)
+
+
+def _buffers(spark, sf):
+    """Load the network as a vintage, store its buffers and read them back."""
+    raw = view(spark, sf, "segment")
+    loaded = jobs.load_network(raw.toDF(*[c.upper() for c in raw.columns]), scratch_path(spark, "network"), YEAR)
+    path = scratch_path(spark, "buffers")
+    jobs.store_buffers(loaded, path)
+    return jobs.read_buffers(spark, path)
 
 
 @query(
@@ -82,65 +103,67 @@ def job_district_by_attribute(spark, sf):
     + f", {PARTS_SQL} select lib_rte, x1, y1, x2, y2, 50.0::double as radius from parts",
 )
 def job_network_buffer(spark, sf):
-    """Load one manager's network as a vintage, then dissolve and buffer it."""
-    raw = view(spark, sf, "segment")
-    loaded = jobs.load_network(raw.toDF(*[c.upper() for c in raw.columns]), scratch_path(spark, "network"), YEAR)
-    return jobs.network_buffer(loaded)
+    """Load one manager's network as a vintage, then dissolve, buffer and store it."""
+    return _buffers(spark, sf)
 
 
 @query(
     "job_commune_intersect",
     with_views("rect", "segment") + f"""
-    select distinct id, xmin, ymin, xmax, ymax, lib_rte, 'commune' as layer, {YEAR} as millesime
-    from rect, segment where gestionnaire = 'DIRNO' and {sql.box_near_segment(50)} and {sql.box_segment()} <= 2500""",
+    select distinct id, xmin, ymin, xmax, ymax, lib_rte, 50.0::double as radius, 'commune' as layer, {YEAR} as millesime
+    from rect, segment where gestionnaire = 'OWN' and {sql.box_near_segment(50)} and {sql.box_segment()} <= 2500""",
 )
 def job_commune_intersect(spark, sf):
-    buffers = jobs.network_buffer(view(spark, sf, "segment"))
+    name = "geo/COMMUNE_2016"
+    done = jobs.import_layer(layer(spark, sf, "rect"), "commune_2016", scratch_path(spark, "layer"), shape=S.Box(),
+                             primary_key="id")
     return jobs.commune_intersect(
-        layer(spark, sf, "rect"), S.Box(), "id", buffers, scratch_path(spark, "commune"), "geo/COMMUNE_2016.shp",
-        YEAR, cell=CELL,
+        done.layer.drop("gid"), S.Box(), "id", _buffers(spark, sf), scratch_path(spark, "commune"), name, YEAR, cell=CELL
     )
 
 
 @query(
     "job_parcel_intersect",
     with_views("parcel", "segment") + f"""
-    select distinct id, xmin, ymin, xmax, ymax, lib_rte, 'parcelle' as layer, {DEP} as dep
-    from parcel, segment where parcel.dep = {DEP} and gestionnaire = 'DIRNO'
+    select distinct id, xmin, ymin, xmax, ymax, lib_rte, 50.0::double as radius, 'parcelle' as layer, dep
+    from parcel, segment where gestionnaire = 'OWN'
       and {sql.box_near_segment(50)} and {sql.box_segment()} <= 2500""",
 )
 def job_parcel_intersect(spark, sf):
-    """Parcels of one département (the layer the job is given) by route buffer."""
-    buffers = jobs.network_buffer(view(spark, sf, "segment"))
-    parcels = layer(spark, sf, "parcel").where(F.col("dep") == DEP).drop("dep")
-    return jobs.parcel_intersect(
-        parcels, S.Box(), "id", buffers, scratch_path(spark, "parcel"), "geo/PARCELLE_14", DEP, cell=CELL
-    )
+    """Parcels of every département by route buffer: one job a département, into one folder."""
+    buffers, path = _buffers(spark, sf), scratch_path(spark, "parcel")
+    parcels = jobs.import_layer(layer(spark, sf, "parcel"), "parcelle", scratch_path(spark, "layer"), shape=S.Box()).layer
+    stored = None
+    for dep in DEPS:
+        mine = parcels.where(F.col("dep") == dep).drop("dep", "gid")
+        stored = jobs.parcel_intersect(mine, S.Box(), "id", buffers, path, f"geo/PARCELLE_{dep}", dep, cell=CELL)
+    return sinks.read_partitions(spark, path, stored.schema)
 
 
 @query(
     "job_localisant_intersect",
     with_views("feat", "segment") + f"""
-    select distinct gid, x, y, lib_rte, 'localisant' as layer, {DEP} as dep
-    from feat, segment where gestionnaire = 'DIRNO'
+    select distinct gid, x, y, lib_rte, 50.0::double as radius, 'localisant' as layer, {DEPS[0]} as dep
+    from feat, segment where gestionnaire = 'OWN'
       and {sql.box_near_segment(50, 'x', 'y', 'x', 'y')} and {sql.point_segment('x', 'y')} <= 2500""",
 )
 def job_localisant_intersect(spark, sf):
     """Address points by route buffer."""
-    buffers = jobs.network_buffer(view(spark, sf, "segment"))
+    done = jobs.import_layer(layer(spark, sf, "feat"), "localisant_14", scratch_path(spark, "layer"), shape=FEAT)
     return jobs.parcel_intersect(
-        layer(spark, sf, "feat"), S.Point(), "gid", buffers, scratch_path(spark, "parcel"), "geo/localisant_14", DEP,
-        cell=CELL,
+        done.layer, FEAT, "gid", _buffers(spark, sf), scratch_path(spark, "parcel"), "geo/localisant_14", DEPS[0], cell=CELL
     )
 
 
 @query(
     "job_departement_flag",
     with_views("rect", "segment") + f""", hit as (
-        select distinct id from rect, segment where gestionnaire = 'DIRNO' and {sql.box_near_segment(50)}
+        select distinct id from rect, segment where gestionnaire = 'OWN' and {sql.box_near_segment(50)}
         and {sql.box_segment()} <= 2500)
-    select id, xmin, ymin, xmax, ymax, id in (select id from hit) as dep_dirno from rect""",
+    select id, xmin, ymin, xmax, ymax, id in (select id from hit) as on_network from rect""",
 )
 def job_departement_flag(spark, sf):
-    buffers = jobs.network_buffer(view(spark, sf, "segment"))
-    return jobs.departement_flag(layer(spark, sf, "rect"), S.Box(), "id", buffers, "DEPARTEMENT", cell=CELL)
+    done = jobs.departement_flag(
+        layer(spark, sf, "rect"), S.Box(), "id", _buffers(spark, sf), "DEPARTEMENT", scratch_path(spark, "layer"), cell=CELL
+    )
+    return spark.table(done.view).drop("gid")

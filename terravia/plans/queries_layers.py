@@ -89,31 +89,33 @@ def layer_write_overwrite(spark, sf):
     return sinks.write_layer(feat.where(F.col("gid") % 2 == 0), path, overwrite=True)
 
 
-@query("lowercase_fields", "select c_custkey, c_name, c_mktsegment from customer")
+@query("lowercase_fields", "select * from customer")
 def lowercase_fields(spark, sf):
-    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return load.lowercase_fields(customer.toDF("C_CUSTKEY", "C_Name", "c_MktSegment"))
+    customer = table(spark, sf, "customer")
+    mixed = [c.upper() if i % 2 else c.title() for i, c in enumerate(customer.columns)]
+    return load.lowercase_fields(customer.toDF(*mixed))
 
 
-@query("drop_string_length", "select c_custkey, c_name, c_mktsegment from customer")
+@query("drop_string_length", "select * from customer")
 def drop_string_length(spark, sf):
-    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    # the field metadata under which Spark keeps the declared length of a table column
-    limited = customer.withMetadata("c_name", {load.DECLARED_LENGTH: "varchar(40)"}).withMetadata(
-        "c_mktsegment", {load.DECLARED_LENGTH: "varchar(10)"}
-    )
+    customer = table(spark, sf, "customer")
+    limited = customer
+    for i, c in enumerate(c for c, t in customer.dtypes if t == "string"):
+        # the field metadata under which Spark keeps the declared length of a table column
+        limited = limited.withMetadata(c, {load.DECLARED_LENGTH: f"varchar({40 + i})"})
     plain = load.drop_string_length(limited)
-    assert not any(f.metadata for f in plain.schema)
+    assert any(f.metadata for f in limited.schema) and not any(f.metadata for f in plain.schema)
     return plain
 
 
-@query("geometryless_import", "select s_suppkey, s_name from supplier")
+@query("geometryless_import", "select * from supplier")
 def geometryless_import(spark, sf):
     """A layer whose geometry is switched off keeps its attributes only."""
-    supplier = table(spark, sf, "supplier").select(
-        "s_suppkey", "s_name", F.col("s_suppkey").cast("double").alias("x"), F.lit(0.0).alias("y")
+    supplier = table(spark, sf, "supplier").withColumns(
+        {"x": F.col("s_suppkey").cast("double"), "y": F.lit(0.0)}
     )
-    return layers.with_geometry(supplier, None, ["x", "y"])
+    plain = layers.with_geometry(supplier, None, ["x", "y"])
+    return sinks.write_layer(plain, scratch_path(spark, "attributes"))
 
 
 @query("assign_gid", "select row_number() over (order by c_custkey) as gid, c_custkey, c_name from customer")
@@ -201,8 +203,10 @@ def vintage_partition(spark, sf):
         F.year("o_orderdate").alias("millesime"),
         (14 + F.col("o_orderkey") % 4).cast("int").alias("dep"),
     )
-    sinks.write_partition(orders, path, ["millesime", "dep"])
-    stored = sinks.write_partition(orders.where("millesime = 1997"), path, ["millesime", "dep"])
+    sinks.write_partitions(orders, path, ["millesime", "dep"])
+    sinks.write_partitions(orders.where("millesime = 1997"), path, ["millesime", "dep"])
+    sinks.write_partition(orders.where("millesime = 1998 and dep = 14"), path, {"millesime": 1998, "dep": 14})
+    stored = sinks.read_partitions(spark, path, orders.schema)
     return stored.groupBy("millesime", "dep").agg(
         F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("key_sum")
     )
@@ -266,6 +270,8 @@ def join_list(spark, sf):
     """select o_orderkey,
               case lower(o_orderstatus) when 'f' then 'FOREIGN KEY' when 'p' then 'PRIMARY KEY' end as kind,
               case lower(o_orderstatus) when 'f' then 'FULL' when 'p' then 'PARTIAL' end as match_kind,
+              case o_orderkey % 6 when 0 then 'NO ACTION' when 1 then 'RESTRICT' when 2 then 'CASCADE' when 3 then 'SET NULL'
+                                  when 4 then 'SET DEFAULT' end as action,
               o_orderstatus = 'O' as unknown
        from orders""",
 )
@@ -273,10 +279,12 @@ def decode_code(spark, sf):
     """Codes without a label (status O here) give NULL and are reported."""
     code = F.lower("o_orderstatus")
     kind = text.decode_code(code, text.CONSTRAINT_KINDS)
+    action = F.substr(F.lit("arcndx"), (F.col("o_orderkey") % 6 + 1).cast("int"), F.lit(1))
     return table(spark, sf, "orders").select(
         "o_orderkey",
         kind.alias("kind"),
         text.decode_code(code, text.MATCH_KINDS).alias("match_kind"),
+        text.decode_code(action, text.REFERENTIAL_ACTIONS).alias("action"),
         kind.isNull().alias("unknown"),
     )
 
@@ -299,15 +307,31 @@ def year_default(spark, sf):
 )
 def grid_layout(spark, sf):
     """Write clustered by cell, then read a box through the partition filter."""
-    stored = layout.write_grid(view(spark, sf, "feat"), S.Point(), 1000.0, scratch_path(spark, "grid"))
-    near = layout.box_filter(stored, 1000.0, 420000.0, 6860000.0, 455000.0, 6905000.0)
+    path = scratch_path(spark, "grid")
+    layout.write_grid(view(spark, sf, "feat"), S.Point(), 1000.0, path)
+    near = layout.read_box(spark, path, 420000.0, 6860000.0, 455000.0, 6905000.0)
     exact = F.col("x").between(420000, 455000) & F.col("y").between(6860000, 6905000)
     return near.where(exact).select("gid", "x", "y")
 
 
+@query(
+    "grid_layout_area",
+    with_views("rect") + """
+    select id, xmin, ymin, xmax, ymax from rect
+    where xmin <= 425000 and xmax >= 424900 and ymin <= 6880000 and ymax >= 6870000""",
+)
+def grid_layout_area(spark, sf):
+    """Areas that meet a box, most of them with their lower left corner outside it."""
+    path = scratch_path(spark, "grid")
+    layout.write_grid(view(spark, sf, "rect"), S.Box(), 500.0, path)
+    near = layout.read_box(spark, path, 424900.0, 6870000.0, 425000.0, 6880000.0)
+    meets = (F.col("xmin") <= 425000) & (F.col("xmax") >= 424900) & (F.col("ymin") <= 6880000) & (F.col("ymax") >= 6870000)
+    return near.where(meets).select("id", *BOUNDS)
+
+
 PROFILED = (
-    ("l_orderkey", "bigint"), ("l_linenumber", "int"), ("l_quantity", "double"), ("l_discount", "double"),
-    ("l_returnflag", "string"), ("l_linestatus", "string"),
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
 )
 
 
@@ -316,41 +340,45 @@ def _profile_sql():
         f"select '{c}' as column_name, count(*) as n_rows, count(*) - count({c}) as n_nulls, "
         f"count(distinct {c}) as n_distinct, cast(min({c}) as varchar) as min_value, "
         f"cast(max({c}) as varchar) as max_value from lineitem"
-        for c, _ in PROFILED
+        for c in PROFILED
     )
 
 
 @query("column_profile", _profile_sql())
 def column_profile(spark, sf):
-    return profile.column_profile(table(spark, sf, "lineitem").select(*[c for c, _ in PROFILED]), exact=True)
+    """Every column of the table."""
+    return profile.column_profile(table(spark, sf, "lineitem"), exact=True)
 
 
 @query(
     "table_profile",
-    " union all ".join(
-        f"select 'lineitem' as table_name, {i} as position, '{c}' as column_name, '{t}' as data_type, "
-        f"true as nullable, count({c}) as filled from lineitem"
-        for i, (c, t) in enumerate(PROFILED, start=1)
-    ),
+    """with listed as (select column_name, column_type, "null" as nulls, row_number() over () as position
+                       from (describe lineitem)),
+    counted as (""" + " union all ".join(f"select '{c}' as column_name, count({c}) as filled from lineitem" for c in PROFILED)
+    + """)
+    select 'lineitem' as table_name, cast(position as int) as position, column_name,
+           case column_type when 'VARCHAR' then 'string' when 'INTEGER' then 'int' else lower(column_type) end as data_type,
+           nulls = 'YES' as nullable, filled
+    from listed join counted using (column_name)""",
 )
 def table_profile(spark, sf):
     """The ordered column list with the number of filled rows per column."""
-    lineitem = table(spark, sf, "lineitem").select(*[c for c, _ in PROFILED])
+    lineitem = table(spark, sf, "lineitem")
     listed = profile.table_profile(spark, lineitem, "lineitem").drop("default_value")
     counted = profile.column_profile(lineitem).select("column_name", (F.col("n_rows") - F.col("n_nulls")).alias("filled"))
-    return listed.join(counted, "column_name")
+    return listed.join(counted, "column_name").withColumn("data_type", F.replace("data_type", F.lit("_ntz"), F.lit("")))
 
 
 @query(
     "geometry_profile",
     with_views("feat", "segment", "rect", "lookup") + """
-    select 'feat' as layer, count(*) as n_rows, 'POINT' as kind, 2 as dim, 2154 as srid, 0 as n_missing,
+    select 'feat' as layer, count(*) as n_rows, 'POINT' as kind, '2' as dim, '2154' as srid, 0 as n_missing,
            min(x) as xmin, min(y) as ymin, max(x) as xmax, max(y) as ymax from feat
     union all
-    select 'segment', count(*), 'LINESTRING', 2, 2154, 0, min(least(x1, x2)), min(least(y1, y2)),
+    select 'segment', count(*), 'LINESTRING', '2', '2154', 0, min(least(x1, x2)), min(least(y1, y2)),
            max(greatest(x1, x2)), max(greatest(y1, y2)) from segment
     union all
-    select 'rect', count(*), 'POLYGON', 2, 2154, 0, min(xmin), min(ymin), max(xmax), max(ymax) from rect
+    select 'rect', count(*), 'POLYGON', '2', '2154', 0, min(xmin), min(ymin), max(xmax), max(ymax) from rect
     union all
     select 'lookup', count(*), null, null, null, null, null, null, null, null from lookup""",
 )

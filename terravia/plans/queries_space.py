@@ -13,18 +13,21 @@ from terravia.plans.registry import milli, milli_sql, query
 
 CELL = 2000.0
 D2_CENTRE = sql.point_point("f.x", "f.y", "c.x", "c.y")
+RADIUS = 25000.0
 MATRIX_SQL = f"""matrix as (
     select f.gid, c.gid as cgid, libcei, {D2_CENTRE} as d2 from feat f, centre c)"""
+NEAR_SQL = f"""{MATRIX_SQL}, near as (select * from matrix where d2 <= {RADIUS * RADIUS})"""
 NEAREST_SQL = f"""{MATRIX_SQL}, ranked as (
     select *, row_number() over (partition by gid order by d2, cgid) as rn from matrix)"""
 
 
 @query(
     "distance_matrix",
-    with_views("feat", "centre") + f", {MATRIX_SQL} select gid, cgid, libcei, {milli_sql('sqrt(d2)')} as distance from matrix",
+    with_views("feat", "centre") + f", {NEAR_SQL} select gid, cgid, libcei, {milli_sql('sqrt(d2)')} as distance from near",
 )
 def distance_matrix(spark, sf):
-    matrix = nearest.distance_matrix(view(spark, sf, "feat"), S.Point(), view(spark, sf, "centre"))
+    """Distances to all centres within 25 km."""
+    matrix = nearest.distance_matrix(view(spark, sf, "feat"), S.Point(), view(spark, sf, "centre"), RADIUS)
     return matrix.withColumn("distance", milli(F.col("distance")))
 
 
@@ -42,8 +45,8 @@ def nearest_centre(spark, sf):
     "nearest_centre_many",
     with_views("feat", "parcel") + f""", spot as (
         select id as cgid, xmin as px, ymin as py from parcel),
-    best as (select gid, min({sql.point_point('x', 'y', 'px', 'py')}) as d2 from feat, spot group by gid)
-    select gid, {milli_sql('sqrt(d2)')} as distance from best""",
+    best as (select gid, min({{'d2': {sql.point_point('x', 'y', 'px', 'py')}, 'cgid': cgid}}) as b from feat, spot group by gid)
+    select gid, b.cgid as cgid, cast(b.cgid as varchar) as libcei, {milli_sql('sqrt(b.d2)')} as distance from best""",
 )
 def nearest_centre_many(spark, sf):
     """A large centre set (a corner of every parcel): found by descending through nested cells."""
@@ -51,19 +54,19 @@ def nearest_centre_many(spark, sf):
     found = nearest.nearest_centre(
         layer(spark, sf, "feat"), S.Point(), spots, gid="id", x="xmin", y="ymin"
     )
-    return found.select("gid", milli(F.col("distance")).alias("distance"))
+    return found.select("gid", "cgid", "libcei", milli(F.col("distance")).alias("distance"))
 
 
 @query(
     "min_distance",
     with_views("segment", "centre") + f"""
     select lib_rte, c.gid as cgid, libcei, {milli_sql('min(sqrt(' + sql.point_segment('c.x', 'c.y') + '))')} as distance
-    from segment, centre c group by 1, 2, 3""",
+    from segment, centre c where {sql.point_segment('c.x', 'c.y')} <= {2000.0 * 2000.0} group by 1, 2, 3""",
 )
 def min_distance(spark, sf):
-    """Least distance per (route, centre) over all parts of the route."""
+    """Least distance per (route, centre) over the parts of the route within 2 km."""
     matrix = nearest.distance_matrix(
-        view(spark, sf, "segment"), S.Segment(), view(spark, sf, "centre"), key="lib_rte"
+        view(spark, sf, "segment"), S.Segment(), view(spark, sf, "centre"), 2000.0, key="lib_rte"
     )
     return matrix.withColumn("distance", milli(F.col("distance")))
 
@@ -73,17 +76,23 @@ def min_distance(spark, sf):
     with_views("feat", "centre") + f", {NEAREST_SQL} select gid, cgid, libcei from ranked where rn = 1",
 )
 def distinct_on(spark, sf):
-    matrix = nearest.distance_matrix(view(spark, sf, "feat"), S.Point(), view(spark, sf, "centre"))
-    return nearest.distinct_on(matrix, "gid", ["distance", "cgid"], ["cgid", "libcei"])
+    """One row per feature, the least by distance and centre, of rows that repeat a feature."""
+    found = nearest.nearest_centre(view(spark, sf, "feat"), S.Point(), view(spark, sf, "centre"))
+    centre = view(spark, sf, "centre").select(F.col("gid").alias("cgid"), "libcei")
+    near = nearest.distance_matrix(view(spark, sf, "feat"), S.Point(), view(spark, sf, "centre"), RADIUS / 5)
+    both = found.select("gid", "cgid", "distance").unionByName(near.select("gid", "cgid", "distance"))
+    least = nearest.distinct_on(both, "gid", ["distance", "cgid"], ["cgid"])
+    return least.join(centre, "cgid").select("gid", "cgid", "libcei")
 
 
 @query(
     "rank_by_distance",
-    with_views("feat", "centre") + f""", {MATRIX_SQL}
-    select gid, cgid, rank() over (partition by gid order by sqrt(d2) nulls last) as rank from matrix""",
+    with_views("feat", "centre") + f""", {NEAR_SQL}
+    select gid, cgid, rank() over (partition by gid order by sqrt(d2) nulls last) as rank from near""",
 )
 def rank_by_distance(spark, sf):
-    matrix = nearest.distance_matrix(view(spark, sf, "feat"), S.Point(), view(spark, sf, "centre"))
+    """Centres within 25 km in order of distance."""
+    matrix = nearest.distance_matrix(view(spark, sf, "feat"), S.Point(), view(spark, sf, "centre"), RADIUS)
     return nearest.rank_by_distance(matrix).select("gid", "cgid", "rank")
 
 
@@ -110,6 +119,34 @@ def intersects_join(spark, sf):
     return pairs.where("id < b_id").select("id", "b_id")
 
 
+@query(
+    "intersects_join_repeats",
+    with_views("rect", "segment") + f"""
+    select id % 50 as id, seg_id % 20 as seg_id, count(*) as n
+    from (select * from rect union all select * from rect where id % 7 = 0), segment
+    where {sql.box_meets_segment()} group by 1, 2""",
+)
+def intersects_join_repeats(spark, sf):
+    """Areas by segments with rows that repeat, in cells of the size that the data suggest."""
+    rect = view(spark, sf, "rect")
+    pairs = spatial.intersects_join(
+        rect.unionByName(rect.where("id % 7 = 0")), S.Box(), view(spark, sf, "segment"), S.Segment()
+    )
+    return pairs.groupBy((F.col("id") % 50).alias("id"), (F.col("seg_id") % 20).alias("seg_id")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "buffer_intersects_join_default",
+    with_views("parcel", "segment") + f"""
+    select distinct id, lib_rte from parcel, segment where {sql.box_near_segment(20)} and {sql.box_segment()} <= 400""",
+)
+def buffer_intersects_join_default(spark, sf):
+    """Parcels by 20 m buffers of all routes, in cells of the size that the data suggest."""
+    return spatial.buffer_intersects_join(
+        layer(spark, sf, "parcel"), S.Box(), "id", view(spark, sf, "segment"), S.Segment(), "lib_rte", 20.0
+    )
+
+
 @query(
     "intersects_join_parcel",
     with_views("rect", "parcel") + """
@@ -135,19 +172,27 @@ def st_intersects(spark, sf):
     return spatial.geometry_pairs(rect, "id", S.Geom(), line, "seg_id", S.Geom("line"), cell=CELL)
 
 
+def _near(spark, sf, name, shape, key, radius):
+    """Every pair of a layer and a segment within a radius, with the columns of both."""
+    left = view(spark, sf, name).select(key, *shape.columns)
+    right = view(spark, sf, "segment").select("seg_id", *S.Segment().columns)
+    return spatial.within_distance_join(left, shape, right, S.Segment(), radius, CELL)
+
+
 @query(
     "st_intersects_row",
     with_views("parcel", "segment") + f"""
-    select id, {sql.box_meets_segment()} as meets from parcel join segment on id = seg_id""",
+    select id, seg_id, {sql.box_meets_segment()} as meets from parcel, segment
+    where {sql.box_near_segment(40)} and {sql.box_segment()} <= 1600""",
 )
 def st_intersects_row(spark, sf):
-    """The predicate on geometries that are already in one row."""
-    pairs = view(spark, sf, "parcel").join(view(spark, sf, "segment"), F.col("id") == F.col("seg_id"))
-    return pairs.select("id", G.st_intersects(S.Box().geom(), S.Segment().geom()).alias("meets"))
+    """The predicate on geometries that are already in one row: all pairs up to 40 m apart."""
+    pairs = _near(spark, sf, "parcel", S.Box(), "id", 40.0)
+    return pairs.select("id", "seg_id", G.st_intersects(S.Box().geom(), S.Segment().geom()).alias("meets"))
 
 
 def _buffer_sql(radius, views, key, d2, near, only_managed=True):
-    managed = "gestionnaire = 'DIRNO' and" if only_managed else ""
+    managed = "gestionnaire = 'OWN' and" if only_managed else ""
     return with_views(*views) + f"""
     select distinct {key}, lib_rte from {views[0]}, segment where {managed} {near} and {d2} <= {radius * radius}"""
 
@@ -158,7 +203,7 @@ def _buffer_sql(radius, views, key, d2, near, only_managed=True):
 )
 def buffer_intersects_join(spark, sf):
     """Parcels by the 50 m route buffers they meet."""
-    managed = view(spark, sf, "segment").where("gestionnaire = 'DIRNO'")
+    managed = view(spark, sf, "segment").where("gestionnaire = 'OWN'")
     return spatial.buffer_intersects_join(
         layer(spark, sf, "parcel"), S.Box(), "id", managed, S.Segment(), "lib_rte", 50.0, CELL
     )
@@ -183,7 +228,7 @@ def buffer_intersects_join_point(spark, sf):
 def buffer_intersects_join_polygon(spark, sf):
     """Polygons as general geometries by the buffers of routes that are general lines."""
     rect = view(spark, sf, "rect").select("id", S.Box().geom().alias("geom"))
-    managed = view(spark, sf, "segment").where("gestionnaire = 'DIRNO'")
+    managed = view(spark, sf, "segment").where("gestionnaire = 'OWN'")
     routes = managed.select("lib_rte", S.Segment().geom().alias("line"))
     return spatial.buffer_intersects_join(rect, S.Geom(), "id", routes, S.Geom("line"), "lib_rte", 50.0, CELL)
 
@@ -191,13 +236,13 @@ def buffer_intersects_join_polygon(spark, sf):
 @query(
     "touch_flag",
     with_views("rect", "segment") + f""", hit as (
-        select distinct id from rect, segment where gestionnaire = 'DIRNO' and {sql.box_near_segment(50)}
+        select distinct id from rect, segment where gestionnaire = 'OWN' and {sql.box_near_segment(50)}
         and {sql.box_segment()} <= 2500)
     select id, id in (select id from hit) as touches from rect""",
 )
 def touch_flag(spark, sf):
     rect = view(spark, sf, "rect")
-    managed = view(spark, sf, "segment").where("gestionnaire = 'DIRNO'")
+    managed = view(spark, sf, "segment").where("gestionnaire = 'OWN'")
     pairs = spatial.buffer_intersects_join(rect, S.Box(), "id", managed, S.Segment(), "lib_rte", 50.0, CELL)
     return spatial.touch_flag(rect.select("id"), "id", pairs)
 
@@ -271,25 +316,25 @@ def st_buffer(spark, sf):
 @query(
     "st_distance",
     with_views("feat", "segment") + f"""
-    select gid, {milli_sql('sqrt(' + sql.point_segment('x', 'y') + ')')} as distance
-    from feat join segment on gid = seg_id""",
+    select gid, seg_id, {milli_sql('sqrt(' + sql.point_segment('x', 'y') + ')')} as distance
+    from feat, segment where {sql.point_segment('x', 'y')} <= 160000""",
 )
 def st_distance(spark, sf):
-    """Point to segment, closed form."""
-    pairs = view(spark, sf, "feat").join(view(spark, sf, "segment"), F.col("gid") == F.col("seg_id"))
-    return pairs.select("gid", milli(F.sqrt(S.distance2(S.Point(), S.Segment()))).alias("distance"))
+    """Point to segment, closed form: all pairs up to 400 m apart."""
+    pairs = _near(spark, sf, "feat", S.Point(), "gid", 400.0)
+    return pairs.select("gid", "seg_id", milli(F.sqrt(S.distance2(S.Point(), S.Segment()))).alias("distance"))
 
 
 @query(
     "st_distance_box",
     with_views("parcel", "segment") + f"""
-    select id, {milli_sql('sqrt(' + sql.box_segment() + ')')} as distance
-    from parcel join segment on id = seg_id""",
+    select id, seg_id, {milli_sql('sqrt(' + sql.box_segment() + ')')} as distance from parcel, segment
+    where {sql.box_near_segment(40)} and {sql.box_segment()} <= 1600""",
 )
 def st_distance_box(spark, sf):
-    """Area to line with general geometries."""
-    pairs = view(spark, sf, "parcel").join(view(spark, sf, "segment"), F.col("id") == F.col("seg_id"))
-    return pairs.select("id", milli(G.st_distance(S.Box().geom(), S.Segment().geom())).alias("distance"))
+    """Area to line with general geometries: all pairs up to 40 m apart."""
+    pairs = _near(spark, sf, "parcel", S.Box(), "id", 40.0)
+    return pairs.select("id", "seg_id", milli(G.st_distance(S.Box().geom(), S.Segment().geom())).alias("distance"))
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terravia.operators import enrich, evolve, filters, quality
-from terravia.plans.fixtures import table, view, with_views
+from terravia.plans.fixtures import TABLES, table, view, with_views
 from terravia.plans.registry import query
 
 PRIVILEGES = ("click", "error", "purchase", "signup", "view")
@@ -14,9 +14,9 @@ PRIVILEGES = ("click", "error", "purchase", "signup", "view")
 # -- filters -----------------------------------------------------------------------------------
 
 
-@query("subset_filter", with_views("segment") + " select seg_id, lib_rte, x1, y1, x2, y2 from segment where gestionnaire = 'DIRNO'")
+@query("subset_filter", with_views("segment") + " select seg_id, lib_rte, x1, y1, x2, y2 from segment where gestionnaire = 'OWN'")
 def subset_filter(spark, sf):
-    return view(spark, sf, "segment").where("gestionnaire = 'DIRNO'").drop("gestionnaire")
+    return view(spark, sf, "segment").where("gestionnaire = 'OWN'").drop("gestionnaire")
 
 
 @query("attribute_tag", with_views("feat_attr") + " select gid, cei_field, cei_field as _cei from feat_attr")
@@ -45,16 +45,16 @@ def upper_match(spark, sf):
     return joined.select("gid", F.col("_key").isNotNull().alias("known"))
 
 
-@query("name_regex_filter", "select p_partkey, p_name from part where not regexp_matches(p_name, '^red')")
+@query("name_regex_filter", "select p_partkey, p_name from part where not regexp_matches(p_name, '^re')")
 def name_regex_filter(spark, sf):
     """Names without a prefix."""
-    return table(spark, sf, "part").where(~F.col("p_name").rlike("^red")).select("p_partkey", "p_name")
+    return table(spark, sf, "part").where(~F.col("p_name").rlike("^re")).select("p_partkey", "p_name")
 
 
-@query("name_regex_filter_anywhere", "select p_partkey, p_name from part where not regexp_matches(p_name, 'ed ')")
+@query("name_regex_filter_anywhere", "select p_partkey, p_name from part where not regexp_matches(p_name, 're')")
 def name_regex_filter_anywhere(spark, sf):
     """Names without a text anywhere."""
-    return table(spark, sf, "part").where(~F.col("p_name").rlike("ed ")).select("p_partkey", "p_name")
+    return table(spark, sf, "part").where(~F.col("p_name").rlike("re")).select("p_partkey", "p_name")
 
 
 @query(
@@ -73,11 +73,7 @@ def value_list_filter(spark, sf):
 
 
 def _sets(spark, sf):
-    granted = table(spark, sf, "events").where("value > 20")
-    return filters.capability_sets(
-        granted.withColumnsRenamed({"user_id": "object_id", "event_type": "privilege"}),
-        "object_id", "privilege", PRIVILEGES,
-    )
+    return filters.capability_sets(view(spark, sf, "grants"), "object_id", "privilege", PRIVILEGES)
 
 
 @query(
@@ -91,17 +87,45 @@ def capability_set(spark, sf):
 
 @query(
     "capability_containment",
-    with_views("grants") + """
-    select object_id, case when object_id % 2 = 0 then 'r' else 'v' end as type from grants
-    where object_id % 2 = 0
-    group by object_id having count_if(privilege in ('error', 'signup')) = 2""",
+    with_views("grants", "object") + """
+    select object_id, type from grants join object using (object_id) where type = 'r'
+    group by object_id, type having count_if(privilege in ('error', 'signup')) = 2""",
 )
 def capability_containment(spark, sf):
     """Objects of one type that hold all requested privileges."""
-    typed = _sets(spark, sf).withColumn("type", F.when(F.col("object_id") % 2 == 0, "r").otherwise("v"))
+    typed = _sets(spark, sf).join(view(spark, sf, "object"), "object_id")
     return filters.with_capabilities(typed, ["error", "signup"], type="r").select("object_id", "type")
 
 
+@query(
+    "capability_listing",
+    with_views("grants", "object") + """
+    select schema, object_id, type, geom_column from grants join object using (object_id)
+    where type = 'v' and schema = 'roads' group by all having count_if(privilege = 'view') = 1
+    order by schema, object_id""",
+)
+def capability_listing(spark, sf):
+    """Objects of one schema and type with their geometry column, by schema and object."""
+    typed = _sets(spark, sf).join(view(spark, sf, "object"), "object_id")
+    found = filters.with_capabilities(typed, ["view"], type="v", schema="roads")
+    return found.select("schema", "object_id", "type", "geom_column").orderBy("schema", "object_id")
+
+
+@query(
+    "capability_schemas",
+    with_views("grants", "object") + """
+    select schema from grants join object using (object_id)
+    where not regexp_matches(schema, 'pg_') group by schema
+    having count(distinct privilege) filter (privilege in ('click', 'purchase')) = 2 order by schema""",
+)
+def capability_schemas(spark, sf):
+    """Schemas, but for the system's, in which all requested privileges are held."""
+    named = view(spark, sf, "grants").join(view(spark, sf, "object").select("object_id", "schema"), "object_id")
+    sets = filters.capability_sets(named, "schema", "privilege", PRIVILEGES)
+    found = filters.with_capabilities(sets.where(~F.col("schema").rlike("pg_")), ["click", "purchase"])
+    return found.select("schema").orderBy("schema")
+
+
 @query(
     "point_privilege",
     with_views("grants") + " select object_id, "
@@ -239,17 +263,10 @@ def merge_coalesce(spark, sf):
 # -- aggregates and order ----------------------------------------------------------------------
 
 
-@query(
-    "row_count",
-    " union all ".join(
-        f"select '{t}' as table_name, count(*) as n from {t}"
-        for t in ("customer", "orders", "lineitem", "part", "documents", "pages", "events", "conversations")
-    ),
-)
+@query("row_count", " union all ".join(f"select '{t}' as table_name, count(*) as n from {t}" for t in TABLES))
 def row_count(spark, sf):
-    names = ("customer", "orders", "lineitem", "part", "documents", "pages", "events", "conversations")
     counts = [
-        table(spark, sf, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n") for t in names
+        table(spark, sf, t).agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n") for t in TABLES
     ]
     total = counts[0]
     for c in counts[1:]:

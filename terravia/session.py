@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terravia.errors import LayerError
+
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf) -> SparkSession:
     """Session for tests and the benchmark. A cluster brings its own session."""
@@ -29,7 +31,8 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf) -
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (tests on one machine) gets a fresh local folder.
+    Only a session on one machine (master ``local``) may go without that setting: it gets a fresh
+    local folder. On a cluster the lack of it is an error, as executors do not share their disks.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -37,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise LayerError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="run-terravia-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

@@ -99,27 +99,23 @@ def read_geojson(
     return features.select("properties.*", geom.alias("geom"))
 
 
-def layer_kind(name: Column) -> Column:
-    """Kind of a layer from the last path segment of its name, NULL when none fits."""
+def layer_kind(name: Column, kinds=tuple(LAYER_KINDS.values())) -> Column:
+    """First kind, of those asked for, that the last path segment of a name holds; NULL when none does."""
     last = F.lower(F.element_at(F.split(name, "/"), -1))
-    chosen = None
-    for word, kind in LAYER_KINDS.items():
-        test = last.contains(word)
-        chosen = F.when(test, kind) if chosen is None else chosen.when(test, kind)
-    return chosen
+    fits = [F.when(last.contains(word), kind) for word, kind in LAYER_KINDS.items() if kind in kinds]
+    return F.coalesce(*fits) if fits else F.lit(None).cast("string")
 
 
-def route_by_name(df: DataFrame, name: str, kinds=tuple(LAYER_KINDS)) -> tuple[DataFrame, DataFrame]:
+def route_by_name(df: DataFrame, name: str, kinds=tuple(LAYER_KINDS.values())) -> tuple[DataFrame, DataFrame]:
     """Split rows into (accepted with ``kind``, quarantined) by the layer name they carry."""
-    tagged = df.withColumn("kind", layer_kind(F.col(name)))
-    accepted = F.coalesce(F.col("kind").isin(*kinds), F.lit(False))
-    return tagged.where(accepted), tagged.where(~accepted)
+    tagged = df.withColumn("kind", layer_kind(F.col(name), kinds))
+    return tagged.where(F.col("kind").isNotNull()), tagged.where(F.col("kind").isNull())
 
 
 def require_kind(name: str, kinds) -> str:
-    """Kind of one named layer; a name that does not fit the job is an error."""
+    """Kind of one named layer, by the same rule; a name that does not fit the job is an error."""
     last = name.split("/")[-1].lower()
     for word, kind in LAYER_KINDS.items():
-        if word in last and kind in kinds:
+        if kind in kinds and word in last:
             return kind
     raise LayerError(f"layer {name!r} is not one of: {', '.join(kinds)}")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terravia.errors import LayerError
+from terravia.functions.text import this_year
 
 
 def write_layer(df: DataFrame, path: str, overwrite: bool = False, fmt: str = "parquet") -> DataFrame:
@@ -18,11 +18,36 @@ def write_layer(df: DataFrame, path: str, overwrite: bool = False, fmt: str = "p
     return df.sparkSession.read.format(fmt).schema(df.schema).load(path)
 
 
-def write_partition(df: DataFrame, path: str, partition_by) -> DataFrame:
-    """Write by partition columns; a rerun replaces only the partitions it holds.
+# fixed values: the signs Spark writes as %XX in the folder name of a partition value
+ESCAPED = "\"#%'*/:=?\\{}[]^"
+
+
+def _folder(name: str, value) -> str:
+    """Folder of one partition value, named as Spark names it."""
+    if value is None:
+        return f"{name}=__HIVE_DEFAULT_PARTITION__"
+    return f"{name}=" + "".join(f"%{ord(c):02X}" if c in ESCAPED or ord(c) < 32 else c for c in str(value))
+
+
+def write_partition(df: DataFrame, path: str, values: dict, overwrite: bool = True) -> DataFrame:
+    """Write ``df`` as the one partition that ``values`` names; a rerun replaces it.
+
+    The folder itself is overwritten, so a rerun or a first run without rows leaves an empty
+    partition; without ``overwrite`` an existing one is an error. Returns that partition, read back with the types that were written.
+    """
+    plain = df.drop(*values)
+    folder = "/".join([path.rstrip("/"), *[_folder(n, v) for n, v in values.items()]])
+    plain.write.mode("overwrite" if overwrite else "errorifexists").parquet(folder)
+    stored = df.sparkSession.read.schema(plain.schema).parquet(folder)
+    return stored.withColumns({n: F.lit(v) for n, v in values.items()})
+
+
+def write_partitions(df: DataFrame, path: str, partition_by) -> DataFrame:
+    """Write by partition columns; a rerun replaces only the partitions it holds rows of.
 
     Rows are rebalanced by partition value first: Spark merges small partitions, so there are few
-    files, and splits one that holds most of the rows over several tasks.
+    files, and splits one that holds most of the rows over several tasks. Read back with the types
+    that were written: a code like '01' stays a string.
     """
     names = [partition_by] if isinstance(partition_by, str) else list(partition_by)
     (
@@ -32,12 +57,17 @@ def write_partition(df: DataFrame, path: str, partition_by) -> DataFrame:
         .partitionBy(*names)
         .parquet(path)
     )
-    return df.sparkSession.read.parquet(path)
+    return read_partitions(df.sparkSession, path, df.schema)
+
+
+def read_partitions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All partitions below a folder, with the given types also for the partition columns."""
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
 
 
 def with_vintage(df: DataFrame, year: int | None = None) -> DataFrame:
     """Add the vintage column ``millesime``: the given year or the current one."""
-    return df.withColumn("millesime", F.lit(year or datetime.date.today().year))
+    return df.withColumn("millesime", F.lit(year or this_year()))
 
 
 def catalog_name(name: str) -> str:
@@ -63,6 +93,21 @@ def save_table(df: DataFrame, schema: str, table: str, overwrite: bool = False)
     return full
 
 
+def register_table(spark: SparkSession, schema: str, table: str, path: str) -> str:
+    """Register what lies at ``path`` as a catalog table with statistics; returns the full name.
+
+    The table is external: registering again or dropping it leaves the files alone.
+    """
+    full = f"{catalog_name(schema)}.{catalog_name(table)}"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {catalog_name(schema)}")
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    spark.catalog.createTable(full, path=path, source="parquet")
+    if any(c.isPartition for c in spark.catalog.listColumns(full)):
+        spark.catalog.recoverPartitions(full)
+    refresh_statistics(spark, full)
+    return full
+
+
 def refresh_statistics(spark: SparkSession, table: str) -> None:
     """Row count and column statistics of a saved table, for the optimizer."""
     nested = (T.StructType, T.ArrayType, T.MapType, T.BinaryType)

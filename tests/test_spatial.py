@@ -193,17 +193,35 @@ def test_nearest_descent_is_forced_on_deep_clusters(spark):
     assert _set(found.select("gid", "cgid")) == _set(_brute_nearest(features, centres))
 
 
-@pytest.mark.parametrize("share", [4, 1024])
-def test_nearest_without_broadcast(spark, monkeypatch, share):
+@pytest.mark.parametrize("per_salt", [4, 100_000])
+def test_nearest_without_broadcast(spark, monkeypatch, per_salt):
     """Every level shuffled, with the hot cells (a third of the features is at one place) salted."""
-    monkeypatch.setattr(nearest, "BROADCAST_CELLS", 0)
-    monkeypatch.setattr(nearest, "HOT_SHARE", share)
+    monkeypatch.setattr(nearest, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(nearest, "ROWS_PER_SALT", per_salt)
     features = _points(spark, 150, 31)
     centres = _points(spark, 300, 32).withColumn("libcei", F.lit("L"))
     found = nearest.nearest_centre(features, S.Point(), centres)
     assert _set(found.select("gid", "cgid")) == _set(_brute_nearest(features, centres))
 
 
+def test_nearest_is_the_same_whatever_the_number_of_centres(spark):
+    inf, nan = float("inf"), float("nan")
+    f = spark.createDataFrame(
+        [(1, 0.0, 0.0), (1, 100.0, 100.0), (None, 50.0, 50.0), (None, 99.0, 99.0), (2, nan, 0.0), (3, 0.0, inf), (4, None, 1.0), (5, 1.0, 1.0), (5, 1.0, 1.0)],
+        "gid long, x double, y double")
+    c = spark.createDataFrame(
+        [(0, "a", 0.0, 0.0), (10, "b", 100.0, 100.0), (11, "c", nan, 3.0), (12, "d", inf, 0.0), (13, "e", -inf, nan), (14, "f", None, 0.0),
+         (7, "g", 0.0, 0.0), (None, "h", 500.0, 500.0), (15, None, 60.0, 60.0)],
+        "gid long, libcei string, x double, y double")
+    got = [sorted(map(repr, nearest.nearest_centre(f, S.Point(), c, in_row_limit=n).collect())) for n in (0, 1, None)]
+    assert got[0] == got[1] == got[2]
+    assert len(got[0]) == 9
+    rows = {(r.gid, r.x): r.cgid for r in nearest.nearest_centre(f, S.Point(), c).collect()}
+    assert rows[1, 0.0] == 0 and rows[1, 100.0] == 10 and rows[None, 50.0] == 15 and rows[None, 99.0] == 10
+    assert rows[3, 0.0] is None and rows[4, None] is None
+    assert nearest.nearest_centre(f, S.Point(), c.where("gid = 11"), in_row_limit=0).where("cgid is not null").count() == 0
+
+
 def test_nearest_of_lines_and_polygons_from_a_large_set(spark):
     centres = _points(spark, 120, 14).withColumn("libcei", F.lit("L"))
     parts = _segments(spark, 30, 15).withColumn("gid", F.monotonically_increasing_id())
@@ -233,11 +251,15 @@ def test_null_geometry_and_null_centre(spark):
         assert [r.libcei for r in rows] == [None, "B"]
 
 
-def test_distance_matrix_in_blocks_equals_in_row(spark):
+def test_distance_matrix_up_to_a_radius(spark):
     f, c = _points(spark, 50, 1), _points(spark, 30, 2).withColumn("libcei", F.lit("A"))
-    a = nearest.distance_matrix(f, S.Point(), c)
-    b = nearest.distance_matrix(f, S.Point(), c, limit=7)
-    assert _set(a) == _set(b) and a.count() == 1500
+    pairs = f.join(c.select(F.col("gid").alias("cgid"), F.col("x").alias("cx"), F.col("y").alias("cy")))
+    d2 = (F.col("x") - F.col("cx")) ** 2 + (F.col("y") - F.col("cy")) ** 2
+    expected = pairs.where(d2 <= 300.0**2).select("gid", "cgid")
+    got = nearest.distance_matrix(f, S.Point(), c, 300.0)
+    assert _set(got.select("gid", "cgid")) == _set(expected)
+    plan = _plan(got)
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_rank_shares_equal_distances(spark):
@@ -279,6 +301,72 @@ def test_crowded_cells_are_cut_and_salted(spark):
     a = grid.list_cells(_points(spark, 3000, 1), S.Point(), 1000.0)
     b = grid.list_cells(_segments(spark, 300, 2), S.Segment(), 1000.0, 50.0)
     crowded = grid.find_crowded(a, b, 1000.0, 50.0, cell_work=1000, rows_per_salt=100)
-    assert 0 < crowded.count <= grid.MAX_CROWDED
+    assert crowded.count > 0
     hot = crowded.table.where("_cx = 0 and _cy = 0").first()
-    assert hot["_salts"] >= 10 and hot["_cut"] > 1
+    assert hot["_lsalts"] >= 10 and hot["_rsalts"] >= 3 and hot["_cut"] > 1
+
+
+def _largest_key(df, shape, other, other_shape, cell, **options):
+    """Rows of the largest join key of either side."""
+    seen = []
+    join = type(df).join
+
+    def spy(self, right, on=None, how=None):
+        if isinstance(on, list) and "_ls" in on:
+            seen.append([x.groupBy(*on).count().agg(F.max("count")).first()[0] for x in (self, right)])
+        return join(self, right, on, how) if how else join(self, right, on)
+
+    type(df).join = spy
+    try:
+        n = grid.grid_candidates(df, shape, other, other_shape, cell, **options).count()
+    finally:
+        type(df).join = join
+    return n, seen
+
+
+def test_equal_rows_on_the_right_are_dealt_too(spark):
+    left = spark.range(50).select("id", (F.col("id") % 5).cast("double").alias("x"), F.lit(0.0).alias("y"))
+    one = spark.range(40_000).select(*[F.lit(v).alias(c) for c, v in (("x1", 0.0), ("y1", 0.0), ("x2", 5.0), ("y2", 0.0))])
+    n, seen = _largest_key(left, S.Point(), one, S.Segment(), 100.0, cell_work=10_000, rows_per_salt=100)
+    assert n == 50 * 40_000
+    assert seen and max(seen[0]) <= 2000
+
+
+def test_a_large_shape_is_listed_in_few_cells(spark):
+    box = spark.createDataFrame([(0.0, 0.0, 200_000.0, 200_000.0)], "b_xmin double, b_ymin double, b_xmax double, b_ymax double")
+    assert grid.list_cells(box, OTHER, 200.0).count() <= grid.MOST_CELLS
+    line = spark.createDataFrame([(0.0, 0.0, 800_000.0, 300_000.0)], "x1 double, y1 double, x2 double, y2 double")
+    assert grid.list_cells(line, S.Segment(), 100.0).count() <= grid.MOST_CELLS
+    small = _boxes(spark, 300, 4).union(_boxes(spark, 20, 5))
+    both = box.withColumn("b_id", F.lit(1)).unionByName(_boxes(spark, 200, 6, "b_").withColumn("b_id", F.col("b_id").cast("int")), allowMissingColumns=True)
+    got = spatial.intersects_join(small, S.Box(), both, OTHER, 50.0)
+    brute = small.join(both, S.intersects(S.Box(), OTHER))
+    assert got.count() == brute.count() > 0
+    assert _set(got.select("id", "b_id")) == _set(brute.select("id", "b_id"))
+
+
+def test_equal_rows_give_their_own_pairs(spark):
+    boxes = spark.createDataFrame([(1, 0.0, 0.0, 9.0, 9.0)] * 2, "id int, xmin double, ymin double, xmax double, ymax double")
+    line = spark.createDataFrame([(-5.0, 1.0, 20.0, 3.0)] * 3, "x1 double, y1 double, x2 double, y2 double")
+    assert spatial.intersects_join(boxes, S.Box(), line, S.Segment(), 2.0).count() == 6
+
+
+def test_one_polygon_that_holds_all_points(spark):
+    area = spark.createDataFrame([(1, 0.0, 0.0, 1000.0, 1000.0)], "a int, xmin double, ymin double, xmax double, ymax double")
+    points = spark.range(5000).select("id", F.array().cast("array<int>").alias("_"), (F.col("id") % 997).cast("double").alias("px"), F.lit(5.0).alias("py"))
+    areas = area.select("a", S.Box().geom().alias("geom"))
+    pts = points.select("id", S.Point("px", "py").geom().alias("spot"))
+    got = spatial.geometry_pairs(areas, "a", S.Geom(), pts, "id", S.Geom("spot"), cell=100.0)
+    assert got.count() == 5000
+
+
+def test_mixed_srids_are_refused_by_every_join(spark):
+    a = spark.createDataFrame([("SRID=4326;POINT(1 2)",)], "t string").select(G.from_wkt(F.col("t")).alias("geom"))
+    b = spark.createDataFrame([("POINT(1 2)",)], "t string").select(G.from_wkt(F.col("t")).alias("other"))
+    for join in (
+        lambda: spatial.intersects_join(a, S.Geom(), b, S.Geom("other"), 10.0),
+        lambda: spatial.within_distance_join(a, S.Geom(), b, S.Geom("other"), 5.0, 10.0),
+        lambda: nearest.nearest_centre(a, S.Geom(), spark.createDataFrame([(1, "c", 0.0, 0.0)], "gid int, libcei string, x double, y double")),
+    ):
+        with pytest.raises(PySparkException, match="SRID"):
+            join().collect()

@@ -204,6 +204,9 @@ def test_layer_names(spark):
     names = spark.createDataFrame([("x/COMMUNE",), ("x/other",), (None,)], "n string")
     ok, bad = layers.route_by_name(names, "n", ("commune",))
     assert ok.count() == 1 and bad.count() == 2
+    both = spark.createDataFrame([("geo/commune_parcelle",)], "n string")
+    ok, bad = layers.route_by_name(both, "n", ("parcelle", "localisant"))
+    assert [r.kind for r in ok.collect()] == ["parcelle"] == [layers.require_kind("geo/commune_parcelle", ("parcelle", "localisant"))]
     assert sinks.catalog_name("0-store") == "s0_store"
 
 
@@ -225,11 +228,112 @@ def test_write_read_and_refuse_overwrite(spark):
 
 def test_partition_rerun_replaces_only_its_partition(spark):
     path = scratch_path(spark, "t")
-    sinks.write_partition(spark.createDataFrame([(1, 2014), (2, 2015)], "a int, millesime int"), path, "millesime")
-    sinks.write_partition(spark.createDataFrame([(9, 2015)], "a int, millesime int"), path, "millesime")
+    sinks.write_partitions(spark.createDataFrame([(1, 2014), (2, 2015)], "a int, millesime int"), path, "millesime")
+    sinks.write_partitions(spark.createDataFrame([(9, 2015)], "a int, millesime int"), path, "millesime")
     assert _rows(spark.read.parquet(path)) == [(1, 2014), (9, 2015)]
 
 
+@pytest.mark.parametrize("code", ["01", "2A", "a=b/c %", None])
+def test_partition_codes_keep_their_type(spark, code):
+    path = scratch_path(spark, "t")
+    df = spark.createDataFrame([(1,), (2,)], "a int")
+    got = sinks.write_partition(df, path, {"dep": code, "layer": "x"})
+    assert _rows(got) == [(1, code, "x"), (2, code, "x")]
+    assert _rows(sinks.read_partitions(spark, path, df.selectExpr("a", "'' as dep", "'' as layer").schema)) == _rows(got)
+
+
+def test_empty_first_run_and_empty_rerun(spark):
+    path = scratch_path(spark, "t")
+    none = spark.createDataFrame([], "a int")
+    assert sinks.write_partition(none, path, {"dep": "2A"}).count() == 0
+    some = sinks.write_partition(spark.createDataFrame([(5,)], "a int"), path, {"dep": "2B"})
+    assert _rows(some) == [(5, "2B")]
+    assert _rows(sinks.write_partition(spark.createDataFrame([(7,)], "a int"), path, {"dep": "2A"})) == [(7, "2A")]
+    assert sinks.write_partition(none, path, {"dep": "2A"}).count() == 0
+    assert _rows(sinks.read_partitions(spark, path, some.schema)) == [(5, "2B")]
+    with pytest.raises(PySparkException):
+        sinks.write_partition(none, path, {"dep": "2A"}, overwrite=False)
+
+
+def test_intersect_jobs_without_rows_leave_no_old_ones(spark):
+    near = spark.createDataFrame([(1, 0.0, 0.0)], "gid int, x double, y double")
+    far = spark.createDataFrame([(1, 9e5, 9e5)], "gid int, x double, y double")
+    parts = spark.createDataFrame([("A", 0.0, 0.0, 1.0, 0.0, 50.0)], "lib_rte string, x1 double, y1 double, x2 double, y2 double, radius double")
+    path = scratch_path(spark, "dep")
+    run = lambda df, buffers: jobs.parcel_intersect(df, S.Point(), "gid", buffers, path, "parcelle", "01").collect()
+    assert run(far, parts) == []
+    (row,) = run(near, parts)
+    assert (row.gid, row.lib_rte, row.radius, row.layer, row.dep) == (1, "A", 50.0, "parcelle", "01")
+    assert run(far, parts) == []
+    assert run(near, parts.limit(0)) == []
+
+
+def test_dense_gid_does_not_depend_on_the_layout(spark):
+    rows = spark.range(4000).select((F.col("id") % 5).alias("k"), (F.col("id") * 7919 % 4000).alias("v"), F.lit("x").alias("t"))
+    got = [
+        _rows(load.assign_dense_gid(rows.repartition(n), "k", buckets=b)) for n, b in ((1, 1), (8, 3), (5, 2000), (3, None))
+    ]
+    assert got[0] == got[1] == got[2] == got[3]
+    assert [r[0] for r in got[0]] == sorted(r[0] for r in got[0]) or len({r[0] for r in got[0]}) == 4000
+
+
+def test_dense_gid_of_missing_keys_and_odd_columns(spark):
+    rows = spark.range(50).select(F.lit(None).cast("int").alias("k"), "id", F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    got = load.assign_dense_gid(rows, "k").collect()
+    assert sorted(r.gid for r in got) == list(range(1, 51))
+    plan = load.assign_dense_gid(spark.range(10).toDF("k"), "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan
+
+
+def test_overlay_refuses_a_repeated_richer_key(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    richer = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (3, "w")], "k int, v string")
+    with pytest.raises(PySparkException, match="several richer rows"):
+        enrich.overlay(base, richer, "k", ["v"]).collect()
+    assert _rows(enrich.overlay(base.where("k = 2"), richer, "k", ["v"])) == [(2, "b")]
+
+
+def test_wkt_prefix_and_projection_by_row(spark):
+    texts = ["SRID=4326;POINT(3 46.5)", "POINT(700000 6600000)", " srid = 2154 ; POINT (1 2)", None, "SRID=4326;junk"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    g = df.select("i", G.from_wkt(F.col("t")).alias("geom"))
+    assert [r.s for r in g.select(F.col("geom.srid").alias("s")).collect()] == [4326, 2154, 2154, None, None]
+    moved = load.reproject_layer(g)
+    x = F.round(F.col("geom.parts")[0]["pts"][0]["x"], 3).alias("x")
+    assert [tuple(r) for r in moved.select("geom.srid", x).collect()][:3] == [(2154, 700000.0), (2154, 700000.0), (2154, 1.0)]
+    odd = df.limit(1).select(G.from_wkt(F.lit("SRID=3857;POINT(1 2)")).alias("geom"))
+    with pytest.raises(PySparkException, match="no projection"):
+        load.reproject_layer(odd).collect()
+
+
+def test_profile_lists_all_srids(spark):
+    df = spark.createDataFrame([("SRID=4326;POINT(1 2)",), ("POINT(1 2 3)",)], "t string").select(G.from_wkt(F.col("t")).alias("geom"))
+    row = profile.geometry_profile({"l": (df, S.Geom())}).first()
+    assert (row.srid, row.dim) == ("2154,4326", "2,3")
+
+
+def test_box_read_finds_areas_that_begin_outside(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0, 50.0, 50.0), (2, 300.0, 300.0, 301.0, 301.0)], "id int, xmin double, ymin double, xmax double, ymax double")
+    path = scratch_path(spark, "g")
+    layout.write_grid(df, S.Box(), 10.0, path)
+    assert 1 in [r.id for r in layout.read_box(spark, path, 40.0, 40.0, 45.0, 45.0).collect()]
+    empty = scratch_path(spark, "g")
+    layout.write_grid(df.limit(0), S.Box(), 10.0, empty)
+
+
+def test_salted_join_splits_a_hot_key(spark):
+    big = spark.range(5000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
+    small = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c"), (None, "d")], "k long, t string")
+    got = joins.salted_join(big, small, "k", rows_per_salt=100)
+    assert _rows(got) == _rows(big.join(small, "k"))
+
+
+def test_broadcast_is_measured_in_bytes(spark):
+    assert joins.fits_broadcast(spark.range(10), 10)
+    assert not joins.fits_broadcast(spark.range(11), 10)
+    assert not joins.fits_broadcast(spark.range(2).select(F.repeat(F.lit("x"), 1000).alias("t")), 10, 500)
+
+
 def test_saved_table_in_a_schema_with_an_odd_name(spark):
     layer = spark.range(4).toDF("a").withColumn("geom", G.make_point(F.col("a"), F.lit(0.0)))
     full = sinks.save_table(layer, "0-store", "cei", overwrite=True)
@@ -266,20 +370,21 @@ def test_dissolve_ignores_copies_reversals_and_nulls(spark):
 def test_grid_layout_prunes_partitions(spark):
     df = spark.range(2000).select(
         "id", (F.col("id") * 37 % 1000).cast("double").alias("x"), (F.col("id") * 91 % 1000).cast("double").alias("y"))
-    stored = layout.write_grid(df, S.Point(), 10.0, scratch_path(spark, "g"), coarse=10)
-    near = layout.box_filter(stored, 10.0, 0.0, 0.0, 99.0, 99.0, coarse=10)
+    path = scratch_path(spark, "g")
+    stored = layout.write_grid(df, S.Point(), 10.0, path, coarse=10)
+    near = layout.read_box(spark, path, 0.0, 0.0, 99.0, 99.0)
     plan = near._jdf.queryExecution().executedPlan().toString()
-    assert "coarse_cell" in plan.split("PartitionFilters:")[1][:120]
+    assert "coarse_x" in plan.split("PartitionFilters:")[1][:120]
     assert "GreaterThanOrEqual(cx" in plan
     assert near.where("x <= 99 and y <= 99").count() == df.where("x <= 99 and y <= 99").count()
-    assert len(near.inputFiles()) > 0 and len({f.split("coarse_cell=")[1].split("/")[0] for f in stored.inputFiles()}) == 100
+    assert len({f.split("coarse_x=")[1].rsplit("/", 1)[0] for f in stored.inputFiles()}) == 100
 
 
 def test_filter_reaches_the_scan(spark):
     path = scratch_path(spark, "p")
-    spark.createDataFrame([(1, "DIRNO")], "a int, gestionnaire string").write.parquet(path)
-    plan = spark.read.parquet(path).where("gestionnaire = 'DIRNO'").select("a")._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(gestionnaire,DIRNO)" in plan
+    spark.createDataFrame([(1, "OWN")], "a int, gestionnaire string").write.parquet(path)
+    plan = spark.read.parquet(path).where("gestionnaire = 'OWN'").select("a")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(gestionnaire,OWN)" in plan
 
 
 def test_jobs_need_a_field_or_a_geometry(spark):
@@ -306,22 +411,35 @@ def test_import_falls_back_to_gid(spark):
     assert done.profile.first().n_rows == 2 and done.profile.first().kind is None
 
 
+PART = "lib_rte string, x1 double, y1 double, x2 double, y2 double, radius double"
+
+
 def test_jobs_refuse_a_wrong_layer_name(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0)], "gid int, x double, y double")
-    parts = spark.createDataFrame([("A", 0.0, 0.0, 1.0, 0.0)], "lib_rte string, x1 double, y1 double, x2 double, y2 double")
+    parts = spark.createDataFrame([("A", 0.0, 0.0, 1.0, 0.0, 50.0)], PART)
     with pytest.raises(LayerError):
         jobs.commune_intersect(df, S.Point(), "gid", parts, "/nowhere", "parcelle_14", 2014)
     with pytest.raises(LayerError):
-        jobs.departement_flag(df, S.Point(), "gid", parts, "commune")
+        jobs.departement_flag(df, S.Point(), "gid", parts, "commune", "/nowhere")
+
+
+def test_departement_flag_is_stored_and_published(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0), (2, 9e5, 0.0)], "gid int, x double, y double")
+    parts = spark.createDataFrame([("A", 0.0, 0.0, 1.0, 0.0, 50.0)], PART)
+    done = jobs.departement_flag(df, S.Point(), "gid", parts, "departement", scratch_path(spark, "d"), flag="near")
+    assert _rows(spark.table(done.view).select("gid", "near")) == [(1, True), (2, False)]
+    assert _rows(spark.table(done.table).select("gid", "near")) == [(1, True), (2, False)]
 
 
 def test_parcels_and_address_points_do_not_share_a_partition(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0)], "gid int, x double, y double")
-    parts = spark.createDataFrame([("A", 0.0, 0.0, 1.0, 0.0)], "lib_rte string, x1 double, y1 double, x2 double, y2 double")
+    parts = spark.createDataFrame([("A", 0.0, 0.0, 1.0, 0.0, 50.0)], PART)
     path = scratch_path(spark, "dep")
     for name in ("parcelle", "localisant", "parcelle"):
         jobs.parcel_intersect(df, S.Point(), "gid", parts, path, name, 14)
     assert _rows(spark.read.parquet(path).select("layer", "dep", "gid")) == [("localisant", 14, 1), ("parcelle", 14, 1)]
+    with pytest.raises(PySparkException):
+        jobs.parcel_intersect(df, S.Point(), "gid", parts, path, "parcelle", 14, overwrite=False)
 
 
 def test_session_helpers(spark):
