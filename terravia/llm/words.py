@@ -17,9 +17,9 @@ FOLD = bytes(
     for b in range(256)
 )
 #: Bytes that are hashed at once; a text is cut between words, so memory does not follow its length.
-PIECE = 1 << 20
+PIECE = 1 << 19
 #: Bytes of text handled together in a task.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 
 U = np.uint64
 _SPOTS = np.random.Generator(np.random.PCG64(20240917)).integers(1, 2**63, 64, dtype=np.uint64) * U(2) + U(1)
