@@ -5,14 +5,16 @@ made by a random order of the labelled shingles: the ``CHOSEN`` least of them, p
 number. Two texts share a sketch if they share those shingles in the same order, so sketches follow edit similarity and
 not only the set of shingles. Two texts are compared if they share one of ``SKETCHES`` sketches.
 
-Comparison is an alignment of the two labelled sequences within a band: labels do not repeat, so the longest common
-subsequence is the longest increasing run of places. With m aligned shingles the similarity is m / (n1 + n2 - m), and
-the band is as wide as that many unaligned shingles allow.
+Comparison is an alignment of the two sequences of shingles within a band. With m shingles in the longest common
+subsequence the similarity is m / (n1 + n2 - m), and the band is as wide as the least similarity allows. Labels do not
+repeat, so on them the subsequence is the longest increasing run of places; where that falls short although enough
+labels are shared (a change in repeated text shifts the labels after it), the band is filled in full.
 
 Texts with the same words are one class before any sketch is made. Within a bucket the classes are not paired with each
-other: each is compared with a few centres, those whose sketches are shared most; what none of them matches is
-compared in the next round with centres of its own, twice as many, until nothing is left. What is left of a bucket is
-compared in full once it is at most ``FEW`` texts. The links' components are the groups.
+other: each is compared with the ``CENTRES`` texts whose sketches are shared most. What none of them matches is compared
+with all texts of the bucket if those are at most ``FEW``; in a larger bucket, if it has no link at all yet, with
+``MORE`` further texts, the next most shared ones and some that a hash picks. So comparisons are linear in the size of
+a bucket. The links' components are the groups. Joins with texts are sorted ones at every size.
 """
 
 from __future__ import annotations
@@ -32,14 +34,15 @@ from terravia.llm.words import U, Words, mix, shingles, signed, text_chunks
 from terravia.session import cut_lineage
 
 #: Words of a shingle, least similarity, sketches of a text, shingles of a sketch.
-SIZE, SIMILAR, SKETCHES, CHOSEN = 5, 0.8, 40, 6
-#: Centres of a bucket in the first round, and texts left in a bucket that are few.
-CENTRES, FEW = 3, 16
+SIZE, SIMILAR, SKETCHES, CHOSEN = 5, 0.8, 24, 5
+#: Centres of a bucket, texts of a bucket that are few, further texts in a larger one: most shared, and by hash.
+CENTRES, FEW, MORE = 2, 16, (4, 2)
 _ORDERS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 
 
-def labelled(words: Words, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the labelled shingles of all texts, and where each text's begin (one more entry at the end).
+def labelled(words: Words, size: int = SIZE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the labelled shingles of all texts, where each text's begin (one more entry at the end), and the
+    numbers without the labels.
 
     A text of fewer words than a shingle is one shingle of all its words; one without words has none.
     """
@@ -60,7 +63,7 @@ def labelled(words: Words, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
     start = np.flatnonzero(new)
     turn = np.empty(len(own), np.int64)
     turn[order] = np.arange(len(own)) - np.repeat(start, np.diff(np.append(start, len(own))))
-    return mix(numbers + turn.astype(np.uint64) * U(0x9E3779B97F4A7C15)), first
+    return mix(numbers + turn.astype(np.uint64) * U(0x9E3779B97F4A7C15)), first, numbers
 
 
 def sketches(labels: np.ndarray, n: int = SKETCHES, chosen: int = CHOSEN) -> np.ndarray:
@@ -86,22 +89,37 @@ def sketches(labels: np.ndarray, n: int = SKETCHES, chosen: int = CHOSEN) -> np.
     return mix(out + np.arange(n, dtype=np.uint64))
 
 
-def alignment(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> float:
-    """Similarity of two labelled sequences if it is at least ``least``, else 0."""
+def common_subsequence(a: np.ndarray, b: np.ndarray, band: int) -> int:
+    """Length of the longest common subsequence whose pairs (i, j) have |i - j| <= band."""
+    width = 2 * band + 1
+    best = np.zeros(width, np.int32)  # by j - i + band
+    padded = np.concatenate((np.zeros(band, np.uint64), b, np.zeros(band + len(a), np.uint64)))
+    real = np.concatenate((np.zeros(band, bool), np.ones(len(b), bool), np.zeros(band + len(a), bool)))
+    for i in range(len(a)):
+        best += (padded[i : i + width] == a[i]) & real[i : i + width]
+        above = best.copy()
+        above[:-1] = before[1:] if i else 0
+        best = np.maximum.accumulate(np.maximum(best, above))
+        before = best.copy()
+    return int(best.max())
+
+
+def alignment(a: np.ndarray, b: np.ndarray, plain_a: np.ndarray, plain_b: np.ndarray, least: float = SIMILAR) -> float:
+    """Similarity of two sequences, given with and without labels, if it is at least ``least``, else 0."""
     n = len(a) + len(b)
     if not len(a) or not len(b) or min(len(a), len(b)) < least * max(len(a), len(b)):
         return 0.0
-    need = least * n / (1 + least)  # m / (n - m) >= least
+    need = least * n / (1 + least) - 1e-9  # m / (n - m) >= least
     order = np.argsort(b)
     place = np.searchsorted(b[order], a)
     place[place == len(b)] = 0
     there = order[place]
     i = np.flatnonzero(b[there] == a)
     j = there[i]
-    band = n - 2 * need + 1e-9
+    if len(j) < need:
+        return 0.0  # not even as sets
+    band = int(n - 2 * need)
     j = j[np.abs(i - j) <= band]
-    if len(j) < need - 1e-9:
-        return 0.0
     if (np.diff(j) > 0).all():
         m = len(j)
     else:
@@ -113,7 +131,9 @@ def alignment(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> float:
             else:
                 tails[k] = x
         m = len(tails)
-    return m / (n - m) if m >= need - 1e-9 else 0.0
+    if m < need:
+        m = common_subsequence(plain_a, plain_b, band)
+    return m / (n - m) if m >= need else 0.0
 
 
 def _describe(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -133,7 +153,7 @@ def _describe(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 for seed in (U(1), U(2)):
                     total = np.concatenate(([U(0)], np.cumsum(mix(words.hash + mix(spot * U(2) + seed)))))
                     sums.append(mix(total[words.first[1:]] - total[words.first[:-1]] + counts.astype(np.uint64)))
-                labels, first = labelled(words)
+                labels, first, _ = labelled(words)
                 rows = [signed(sketches(labels[x:y])) if y > x else () for x, y in zip(first, first[1:])]
                 part = batch.slice(a, b - a)
                 columns = [part.column(0), part.column(1), pa.array(counts, pa.int64())]
@@ -147,9 +167,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """(a, b, similarity) for pairs (a, b), 0 where they are not similar. Texts travel only to the pairs they are in."""
     texts = docs.select(F.col(KEY).alias("_k"), F.col(text).alias("_t"))
     both = (
-        pairs.join(texts, F.col("a") == F.col("_k"))
+        pairs.join(texts.hint("merge"), F.col("a") == F.col("_k"))
         .select("a", "b", F.col("_t").alias("ta"))
-        .join(texts, F.col("b") == F.col("_k"))
+        .join(texts.hint("merge"), F.col("b") == F.col("_k"))
         .select("a", "b", "ta", F.col("_t").alias("tb"))
     )
 
@@ -159,8 +179,9 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
                 right = batch.column(3).slice(a, b - a).to_pylist()
                 found = []
                 for x, y in zip(left, right, strict=True):
-                    labels, first = labelled(Words([x, y]))
-                    found.append(alignment(labels[first[0] : first[1]], labels[first[1] : first[2]]))
+                    labels, first, plain = labelled(Words([x, y]))
+                    n = first[1]
+                    found.append(alignment(labels[:n], labels[n:], plain[:n], plain[n:]))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(found, pa.float64())],
                     ["a", "b", "similarity"],
@@ -169,43 +190,43 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     return both.mapInArrow(work, "a long, b long, similarity double")
 
 
-def near_links(docs: DataFrame, keys: DataFrame, text: str = "text", centres: int = CENTRES) -> DataFrame:
+def near_links(docs: DataFrame, keys: DataFrame, text: str = "text") -> DataFrame:
     """Verified links (a, b, similarity) between the classes' representatives, whose sketches ``keys`` holds."""
-    entries = keys.select(F.col(KEY).alias("a"), F.posexplode("sketches")).select(
-        "a", F.xxhash64("pos", "col").alias("bucket")
-    )
-    sizes = entries.groupBy("bucket").count().filter("count > 1")
-    left = cut_lineage(entries.join(sizes, "bucket"), "buckets")
+    entries = keys.select(F.col(KEY).alias("a"), F.posexplode("sketches"))
+    entries = entries.select("a", F.xxhash64("pos", "col").alias("bucket"))
+    sizes = entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = cut_lineage(entries.join(sizes, "bucket"), "buckets")
     # How often a text's sketches are shared: the text that others were copied from has the most.
-    mass = cut_lineage(left.groupBy("a").agg(F.sum("count").alias("mass")), "mass")
-    left = cut_lineage(left.join(mass, "a").select("bucket", "a", "mass"), "buckets")
-    docs = cut_lineage(docs.select(KEY, text).join(left.select(F.col("a").alias(KEY)).distinct(), KEY, "left_semi"), "texts")
-    done, few = None, centres + 1
-    while not left.isEmpty():
-        # The row limit is applied in every task before the shuffle, so a bucket's rows do not meet.
-        order = Window.partitionBy("bucket").orderBy(F.desc("mass"), "a")
-        heads = left.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= max(centres, few))
-        small = left.groupBy("bucket").agg((F.count("*") <= few).alias("all"))
-        heads = heads.join(small, "bucket").filter(F.col("all") | (F.col("n") <= centres))
-        heads = cut_lineage(heads.select("bucket", F.col("a").alias("b")), "centres")
-        centres, few = 2 * centres, FEW
-        tries = cut_lineage(left.join(heads, "bucket").select("bucket", "a", "b").filter("a != b"), "tries")
-        pairs = tries.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        found = cut_lineage(_verified(pairs, docs, text), "links")
-        done = found if done is None else done.unionByName(found)
-        # Out go the centres and what matched one of them; a bucket of one is done.
-        good = done.filter("similarity > 0").select(F.col("a").alias("x"), F.col("b").alias("y"))
-        same = (F.least("a", "b") == F.col("x")) & (F.greatest("a", "b") == F.col("y"))
-        matched = tries.join(good, same, "left_semi").select("bucket", "a")
-        gone = matched.unionByName(tries.select("bucket", F.col("b").alias("a"))).distinct()
-        rest = left.join(gone, ["bucket", "a"], "left_anti")
-        many = rest.groupBy("bucket").count().filter("count > 1").select("bucket")
-        left = cut_lineage(rest.join(many, "bucket", "left_semi"), "buckets")
-    if done is None:
-        return docs.sparkSession.createDataFrame([], "a long, b long, similarity double")
-    return done.filter("similarity > 0")
+    mass = shared.groupBy("a").agg(F.sum("n").alias("mass"))
+    shared = cut_lineage(shared.join(mass, "a"), "buckets")
+    wanted = shared.select(F.col("a").alias(KEY)).distinct().hint("merge")
+    docs = cut_lineage(docs.select(KEY, text).join(wanted, KEY, "left_semi"), "texts")
+
+    # The row limits are applied in every task before the shuffle, so a bucket's rows do not meet.
+    most = Window.partitionBy("bucket").orderBy(F.desc("mass"), "a")
+    mixed = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "a"), "a")
+    heads = shared.withColumn("rank", F.row_number().over(most)).filter(F.col("rank") <= FEW)
+    heads = heads.filter((F.col("n") <= FEW) | (F.col("rank") <= CENTRES + MORE[0])).select("bucket", "a", "rank")
+    other = shared.withColumn("rank", F.row_number().over(mixed)).filter(F.col("rank") <= MORE[1])
+    other = other.filter(F.col("n") > FEW).select("bucket", "a", F.lit(FEW).alias("rank"))
+    heads = cut_lineage(heads.unionByName(other).withColumnRenamed("a", "b"), "centres")
+
+    def pairs_of(tries: DataFrame) -> DataFrame:
+        return tries.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    first = heads.filter(F.col("rank") <= CENTRES).select("bucket", "b")
+    tries = cut_lineage(shared.select("bucket", "a").join(first, "bucket").filter("a != b"), "tries")
+    done = cut_lineage(_verified(pairs_of(tries), docs, text), "links")
+    good = done.filter("similarity > 0").select("a", "b")
+    good = cut_lineage(good.unionByName(good.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links-both-ways")
+    matched = tries.join(good, ["a", "b"], "left_semi").select("bucket", "a").distinct()
+    rest = shared.join(matched, ["bucket", "a"], "left_anti")
+    linked = good.select("a", F.lit(True).alias("linked")).distinct()
+    rest = rest.join(linked, "a", "left").filter((F.col("n") <= FEW) | F.col("linked").isNull())
+    second = heads.filter(F.col("rank") > CENTRES).select("bucket", "b")
+    tries = rest.select("bucket", "a").join(second, "bucket").filter("a != b")
+    pairs = pairs_of(tries).join(done.select("a", "b"), ["a", "b"], "left_anti")
+    return done.unionByName(cut_lineage(_verified(pairs, docs, text), "links")).filter("similarity > 0")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -217,9 +238,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     empty, punctuation) are a class each. A text shorter than a shingle is one shingle. Rows equal in id and text share
     key and class. No documents give no rows.
 
-    A pair with similarity s shares a sketch with probability about 1 - (1 - s**6)**40, over 0.99999 at 0.8. The one
-    further way to miss a link: two similar texts never meet as centre and member although they share a bucket,
-    because one of them matched a centre that the other did not; they are then still one class if anything links them.
+    A pair with similarity s shares a sketch with probability about 1 - (1 - s**5)**24, over 0.9999 at 0.8. The one
+    further way to miss a link: two texts that share only buckets of more than ``FEW`` texts, and of which one matches a
+    centre that the other does not, or neither meets the other among the further texts; if anything links them to the
+    same texts, they are still one class.
     """
     keyed = with_key(docs.select(doc_id, text), doc_id, text)
     about = cut_lineage(_describe(keyed, doc_id, text), "sketches")
@@ -244,5 +266,5 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The documents, with their own columns, that stand for their class: one row for each class."""
     keep = near_duplicates(docs, doc_id, text).filter(F.col("class_id") == F.col(KEY)).select(KEY).distinct()
     keyed = with_key(docs.select(F.struct("*").alias("_row"), doc_id, text), doc_id, text)
-    kept = keyed.join(cut_lineage(keep, "kept"), KEY, "left_semi")
+    kept = keyed.join(cut_lineage(keep, "kept").hint("merge"), KEY, "left_semi")
     return one_per_key(kept).select("_row.*")
