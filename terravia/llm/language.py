@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from terravia.llm.rows import KEY, with_key
+from terravia.llm.rows import KEY, append, with_key
 from terravia.llm.url_rules import url_host
 from terravia.llm.words import FOLD, SEPARATOR, text_chunks
 from terravia.session import cut_lineage
@@ -70,12 +71,19 @@ def trigram_models(rows: DataFrame, text: str, declared: str, languages: tuple[s
     return np.log(table / table.sum(1, keepdims=True)).T.astype(np.float32)
 
 
-def _fused(parts: list[list[Column]]) -> list[Column]:
-    """Normalised exp of the sums of log evidence, one column per language."""
-    logs = [sum(p[1:], p[0]) for p in zip(*parts, strict=True)]
-    top = F.greatest(*logs) if len(logs) > 1 else logs[0]
-    shifted = [F.exp(x - top) for x in logs]
-    return [s / sum(shifted[1:], shifted[0]) for s in shifted]
+def _fused(rows: DataFrame, name: str, parts: list[Column]) -> DataFrame:
+    """Add the array ``name``: exp of the sums of log evidence (arrays by language), normalised."""
+    total = parts[0]
+    for part in parts[1:]:
+        total = F.zip_with(total, part, lambda x, y: x + y)
+    rows = rows.withColumn("_lsum", total).withColumn("_ltop", F.array_max("_lsum"))
+    rows = rows.withColumn("_lexp", F.transform("_lsum", lambda x: F.exp(x - F.col("_ltop"))))
+    rows = rows.withColumn("_lall", F.aggregate("_lexp", F.lit(0.0), lambda x, y: x + y))
+    return rows.withColumn(name, F.transform("_lexp", lambda x: x / F.col("_lall"))).drop("_lsum", "_ltop", "_lexp", "_lall")
+
+
+def _array(values) -> Column:
+    return F.array(*[F.lit(float(v)) for v in values])
 
 
 def _labels(host: Column) -> tuple[Column, Column]:
@@ -107,8 +115,6 @@ def identify(
     spark = rows.sparkSession
     models = spark.sparkContext.broadcast(trigram_models(rows, text, declared, languages))
     n = len(languages)
-    of = [f"_l{i}" for i in range(n)]
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = models.value
         for batch in batches:
@@ -120,67 +126,60 @@ def identify(
                     for i in range(n):
                         total[i] += np.bincount(owner, logs[:, i], b - a)
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array(size), *(pa.array(t) for t in total)], schema.names
-                )
+                logs = pa.ListArray.from_arrays(pa.array(np.arange(0, total.size + 1, n), pa.int32()), pa.array(total.T.ravel()))
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(size), logs], schema.names)
 
     unknown, none = "*", ""
-    shape = rows.select(
-        F.col(text).alias("_text"),
-        *kept,
-        F.when(F.col(declared).isin(*languages), F.col(declared)).otherwise(F.when(F.col(declared).isNull(), none).otherwise(unknown)).alias("_declared"),
-        F.lower(host).alias("_host"),
-    )
-    schema = shape.drop("_text").withColumn("n_trigrams", F.lit(0).cast("long")).select("*", *(F.lit(0.0).alias(c) for c in of)).schema
+    says = F.when(F.col(declared).isNull(), none).when(F.col(declared).isin(*languages), F.col(declared)).otherwise(unknown)
+    shape = rows.select(F.col(text).alias("_text"), *kept, says.alias("_declared"), F.lower(host).alias("_host"))
+    schema = append(shape.drop("_text").schema, ("n_trigrams", T.LongType()), ("_l", T.ArrayType(T.DoubleType())))
     scored = cut_lineage(shape.mapInArrow(score, schema), "language-scores")
 
-    weight = EVIDENCE / (F.col("n_trigrams") + EVIDENCE)
-    by_text = [F.col(c) * weight for c in of]
-    sums = [F.sum(q).alias(c) for q, c in zip(_fused([by_text]), of)]
-    cells = scored.filter("n_trigrams > 0").groupBy("_declared").agg(*sums).collect()
+    def sums(column: str) -> list[Column]:
+        return [F.sum(F.col(column)[i]).alias(f"_l{i}") for i in range(n)]
+
+    by_text = F.transform("_l", lambda x: x * (EVIDENCE / (F.col("n_trigrams") + EVIDENCE)))
+    # How often each declaration goes with each language, by the texts alone.
     kinds = [*languages, unknown, none]
     table = np.ones((len(kinds), n))
-    for r in cells:
-        table[kinds.index(r["_declared"])] += [r[c] for c in of]
+    alone = _fused(scored.filter("n_trigrams > 0"), "_lq", [by_text])
+    for r in alone.groupBy("_declared").agg(*sums("_lq")).collect():
+        table[kinds.index(r["_declared"])] += [r[f"_l{i}"] for i in range(n)]
     share = np.log(table / table.sum(0))
-    overall = np.log(table.sum(0) / table.sum())
-    said = [
-        F.element_at(F.create_map(*(x for k, row in zip(kinds, share) for x in (F.lit(k), F.lit(float(row[i]))))), F.col("_declared"))
-        for i in range(n)
-    ]
-    first = _fused([by_text, said, [F.lit(float(v)) for v in overall]])
-    judged = scored.select("*", *(q.alias(f"_lq{i}") for i, q in enumerate(first)))
+    overall = table.sum(0) / table.sum()
+    said = F.element_at(F.create_map(*(x for k, row in zip(kinds, share) for x in (F.lit(k), _array(row)))), F.col("_declared"))
+    judged = _fused(scored, "_lq", [by_text, said, _array(np.log(overall))])
 
     # Sums of languages per host, domain and suffix; a hot host is one row after the partial sums.
     suffix, domain = _labels(F.col("_host"))
-    q = [f"_lq{i}" for i in range(n)]
-    hosts = judged.filter(F.col("_host").isNotNull()).groupBy("_host").agg(*(F.sum(c).alias(c) for c in q))
-    hosts = cut_lineage(hosts.withColumns({"_suffix": suffix, "_domain": domain}), "hosts")
-    top = [math.exp(v) for v in overall]
-
-    def smoothed(counts: list[Column], parents: list[Column]) -> list[Column]:
-        size = sum(counts[1:], counts[0])
-        return [(c + SMOOTH * p) / (size + SMOOTH) for c, p in zip(counts, parents)]
-
-    sums = [F.sum(c).alias(c) for c in q]
-    suffixes = hosts.groupBy("_suffix").agg(*sums)
-    suffixes = suffixes.select("_suffix", *(p.alias(f"_ls{i}") for i, p in enumerate(smoothed([F.col(c) for c in q], [F.lit(t) for t in top]))))
-    domains = hosts.groupBy("_domain", "_suffix").agg(*sums).join(suffixes, "_suffix")
-    domains = domains.select("_domain", *(p.alias(f"_ld{i}") for i, p in enumerate(smoothed([F.col(c) for c in q], [F.col(f"_ls{i}") for i in range(n)]))))
-    priors = cut_lineage(
-        hosts.join(domains, "_domain").select("_host", *(F.col(c).alias(f"_lh{i}") for i, c in enumerate(q)), *(f"_ld{i}" for i in range(n))),
-        "host-priors",
+    counts = F.array(*[f"_l{i}" for i in range(n)])
+    hosts = judged.filter(F.col("_host").isNotNull()).groupBy("_host").agg(*sums("_lq"))
+    hosts = cut_lineage(hosts.select("_host", counts.alias("_lc"), suffix.alias("_suffix"), domain.alias("_domain")), "hosts")
+
+    def smoothed(own: Column, parent: Column) -> Column:
+        size = F.aggregate(own, F.lit(0.0), lambda x, y: x + y)
+        return F.zip_with(own, parent, lambda c, p: (c + SMOOTH * p) / (size + SMOOTH))
+
+    suffixes = hosts.groupBy("_suffix").agg(*sums("_lc"))
+    suffixes = suffixes.select("_suffix", smoothed(counts, _array(overall)).alias("_ls"))
+    domains = hosts.groupBy("_domain", "_suffix").agg(*sums("_lc")).join(suffixes, "_suffix")
+    domains = domains.select("_domain", smoothed(counts, F.col("_ls")).alias("_ld"))
+    priors = cut_lineage(hosts.join(domains, "_domain").select("_host", "_lc", "_ld"), "host-priors")
+
+    joined = judged.join(priors, "_host", "left")
+    rest = F.zip_with("_lc", "_lq", lambda c, q: F.greatest(c - q, F.lit(0.0)))
+    prior = F.coalesce(smoothed(rest, F.col("_ld")), _array(overall))
+    fused = _fused(joined, "_lp", [by_text, said, F.transform(prior, lambda p: F.log(p))])
+    best = F.array_max("_lp")
+    names = F.array(*[F.lit(v) for v in languages])
+    fits = F.array_max("_l") > F.col("n_trigrams") * -math.log(1 << BITS)
+    return fused.select(
+        *kept,
+        F.get(names, (F.array_position("_lp", best) - 1).cast("int")).alias("language"),
+        best.alias("posterior"),
+        ((F.col("n_trigrams") > 0) & (best >= certain) & fits).alias("accepted"),
+        "n_trigrams",
     )
-    fused = judged.join(priors, "_host", "left")
-    rest = [F.greatest(F.col(f"_lh{i}") - F.col(c), F.lit(0.0)) for i, c in enumerate(q)]
-    own = [F.log(F.coalesce(p, F.lit(t))) for p, t in zip(smoothed(rest, [F.col(f"_ld{i}") for i in range(n)]), top)]
-    fused = fused.select("*", *(p.alias(f"_lp{i}") for i, p in enumerate(_fused([by_text, said, own]))))
-    best = [F.col(f"_lp{i}") for i in range(n)]
-    top_value = F.greatest(*best) if n > 1 else best[0]
-    name = F.coalesce(*(F.when(p == top_value, F.lit(v)) for p, v in zip(best, languages)))
-    fits = F.greatest(*(F.col(c) for c in of)) if n > 1 else F.col(of[0])
-    accepted = (F.col("n_trigrams") > 0) & (top_value >= certain) & (fits > F.col("n_trigrams") * -math.log(1 << BITS))
-    return fused.select(*kept, name.alias("language"), top_value.alias("posterior"), accepted.alias("accepted"), "n_trigrams")
 
 
 def page_text(html: Column) -> Column:
