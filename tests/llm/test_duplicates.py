@@ -1,0 +1,321 @@
+"""Near duplicates, repeated passages, components and the pipeline, against brute force."""
+
+import random
+import re
+from collections import Counter
+
+import corpus_pipeline
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from terravia.llm import near_duplicates, passages
+from terravia.llm.components import components
+from terravia.llm.words import Words
+
+PATTERN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words_of(text):
+    return PATTERN.findall((text or "").lower())
+
+
+def made_text(chance, n):
+    return [f"{chance.choice('abcdefghijk')}{chance.randrange(400)}" for _ in range(n)]
+
+
+def runs_of(words):
+    return list(zip(*[words[i:] for i in range(5)])) if len(words) >= 5 else [tuple(words)] * bool(words)
+
+
+def plain_similarity(x, y):
+    """Longest common subsequence of the shingles, by the full table."""
+    a, b = runs_of(x), runs_of(y)
+    if not a or not b or min(len(a), len(b)) < 0.8 * max(len(a), len(b)) or sum((Counter(a) & Counter(b)).values()) < 0.44 * (len(a) + len(b)):
+        return 0.0
+    row = [0] * (len(b) + 1)
+    for s in a:
+        before = row[:]
+        for j, t in enumerate(b):
+            row[j + 1] = before[j] + 1 if s == t else max(before[j + 1], row[j])
+    return row[-1] / (len(a) + len(b) - row[-1])
+
+
+def plain_classes(docs):
+    label = {d: d for d in docs}
+
+    def root(d):
+        while label[d] != d:
+            d = label[d]
+        return d
+
+    ids = sorted(docs)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if docs[a] == docs[b] != [] or plain_similarity(docs[a], docs[b]) >= 0.8:
+                x, y = sorted((root(a), root(b)))
+                label[y] = x
+    return {d: root(d) for d in ids}
+
+
+@pytest.fixture(scope="module")
+def copies():
+    chance = random.Random(8)
+    texts = [made_text(chance, n) for n in (1, 3, 4, 30, 60, 120, 300)]
+    rows = []
+    for t in texts:
+        for edits in (0, 0, 1, 2, 4, 8, 30):
+            new = t[:]
+            for _ in range(edits):
+                if new:
+                    at = chance.randrange(len(new))
+                    new[at : at + 1] = chance.choice([[], ["new" + str(at)], [new[at], "more"]])
+            rows.append(" ".join(new))
+    rows += [None, "", "...", "same", "SAME!", "word " * 200, "word " * 199, " ".join(made_text(chance, 6000))]
+    return list(enumerate(rows))
+
+
+def test_alignment_is_the_longest_common_subsequence():
+    chance = random.Random(4)
+    for _ in range(60):
+        a = made_text(chance, chance.randrange(1, 40)) if chance.random() < 0.7 else ["x"] * chance.randrange(1, 30)
+        b = [w for w in a if chance.random() > 0.03] or ["y"]
+        at = chance.randrange(len(b))
+        b[at:at] = ["z"] * chance.randrange(2)
+        w = Words([" ".join(a), " ".join(b)])
+        numbers, first, plain = near_duplicates.labelled(w)
+        n = first[1]
+        got = near_duplicates.alignment(numbers[:n], numbers[n:], plain[:n], plain[n:])
+        true = plain_similarity(a, b)
+        assert (got >= 0.8) == (true >= 0.8 - 1e-12) and got <= true + 1e-12
+
+
+def test_repeated_lines_shift_labels_but_not_the_similarity():
+    line = made_text(random.Random(1), 9)
+    a = [w for i in range(20) for w in [*line, f"n{i}"]]
+    b = [*a[:5], "changed", *a[6:]]
+    numbers, first, plain = near_duplicates.labelled(Words([" ".join(a), " ".join(b)]))
+    n = first[1]
+    assert near_duplicates.alignment(numbers[:n], numbers[n:], plain[:n], plain[n:]) > 0.9
+
+
+def test_banded_subsequence_against_the_full_table():
+    chance = random.Random(14)
+    for _ in range(50):
+        a, b = (np.array(chance.choices(range(1, 4), k=chance.randrange(1, 15)), np.uint64) for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before = row[:]
+            for j, y in enumerate(b):
+                row[j + 1] = before[j] + 1 if x == y else max(before[j + 1], row[j])
+        assert near_duplicates.common_subsequence(a, b, 20) == row[-1]
+
+
+def test_sketches_of_long_texts_do_not_depend_on_the_pieces(monkeypatch):
+    numbers, _, _ = near_duplicates.labelled(Words([" ".join(made_text(random.Random(1), 200_000))]))
+    n = len(numbers)
+    orders = near_duplicates._ORDERS[: near_duplicates.SKETCHES, None]
+    expected = [tuple(np.sort(np.argsort(numbers * o)[: near_duplicates.CHOSEN])) for o in orders[:, 0]]
+    got = near_duplicates.sketches(numbers)
+    assert n * near_duplicates.SKETCHES > 1 << 22
+    again = near_duplicates.sketches(numbers[np.unique(np.concatenate(expected))])
+    assert (got == again).all()
+
+
+def test_near_duplicates_against_all_pairs(spark, copies):
+    df = spark.createDataFrame([(*r, "x") for r in copies], "doc_id long, text string, class_id string").repartition(4)
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(df).collect()}
+    assert got == plain_classes({i: words_of(t) for i, t in copies})
+    kept = near_duplicates.one_of_each(df)
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(got.values()))
+
+
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    text = " ".join(made_text(random.Random(2), 40))
+    rows = [(1, text), (1, text), (1, "other words here"), (None, text), (None, None), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates.near_duplicates(df).collect()
+    assert len(got) == 6
+    same = {r["class_id"] for r in got if r["n_copies"] == 3}
+    assert len(same) == 1 and len({r["class_id"] for r in got}) == 4
+    kept = near_duplicates.one_of_each(df).collect()
+    assert len(kept) == 4 and sum(r["text"] == text for r in kept) == 1
+    assert near_duplicates.near_duplicates(df.limit(0)).count() == 0
+    assert near_duplicates.one_of_each(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("edits", [2, 3])
+def test_large_group_of_near_copies(spark, edits):
+    chance = random.Random(11)
+    base = made_text(chance, 200)
+    rows = [(0, " ".join(base))]
+    for i in range(1, 150):
+        new = base[:]
+        for _ in range(edits):
+            new[chance.randrange(200)] = f"edit{i}x{chance.randrange(99)}"
+        rows.append((i, " ".join(new)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(df).collect()}
+    assert got == plain_classes({i: words_of(t) for i, t in rows})
+    # Without the text that all were copied from, few pairs are similar: no class holds what is not linked.
+    without = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(df.filter("doc_id > 0")).collect()}
+    true = plain_classes({i: words_of(t) for i, t in rows if i})
+    assert all(true[d] == true[c] for d, c in without.items())
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 100), (100, 101), (7, 7), (None, 3), (200, 201)]
+    df = spark.createDataFrame(links, "a long, b long")
+    got = {r["node"]: r["label"] for r in components(df).collect()}
+    assert got == {**{i: 0 for i in range(31)}, 50: 50, 100: 50, 101: 50, 200: 200, 201: 200}
+    assert components(df.limit(0)).count() == 0
+
+
+def exact_repeats(docs, n=50):
+    """Words of a document that lie in a run of n words that an earlier document has."""
+    first, out = {}, {}
+    for d in sorted(docs):
+        w = docs[d]
+        for i in range(len(w) - n + 1):
+            if first.setdefault(tuple(w[i : i + n]), d) != d:
+                out.setdefault(d, set()).update(range(i, i + n))
+    return out
+
+
+@pytest.fixture(scope="module")
+def shared():
+    chance = random.Random(21)
+    some = [made_text(chance, n) for n in (50, 55, 80, 200, 20)]
+    line = made_text(chance, 12)
+    docs = {}
+    for i in range(60):
+        t = made_text(chance, chance.randrange(0, 150))
+        for p in chance.sample(some, chance.randrange(3)):
+            at = chance.randrange(len(t) + 1)
+            t[at:at] = p
+        if i % 3 == 0:
+            t += line + line
+        docs[i] = t
+    docs[60], docs[61] = docs[20][:], docs[21] * 2
+    docs[62] = made_text(chance, 9000) + some[2]
+    return docs
+
+
+def spans(found):
+    out = {}
+    for r in found:
+        out.setdefault(r["doc_id"], set()).update(range(r["start"], r["stop"]))
+    return out
+
+
+def test_passages_cover_exact_repeats_and_are_similar(spark, shared):
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in shared.items()], "doc_id long, text string").repartition(5)
+    found = passages.repeated_passages(df).collect()
+    got, expected = spans(found), exact_repeats(shared)
+    for d, places in expected.items():
+        assert places <= got.get(d, set()), d
+    for r in found:
+        assert r["other_id"] < r["doc_id"] and r["stop"] - r["start"] >= 50
+        here, there = shared[r["doc_id"]][r["start"] : r["stop"]], shared[r["other_id"]][r["other_start"] : r["other_stop"]]
+        row = [0] * (len(there) + 1)
+        for w in here:
+            before = row[:]
+            for j, v in enumerate(there):
+                row[j + 1] = before[j] + 1 if w == v else max(before[j + 1], row[j])
+        assert row[-1] >= r["matched"] >= 0.8 * max(len(here), len(there))
+
+
+def test_passages_with_edits_are_found(spark):
+    chance = random.Random(5)
+    passage = made_text(chance, 150)
+    fuzzy = passage[:]
+    for at in (30, 70, 110):
+        fuzzy[at] = "edited"
+    del fuzzy[90]
+    fuzzy[50:50] = ["added", "words"]
+    docs = [(1, made_text(chance, 80) + passage), (2, fuzzy + made_text(chance, 90)), (3, made_text(chance, 300))]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id long, text string")
+    (r,) = passages.repeated_passages(df).collect()
+    assert (r["doc_id"], r["other_id"]) == (2, 1)
+    assert abs(r["start"]) <= 2 and abs(r["stop"] - len(fuzzy)) <= 2 and r["matched"] >= 140
+
+
+def test_chains_against_all_orders():
+    chance = random.Random(6)
+    for _ in range(40):
+        points = sorted({(chance.randrange(60), chance.randrange(60)) for _ in range(chance.randrange(1, 12))})
+        best = {}
+        for i, (x, y) in enumerate(points):
+            best[i] = passages.SEED + max(
+                [0.0] + [best[j] - passages.SKIP * (x - u + y - v) for j, (u, v) in enumerate(points[:i]) if u < x and v < y]
+            )
+        top = max(best.values())
+        found = passages.chains([p[0] for p in points], [p[1] for p in points], [passages.SEED] * len(points), 1)
+        ends = [(hi - passages.SEED, bhi - passages.SEED) for _, hi, _, bhi in found]
+        assert any(e in best_of for e in ends for best_of in [[p for i, p in enumerate(points) if best[i] == pytest.approx(top)]])
+        assert all(lo < hi and blo < bhi for lo, hi, blo, bhi in found)
+
+
+def test_cut_passages_keep_the_first(spark, shared):
+    rows = [(i, ", ".join(t) + ".", "en", len(t)) for i, t in shared.items()] + [(70, None, None, None), (71, "", "en", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long").repartition(3)
+    cut = {r["doc_id"]: r for r in passages.without_passages(df).collect()}
+    assert len(cut) == len(rows) and passages.without_passages(df).columns == df.columns
+    left = {i: words_of(r["text"]) for i, r in cut.items()}
+    found = spans(passages.repeated_passages(df).collect())
+    assert all(places <= found[i] for i, places in exact_repeats(shared).items())
+    for i, t in shared.items():
+        assert left[i] == [w for n, w in enumerate(t) if n not in found.get(i, ())]
+        if i in found:
+            assert cut[i]["n_chars"] == len(cut[i]["text"])
+    assert cut[70]["text"] is None and cut[71]["text"] == ""
+
+
+def test_passages_of_odd_tables(spark):
+    text = " ".join(made_text(random.Random(2), 80))
+    df = spark.createDataFrame([(1, text), (1, text), (None, text), (None, None), (3, "a")], "doc_id long, text string")
+    assert passages.repeated_passages(df).count() == 1
+    assert passages.without_passages(df).count() == 5
+    assert passages.repeated_passages(df.limit(0)).count() == 0
+    assert passages.without_passages(df.limit(0)).count() == 0
+
+
+def test_points_go_on_over_ranges_and_batches(spark):
+    # One seed in very many documents, in small batches and ranges: every document but the first is linked.
+    seeds = spark.range(3000).select(F.lit(5).cast("long").alias("seed"), F.col("id").alias("_key"), F.lit(1).alias("place"), F.lit(6).alias("size"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        points = passages._joined(seeds.withColumn("place", F.col("place").cast("int"))).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    before = {}
+    for r in points:
+        assert r["b"] < r["a"]
+        before.setdefault(r["a"], set()).add(r["b"])
+    assert set(before) == set(range(1, 3000))
+    assert all(a - 1 in b for a, b in before.items())
+    assert len(points) <= 2 * 3000 + 20
+
+
+def test_pipeline_stages(spark, tmp_path):
+    chance = random.Random(30)
+    text = lambda n: " ".join("the of and to in that it was for " + " ".join(made_text(chance, 9)) for _ in range(n // 18))
+    item = " ".join(made_text(chance, 25))
+    passage = " ".join(made_text(chance, 70))
+    base = text(200)
+    rows = [(0, base), (1, base), (2, base.replace("that", "this", 1)), (3, text(90) + " " + passage), (4, text(120) + " " + passage + " " + text(30))]
+    rows += [(5, text(60) + " " + item + " " + text(40)), (6, None), (7, "..."), (8, text(300)), (9, text(30))]
+    docs = spark.createDataFrame([(i, t, "en", "src", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    done = {r["doc_id"]: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert sorted(done) == [0, 3, 4, 8, 9]
+    from terravia.llm.bpe import coder
+
+    own = coder(corpus_pipeline.RANKS, corpus_pipeline.public_tokenizers.PATTERN)
+    assert own.decode(done[0]["ids"]).decode() == base
+    assert passage in own.decode(done[3]["ids"]).decode()
+    assert passage not in own.decode(done[4]["ids"]).decode()
+    got = corpus_pipeline.accept_language(spark, docs, "")
+    assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == [0, 1, 2, 3, 4, 5, 8, 9]
