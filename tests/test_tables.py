@@ -442,6 +442,15 @@ def test_parcels_and_address_points_do_not_share_a_partition(spark):
         jobs.parcel_intersect(df, S.Point(), "gid", parts, path, "parcelle", 14, overwrite=False)
 
 
+def test_a_cluster_session_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace as Fake
+
+    nothing = Fake(get=lambda *a: None)
+    context = Fake(getConf=lambda: nothing, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(LayerError, match="spark.checkpoint.dir"):
+        shared_dir(Fake(conf=nothing, sparkContext=context))
+
+
 def test_session_helpers(spark):
     assert shared_dir(spark)
     assert cut_lineage(spark.range(7)).count() == 7
