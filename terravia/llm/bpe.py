@@ -25,8 +25,9 @@ from pyspark.sql import types as T
 from terravia.llm.rows import append, without
 from terravia.llm.words import text_chunks
 
-#: Distinct pre-tokens that a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 300_000, 64
+#: Distinct pre-tokens that a task remembers, and the longest of them; bytes of text that share a queue.
+REMEMBERED, LONGEST = 400_000, 64
+TOGETHER = 1 << 20
 
 
 class Coder:
@@ -52,7 +53,7 @@ class Coder:
     def _pair(self, pair: tuple[int, int]) -> int:
         """The rank of two neighbours joined, or -1; remembered, as the same pairs come again and again."""
         rank = self.ranks.get(self.tokens[pair[0]] + self.tokens[pair[1]], -1)
-        if len(self.pairs) >= 4 * REMEMBERED:
+        if len(self.pairs) >= REMEMBERED:
             self.pairs.clear()
         self.pairs[pair] = rank
         return rank
@@ -172,6 +173,13 @@ class Coder:
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def __enter__(self) -> Coder:
+        return self
+
+    def __exit__(self, *_) -> None:
+        """At the end of a task: the worker lives on for other work, so what was remembered goes."""
+        self.known, self.pairs = {}, {}
+
 
 _CODERS: dict[tuple[str, str], Coder] = {}
 
@@ -193,11 +201,11 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     schema = append(docs.schema, ("ids", T.ArrayType(T.IntegerType())))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path, pattern)
-        for batch in batches:
-            for a, b, texts in text_chunks(batch.column(batch.schema.get_field_index(text)), 1 << 20):
-                ids = pa.array(list(own.encode_all(texts)), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, ids], schema.names)
+        with coder(path, pattern) as own:
+            for batch in batches:
+                for a, b, texts in text_chunks(batch.column(batch.schema.get_field_index(text)), TOGETHER):
+                    ids = pa.array((np.array(x, np.int32) for x in own.encode_all(texts)), pa.list_(pa.int32()))
+                    yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, ids], schema.names)
 
     return docs.mapInArrow(work, schema)
 
@@ -224,18 +232,17 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path, pattern)
-        for batch in batches:
-            for a, b, texts in text_chunks(batch.column(1), 1 << 20):
-                n, ids_hash, decoded_hash = [], [], []
-                for ids in own.encode_all(texts):
-                    n.append(len(ids))
-                    ids_hash.append(hashlib.sha256(" ".join(map(own.names.__getitem__, ids)).encode()).hexdigest())
-                    decoded_hash.append(hashlib.sha256(own.decode(ids)).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(ids_hash), pa.array(decoded_hash)],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        with coder(path, pattern) as own:
+            for batch in batches:
+                for a, b, texts in text_chunks(batch.column(1), TOGETHER):
+                    n, ids_hash, decoded_hash = [], [], []
+                    for ids in own.encode_all(texts):
+                        n.append(len(ids))
+                        ids_hash.append(hashlib.sha256(" ".join(map(own.names.__getitem__, ids)).encode()).hexdigest())
+                        decoded_hash.append(hashlib.sha256(own.decode(ids)).hexdigest())
+                    columns = [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string())]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(decoded_hash, pa.string())], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
