@@ -26,7 +26,7 @@ from terravia.llm.rows import append, without
 from terravia.llm.words import text_chunks
 
 #: Distinct pre-tokens that a task remembers, and the longest of them; bytes of text that share a queue.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 250_000, 64
 TOGETHER = 1 << 20
 
 

@@ -32,7 +32,7 @@ from terravia.session import cut_lineage
 LANGUAGES = ("de", "en", "es", "fr")
 #: Bits of a trigram's number, weight of a parent level in rows, evidence of a text in trigrams, least posterior.
 BITS, SMOOTH, EVIDENCE, CERTAIN = 15, 10.0, 200.0, 0.5
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def _trigrams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
