@@ -32,6 +32,8 @@ from terravia.session import cut_lineage
 LANGUAGES = ("de", "en", "es", "fr")
 #: Bits of a trigram's number, weight of a parent level in rows, evidence of a text in trigrams, least posterior.
 BITS, SMOOTH, EVIDENCE, CERTAIN = 15, 10.0, 200.0, 0.5
+#: How much worse than evenly spread trigrams a text may fit, per trigram: numbers and codes among words are no reason.
+SLACK = 1.0
 PIECE = 1 << 18
 
 
@@ -105,7 +107,7 @@ def identify(
 
     Equal posteriors go to the language that comes first in the inventory. Rejected are rows without letters or digits
     (null and empty texts too; their language is what the other evidence says), rows below ``certain``, and texts that
-    fit every language worse than evenly spread trigrams would. A null or unknown declaration is evidence of its own
+    fit every language much worse than evenly spread trigrams would. A null or unknown declaration is evidence of its own
     kind; a null host has the prior of all rows. Equal rows are judged alike. No rows give no rows. Input columns
     named like a result, or beginning with ``_l``, are not carried over.
     """
@@ -172,7 +174,7 @@ def identify(
     fused = _fused(joined, "_lp", [by_text, said, F.transform(prior, lambda p: F.log(p))])
     best = F.array_max("_lp")
     names = F.array(*[F.lit(v) for v in languages])
-    fits = F.array_max("_l") > F.col("n_trigrams") * -math.log(1 << BITS)
+    fits = F.array_max("_l") > F.col("n_trigrams") * -(math.log(1 << BITS) + SLACK)
     return fused.select(
         *kept,
         F.get(names, (F.array_position("_lp", best) - 1).cast("int")).alias("language"),
