@@ -10,11 +10,12 @@ subsequence the similarity is m / (n1 + n2 - m), and the band is as wide as the
 repeat, so on them the subsequence is the longest increasing run of places; where that falls short although enough
 labels are shared (a change in repeated text shifts the labels after it), the band is filled in full.
 
-Texts with the same words are one class before any sketch is made. Within a bucket the classes are not paired with each
-other: each is compared with the ``CENTRES`` texts whose sketches are shared most. What none of them matches is compared
-with all texts of the bucket if those are at most ``FEW``; in a larger bucket, if it has no link at all yet, with
-``MORE`` further texts, the next most shared ones and some that a hash picks. So comparisons are linear in the size of
-a bucket. The links' components are the groups. Joins with texts are sorted ones at every size.
+Texts with the same words are one class before any sketch is made. Within a bucket each class is first compared with the
+``CENTRES`` texts whose sketches are shared most, which is linear and joins most large groups. What is still in several
+components is then compared in full: in a bucket of at most ``FEW`` texts pair by pair, in a larger one in blocks of
+texts, where shared shingles are counted by a product of matrices and only pairs with enough of them are aligned. Pairs
+within one component are left out, and so are those of the bucket's largest component with itself. The links' components
+are the groups. Joins with texts are sorted ones at every size.
 """
 
 from __future__ import annotations
@@ -35,8 +36,10 @@ from terravia.session import cut_lineage
 
 #: Words of a shingle, least similarity, sketches of a text, shingles of a sketch.
 SIZE, SIMILAR, SKETCHES, CHOSEN = 5, 0.8, 24, 5
-#: Centres of a bucket, texts of a bucket that are few, further texts in a larger one: most shared, and by hash.
-CENTRES, FEW, MORE = 2, 16, (4, 2)
+#: Centres of a bucket, texts of a bucket that are few, texts and words of a block of a larger one.
+CENTRES, FEW, BLOCK, BLOCK_WORDS = 2, 16, 256, 1 << 17
+#: Shingles that a product of matrices takes at once.
+COLUMNS = 4096
 _ORDERS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 
 
@@ -190,10 +193,94 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     return both.mapInArrow(work, "a long, b long, similarity double")
 
 
+def block_links(ids: list[int], groups: list[int], sides: np.ndarray, texts: list[str]) -> list[tuple[int, int, float]]:
+    """Links that join the groups of the texts: between the sides 0 and 1, or within side 0 if there is no other.
+
+    Every pair of texts of different groups is either found not similar or in groups that the links join.
+    """
+    labels, first, plain = labelled(Words(texts))
+    size = np.diff(first)
+    owner = np.repeat(np.arange(len(size)), size)
+    _, place, often = np.unique(labels, return_inverse=True, return_counts=True)
+    # A shingle of one text is in no pair; labels do not repeat in a text.
+    number = np.cumsum(often > 1) - 1
+    kept = often[place] > 1
+    owner, column = owner[kept], number[place[kept]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    left = np.flatnonzero(sides == 0)
+    right = np.flatnonzero(sides == 1) if (sides == 1).any() else left
+    common = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (low, low + COLUMNS))
+        has = np.zeros((len(size), COLUMNS), np.float32)
+        has[owner[a:b], column[a:b] - low] = 1
+        common += has[left] @ has[right].T
+    need = SIMILAR * (size[left][:, None] + size[right][None, :]) / (1 + SIMILAR) - 1e-9
+    group = np.array(groups, np.int64)
+    near = (common >= need) & (group[left][:, None] != group[right][None, :])
+    if right is left:
+        near = np.triu(near, 1)
+    x, y = np.nonzero(near)
+    order = np.argsort(-common[x, y], kind="stable")
+    root: dict[int, int] = {}
+
+    def top(g: int) -> int:
+        while (up := root.get(g, g)) != g:
+            root[g] = g = root.get(up, up)
+        return g
+
+    found = []
+    for i, j in zip(left[x[order]].tolist(), right[y[order]].tolist(), strict=True):
+        g, h = top(groups[i]), top(groups[j])
+        if g == h:
+            continue
+        a, b = slice(first[i], first[i + 1]), slice(first[j], first[j + 1])
+        similarity = alignment(labels[a], labels[b], plain[a], plain[b])
+        if similarity > 0:
+            root[max(g, h)] = min(g, h)
+            found.append((min(ids[i], ids[j]), max(ids[i], ids[j]), similarity))
+    return found
+
+
+def _block_links(open_rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """Links (a, b, similarity) that join the groups (``label``) of the texts of each bucket, compared in blocks."""
+    main = open_rows.groupBy("bucket").agg(F.mode("label").alias("main"))
+    rows = open_rows.join(cut_lineage(main, "main-groups"), "bucket").withColumn("own", F.col("label") == F.col("main"))
+    counts = rows.groupBy("bucket").agg(
+        *(F.greatest(F.lit(1), F.ceil(F.greatest(F.sum(own.cast("long")) / BLOCK, F.sum(F.when(own, F.col("n_words"))) / BLOCK_WORDS))).cast("int").alias(name)
+          for name, own in (("n_own", F.col("own")), ("n_other", ~F.col("own"))))
+    )
+    rows = rows.join(cut_lineage(counts, "blocks"), "bucket")
+    spot = F.xxhash64("a", "bucket")
+    # The blocks of the main group come after the others and meet only those.
+    block = F.when(F.col("own"), F.col("n_other") + F.pmod(spot, F.col("n_own"))).otherwise(F.pmod(spot, F.col("n_other"))).cast("int")
+    last = F.when(F.col("own"), F.col("n_other")).otherwise(F.col("n_other") + F.col("n_own")) - 1
+    rows = rows.select("bucket", "a", "label", block.alias("block"), last.alias("last"))
+    texts = docs.select(F.col(KEY).alias("_k"), F.col(text).alias("t"))
+    rows = rows.join(texts.hint("merge"), F.col("a") == F.col("_k"))
+    rows = rows.select("bucket", "a", "label", "t", "block", F.explode(F.sequence(F.lit(0), "last")).alias("with"))
+    rows = rows.select(
+        "bucket", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
+        (F.col("block") > F.col("with")).cast("int").alias("side"), "a", "label", "t",
+    )
+
+    def work(block: pa.Table) -> pa.Table:
+        columns = [block.column(c).to_pylist() for c in ("a", "label", "t")]
+        sides = block.column("side").to_numpy()
+        two = block.column("i")[0].as_py() != block.column("j")[0].as_py()
+        found = block_links(columns[0], columns[1], sides, columns[2]) if not two or 0 < sides.sum() < len(sides) else []
+        kinds = {"a": pa.int64(), "b": pa.int64(), "similarity": pa.float64()}
+        return pa.table({n: pa.array([f[i] for f in found], t) for i, (n, t) in enumerate(kinds.items())})
+
+    return rows.groupBy("bucket", "i", "j").applyInArrow(work, "a long, b long, similarity double")
+
+
 def near_links(docs: DataFrame, keys: DataFrame, text: str = "text") -> DataFrame:
-    """Verified links (a, b, similarity) between the classes' representatives, whose sketches ``keys`` holds."""
-    entries = keys.select(F.col(KEY).alias("a"), F.posexplode("sketches"))
-    entries = entries.select("a", F.xxhash64("pos", "col").alias("bucket"))
+    """Verified links (a, b, similarity) between the classes' representatives, whose sketches ``keys`` holds. Any two
+    texts that share a sketch and are similar are linked, directly or through others."""
+    entries = keys.select(F.col(KEY).alias("a"), "n_words", F.posexplode("sketches"))
+    entries = entries.select("a", "n_words", F.xxhash64("pos", "col").alias("bucket"))
     sizes = entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     shared = cut_lineage(entries.join(sizes, "bucket"), "buckets")
     # How often a text's sketches are shared: the text that others were copied from has the most.
@@ -202,31 +289,29 @@ def near_links(docs: DataFrame, keys: DataFrame, text: str = "text") -> DataFram
     wanted = shared.select(F.col("a").alias(KEY)).distinct().hint("merge")
     docs = cut_lineage(docs.select(KEY, text).join(wanted, KEY, "left_semi"), "texts")
 
-    # The row limits are applied in every task before the shuffle, so a bucket's rows do not meet.
+    # The row limit is applied in every task before the shuffle, so a bucket's rows do not meet.
     most = Window.partitionBy("bucket").orderBy(F.desc("mass"), "a")
-    mixed = Window.partitionBy("bucket").orderBy(F.xxhash64("bucket", "a"), "a")
-    heads = shared.withColumn("rank", F.row_number().over(most)).filter(F.col("rank") <= FEW)
-    heads = heads.filter((F.col("n") <= FEW) | (F.col("rank") <= CENTRES + MORE[0])).select("bucket", "a", "rank")
-    other = shared.withColumn("rank", F.row_number().over(mixed)).filter(F.col("rank") <= MORE[1])
-    other = other.filter(F.col("n") > FEW).select("bucket", "a", F.lit(FEW).alias("rank"))
-    heads = cut_lineage(heads.unionByName(other).withColumnRenamed("a", "b"), "centres")
+    heads = shared.withColumn("rank", F.row_number().over(most)).filter(F.col("rank") <= CENTRES)
+    heads = cut_lineage(heads.select("bucket", F.col("a").alias("b")), "centres")
 
     def pairs_of(tries: DataFrame) -> DataFrame:
         return tries.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    first = heads.filter(F.col("rank") <= CENTRES).select("bucket", "b")
-    tries = cut_lineage(shared.select("bucket", "a").join(first, "bucket").filter("a != b"), "tries")
+    tries = shared.select("bucket", "a").join(heads, "bucket").filter("a != b")
     done = cut_lineage(_verified(pairs_of(tries), docs, text), "links")
-    good = done.filter("similarity > 0").select("a", "b")
-    good = cut_lineage(good.unionByName(good.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links-both-ways")
-    matched = tries.join(good, ["a", "b"], "left_semi").select("bucket", "a").distinct()
-    rest = shared.join(matched, ["bucket", "a"], "left_anti")
-    linked = good.select("a", F.lit(True).alias("linked")).distinct()
-    rest = rest.join(linked, "a", "left").filter((F.col("n") <= FEW) | F.col("linked").isNull())
-    second = heads.filter(F.col("rank") > CENTRES).select("bucket", "b")
-    tries = rest.select("bucket", "a").join(second, "bucket").filter("a != b")
+    groups = components(done.filter("similarity > 0")).withColumnRenamed("node", "a")
+    tagged = shared.join(groups, "a", "left").withColumn("label", F.coalesce("label", "a"))
+    tagged = cut_lineage(tagged.select("bucket", "a", "n", "n_words", "label"), "groups")
+    several = tagged.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+    rest = cut_lineage(tagged.join(several.select("bucket"), "bucket", "left_semi"), "open")
+    few = rest.filter(F.col("n") <= FEW)
+    other = few.select("bucket", F.col("a").alias("b"), F.col("label").alias("label_b"))
+    tries = few.join(other, "bucket").filter("a < b and label != label_b")
     pairs = pairs_of(tries).join(done.select("a", "b"), ["a", "b"], "left_anti")
-    return done.unionByName(cut_lineage(_verified(pairs, docs, text), "links")).filter("similarity > 0")
+    more = cut_lineage(_verified(pairs, docs, text), "links")
+    many = cut_lineage(_block_links(rest.filter(F.col("n") > FEW), docs, text), "links")
+    best = many.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+    return done.unionByName(more).unionByName(best).filter("similarity > 0").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -238,10 +323,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     empty, punctuation) are a class each. A text shorter than a shingle is one shingle. Rows equal in id and text share
     key and class. No documents give no rows.
 
-    A pair with similarity s shares a sketch with probability about 1 - (1 - s**5)**24, over 0.9999 at 0.8. The one
-    further way to miss a link: two texts that share only buckets of more than ``FEW`` texts, and of which one matches a
-    centre that the other does not, or neither meets the other among the further texts; if anything links them to the
-    same texts, they are still one class.
+    A pair with similarity s shares a sketch with probability about 1 - (1 - s**5)**24, over 0.9999 at 0.8. Any pair
+    that shares one is compared unless both are known to be of one class by then; buckets have no row limit. So a group
+    whose texts are mostly not similar to each other, though they share sketches, costs the square of its size.
     """
     keyed = with_key(docs.select(doc_id, text), doc_id, text)
     about = cut_lineage(_describe(keyed, doc_id, text), "sketches")

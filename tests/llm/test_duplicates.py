@@ -164,6 +164,30 @@ def test_large_group_of_near_copies(spark, edits):
     assert all(true[d] == true[c] for d, c in without.items())
 
 
+@pytest.mark.parametrize("size, edits", [(60, 3), (400, 3), (400, 4)])
+def test_group_of_near_copies_without_its_source_is_whole(spark, monkeypatch, size, edits):
+    # Most pairs are just under the threshold: buckets are large, links are few.
+    monkeypatch.setattr(near_duplicates, "BLOCK", 40, raising=False)
+    chance = random.Random(size)
+    base = made_text(chance, 200)
+    rows = []
+    for i in range(size):
+        new = base[:]
+        for _ in range(edits):
+            new[chance.randrange(200)] = f"edit{i}x{chance.randrange(99)}"
+        rows.append((i, " ".join(new)))
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    words = [words_of(t) for _, t in rows]
+    sets = [set(runs_of(w)) for w in words]
+    label = list(range(size))
+    for i in range(size):
+        for j in range(i):
+            if label[i] != label[j] and len(sets[i] & sets[j]) >= 0.44 * (len(sets[i]) + len(sets[j])) and plain_similarity(words[i], words[j]) >= 0.8:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert got == dict(enumerate(label))
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 100), (100, 101), (7, 7), (None, 3), (200, 201)]
     df = spark.createDataFrame(links, "a long, b long")
