@@ -3,7 +3,9 @@
 A text is the sequence of its shingles of five words, each labelled with how often it has occurred before. A sketch is
 made by a random order of the labelled shingles: the ``CHOSEN`` least of them, put back into text order, hashed to one
 number. Two texts share a sketch if they share those shingles in the same order, so sketches follow edit similarity and
-not only the set of shingles. Two texts are compared if they share one of ``SKETCHES`` sketches.
+not only the set of shingles. Two texts are compared if they share one of ``SKETCHES`` sketches. Texts of few shingles
+have too few choices for that: up to ``SHORT`` shingles, what is left after leaving out as many shingles as similarity
+allows (none, one or two) are the sketches, so that any similar pair with a text that short shares one.
 
 Comparison is an alignment of the two sequences of shingles within a band. With m shingles in the longest common
 subsequence the similarity is m / (n1 + n2 - m), and the band is as wide as the least similarity allows. Labels do not
@@ -22,6 +24,8 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +44,8 @@ SIZE, SIMILAR, SKETCHES, CHOSEN = 5, 0.8, 24, 5
 CENTRES, FEW, BLOCK, BLOCK_WORDS = 2, 16, 256, 1 << 17
 #: Shingles that a product of matrices takes at once.
 COLUMNS = 4096
+#: Shingles of a text up to which similar pairs share a sketch for certain.
+SHORT = 10
 _ORDERS = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)
 
 
@@ -92,6 +98,33 @@ def sketches(labels: np.ndarray, n: int = SKETCHES, chosen: int = CHOSEN) -> np.
     return mix(out + np.arange(n, dtype=np.uint64))
 
 
+@cache
+def _left_over(n: int, out: int) -> np.ndarray:
+    """The places that are left of ``n`` after leaving out ``out`` of them, one row for each choice."""
+    return np.array(list(combinations(range(n), n - out)), np.int64)
+
+
+def short_sketches(plain: np.ndarray) -> np.ndarray:
+    """The sketches of a text of few shingles, given without labels: its subsequences that can reach ``SIMILAR``."""
+    n = len(plain)
+    found = []
+    for out in range(int(n * (1 - SIMILAR) + 1e-9) + 1):
+        places = _left_over(n, out)
+        total = np.full(len(places), n - out, np.uint64)
+        for j in range(n - out):
+            total = mix(total * U(0x2545F4914F6CDD1D) + plain[places[:, j]])
+        found.append(total)
+    return np.unique(mix(np.concatenate(found) + U(0x9E3779B97F4A7C15)))
+
+
+def all_sketches(labels: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    """All sketches of a text, given with and without labels."""
+    n = len(labels)
+    # A longer text can be similar to a short one.
+    short = short_sketches(plain) if n * SIMILAR <= SHORT + 1e-9 else np.empty(0, np.uint64)
+    return short if n <= SHORT else np.concatenate((short, sketches(labels)))
+
+
 def common_subsequence(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Length of the longest common subsequence whose pairs (i, j) have |i - j| <= band."""
     width = 2 * band + 1
@@ -156,8 +189,8 @@ def _describe(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 for seed in (U(1), U(2)):
                     total = np.concatenate(([U(0)], np.cumsum(mix(words.hash + mix(spot * U(2) + seed)))))
                     sums.append(mix(total[words.first[1:]] - total[words.first[:-1]] + counts.astype(np.uint64)))
-                labels, first, _ = labelled(words)
-                rows = [signed(sketches(labels[x:y])) if y > x else () for x, y in zip(first, first[1:])]
+                labels, first, plain = labelled(words)
+                rows = [signed(all_sketches(labels[x:y], plain[x:y])) if y > x else () for x, y in zip(first, first[1:])]
                 part = batch.slice(a, b - a)
                 columns = [part.column(0), part.column(1), pa.array(counts, pa.int64())]
                 columns += [*(pa.array(signed(s)) for s in sums), pa.array(rows, pa.list_(pa.int64()))]
@@ -279,8 +312,7 @@ def _block_links(open_rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
 def near_links(docs: DataFrame, keys: DataFrame, text: str = "text") -> DataFrame:
     """Verified links (a, b, similarity) between the classes' representatives, whose sketches ``keys`` holds. Any two
     texts that share a sketch and are similar are linked, directly or through others."""
-    entries = keys.select(F.col(KEY).alias("a"), "n_words", F.posexplode("sketches"))
-    entries = entries.select("a", "n_words", F.xxhash64("pos", "col").alias("bucket"))
+    entries = keys.select(F.col(KEY).alias("a"), "n_words", F.explode("sketches").alias("bucket"))
     sizes = entries.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     shared = cut_lineage(entries.join(sizes, "bucket"), "buckets")
     # How often a text's sketches are shared: the text that others were copied from has the most.
@@ -323,7 +355,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     empty, punctuation) are a class each. A text shorter than a shingle is one shingle. Rows equal in id and text share
     key and class. No documents give no rows.
 
-    A pair with similarity s shares a sketch with probability about 1 - (1 - s**5)**24, over 0.9999 at 0.8. Any pair
+    A pair with similarity s shares a sketch with probability about 1 - (1 - s**5)**24, which is over 0.9999 at 0.8 for
+    long texts, over 0.999 from 11 shingles on, and certain if one of the two has at most 10. Any pair
     that shares one is compared unless both are known to be of one class by then; buckets have no row limit. So a group
     whose texts are mostly not similar to each other, though they share sketches, costs the square of its size.
     """

@@ -188,6 +188,24 @@ def test_group_of_near_copies_without_its_source_is_whole(spark, monkeypatch, si
     assert got == dict(enumerate(label))
 
 
+def test_short_texts_with_a_word_more_or_changed(spark):
+    chance = random.Random(17)
+    docs = {}
+    for n, m in [(8, 9), (9, 10), (10, 12), (9, 9), (13, 14), (14, 14), (14, 16)]:
+        for _ in range(60):
+            w = made_text(chance, n)
+            more = made_text(chance, max(m - n, 1))
+            at = chance.choice((0, 0, n, n, chance.randrange(n)))
+            docs[len(docs)] = w
+            docs[len(docs)] = w[:at] + more + w[at + (n == m) :]
+    line = ["word"] * 8
+    docs |= {len(docs) + i: line + ["word"] * i for i in range(3)}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in docs.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(df).collect()}
+    expected = plain_classes(docs)
+    assert expected[1] == 0 and got == expected
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 100), (100, 101), (7, 7), (None, 3), (200, 201)]
     df = spark.createDataFrame(links, "a long, b long")
