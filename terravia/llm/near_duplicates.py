@@ -350,10 +350,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """One row per document: ``doc_id``, ``class_id``, ``n_links``, ``n_copies`` and the document's ``_key``.
 
     Documents with one ``class_id`` are near duplicates of each other, directly or through others; it is the least key
-    of them, that is the least doc_id where ids are unique (see ``with_key``). ``n_links`` counts the texts found
-    similar to this one, ``n_copies`` the documents with the same words, itself included. Texts without words (null,
-    empty, punctuation) are a class each. A text shorter than a shingle is one shingle. Rows equal in id and text share
-    key and class. No documents give no rows.
+    of them, that is the least doc_id where ids are unique (see ``with_key``). ``n_links`` counts the links of this text
+    that were verified, not all texts similar to it: pairs that are in one class by then are not compared. ``n_copies``
+    counts the documents with the same words, itself included. Texts without words (null, empty, punctuation) are a
+    class each. A text shorter than a shingle is one shingle. Rows equal in id and text share key and class. No
+    documents give no rows.
 
     A pair with similarity s shares a sketch with probability about 1 - (1 - s**5)**24, which is over 0.9999 at 0.8 for
     long texts, over 0.999 from 11 shingles on, and certain if one of the two has at most 10. Any pair
