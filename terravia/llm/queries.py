@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from terravia.llm import (
     bpe,
     decontaminate,
+    filter_audit,
     language,
     lm_score,
     near_duplicates,
@@ -95,6 +96,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop(KEY)
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents in each of their 120 orders."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -105,7 +111,11 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language, op2_lm_score, op3_decontamination, op4_url_filter, op5_toxicity, op6_nearest_vectors,
-        op7_training_order, op8_byte_bpe, op9_passages, op10_near_duplicates, pipeline,
+        op7_training_order, op8_byte_bpe, op9_passages, op10_near_duplicates, op13_filter_audit, pipeline,
     )
 }
-ORACLES = {"op3_decontamination": decontaminate.REPORT_SQL, "op4_url_filter": OP4_SQL}
+ORACLES = {
+    "op3_decontamination": decontaminate.REPORT_SQL,
+    "op4_url_filter": OP4_SQL,
+    "op13_filter_audit": filter_audit.AUDIT_SQL,
+}

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages"):
+    for t in ("documents", "benchmark", "pages", "labels", "conversations"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = QUERIES[name](spark, SF)
     found = con.execute(ORACLES[name])
@@ -22,7 +22,7 @@ def test_query_matches_sql(spark, name):
 
 def test_one_query_per_operator():
     assert sorted(QUERIES, key=lambda n: (n == "pipeline", len(n), n))[-1] == "pipeline"
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name, per", [("op2_lm_score", "documents"), ("op5_toxicity", "documents"), ("op8_byte_bpe", "documents"), ("op10_near_duplicates", "documents")])
