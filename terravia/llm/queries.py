@@ -11,6 +11,7 @@ from terravia.llm import (
     decontaminate,
     filter_audit,
     language,
+    line_quality,
     lm_score,
     near_duplicates,
     nearest_vectors,
@@ -96,6 +97,12 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop(KEY)
 
 
+def op12_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return line_quality.quality(docs, line_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters over all documents in each of their 120 orders."""
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -111,7 +118,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language, op2_lm_score, op3_decontamination, op4_url_filter, op5_toxicity, op6_nearest_vectors,
-        op7_training_order, op8_byte_bpe, op9_passages, op10_near_duplicates, op13_filter_audit, pipeline,
+        op7_training_order, op8_byte_bpe, op9_passages, op10_near_duplicates, op12_line_quality, op13_filter_audit, pipeline,
     )
 }
 ORACLES = {
