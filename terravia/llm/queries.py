@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from terravia.llm import (
     bpe,
+    conversation_repair,
     decontaminate,
     filter_audit,
     language,
@@ -97,6 +98,12 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents")).drop(KEY)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after damage, with the cheapest edits that repair it."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversation_repair.damaged(rows), rows)
+
+
 def op12_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from the labels that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -118,11 +125,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language, op2_lm_score, op3_decontamination, op4_url_filter, op5_toxicity, op6_nearest_vectors,
-        op7_training_order, op8_byte_bpe, op9_passages, op10_near_duplicates, op12_line_quality, op13_filter_audit, pipeline,
+        op7_training_order, op8_byte_bpe, op9_passages, op10_near_duplicates, op11_conversation_repair,
+        op12_line_quality, op13_filter_audit, pipeline,
     )
 }
 ORACLES = {
     "op3_decontamination": decontaminate.REPORT_SQL,
     "op4_url_filter": OP4_SQL,
+    "op11_conversation_repair": conversation_repair.REPORT_SQL,
     "op13_filter_audit": filter_audit.AUDIT_SQL,
 }
