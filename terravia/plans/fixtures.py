@@ -11,6 +11,17 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+def _shifted(half_steps: int, turned: bool) -> str:
+    """Segments moved along themselves by so many halves of their length, ends swapped where ``turned``."""
+    dx, dy = "((p_partkey % 7) * 300 - 900)", "((p_partkey % 5) * 400 - 800)"
+    x, y = "(400000 + (p_partkey * 7507) % 100000", "(6850000 + (p_partkey * 9109) % 100000"
+    near = [f"cast({p} + {half_steps} * {d} / 2) as double) as {{}}" for p, d in ((x, dx), (y, dy))]
+    far = [f"cast({p} + {half_steps + 2} * {d} / 2) as double) as {{}}" for p, d in ((x, dx), (y, dy))]
+    ends = [*far, *near] if turned else [*near, *far]
+    named = ", ".join(e.format(n) for e, n in zip(ends, ("x1", "y1", "x2", "y2")))
+    return f"select p_partkey as seg_id, p_brand as lib_rte, {named} from {{part}}"
+
+
 VIEWS = {
     "centre": """
         select n_nationkey as gid, n_name as libcei,
@@ -44,6 +55,9 @@ VIEWS = {
                cast(400000 + (p_partkey * 7507) % 100000 + (p_partkey % 7) * 300 - 900 as double) as x2,
                cast(6850000 + (p_partkey * 9109) % 100000 + (p_partkey % 5) * 400 - 800 as double) as y2
         from {part}""",
+    # every segment, a copy that covers half of it, and one that only touches its end
+    "overlap": f"""
+        {_shifted(0, False)} union all {_shifted(1, False)} union all {_shifted(2, True)}""",
     "rect": """
         select s_suppkey as id,
                cast(400000 + (s_suppkey * 4001) % 50000 as double) as xmin,
