@@ -41,7 +41,12 @@ def box_box_d2(a, b) -> Column:
     return dx * dx + dy * dy
 
 
-def boxes_meet(a, b, radius: float = 0.0) -> Column:
+def square(radius) -> Column:
+    """Square of a radius, a number or a column."""
+    return radius * radius if isinstance(radius, Column) else F.lit(float(radius) * float(radius))
+
+
+def boxes_meet(a, b, radius=0.0) -> Column:
     return (
         (a[0] <= b[2] + radius)
         & (b[0] - radius <= a[2])
@@ -148,7 +153,7 @@ def box_segment_d2(box, seg) -> Column:
     return F.when(box_meets_segment(box, seg), _zero()).otherwise(least)
 
 
-def box_within_segment(box, seg, radius: float) -> Column:
+def box_within_segment(box, seg, radius) -> Column:
     """Is the box at most ``radius`` from the segment? Same cases as ``box_segment_d2``, without
     division and cut short at the first that holds.
 
@@ -156,7 +161,7 @@ def box_within_segment(box, seg, radius: float) -> Column:
     the generated loop too long for the JVM to compile.
     """
     x1, y1, x2, y2 = seg
-    r2 = F.lit(float(radius) * float(radius))
+    r2 = square(radius)
 
     def corner_near(c):
         lands, scaled, length2 = _foot(c, seg)
@@ -170,9 +175,9 @@ def box_within_segment(box, seg, radius: float) -> Column:
     )
 
 
-def segment_within_segment(a, b, radius: float) -> Column:
+def segment_within_segment(a, b, radius) -> Column:
     """Are two segments at most ``radius`` apart?"""
-    r2 = F.lit(float(radius) * float(radius))
+    r2 = square(radius)
     names = ("px", "py", "x1", "y1", "x2", "y2")
     ends = F.array(
         *[

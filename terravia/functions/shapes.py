@@ -154,7 +154,7 @@ def distance2_to_xy(a: Shape, px: Column, py: Column) -> Column:
     return G.st_distance2(a.geom(), G.make_point(px, py))
 
 
-def within(a: Shape, b: Shape, radius: float) -> Column:
+def within(a: Shape, b: Shape, radius: float | Column) -> Column:
     """Are two shapes in one row at most ``radius`` apart? NULL when either is missing."""
     if isinstance(a, Box) and isinstance(b, Segment):
         return F.when(a.present() & b.present(), planar.box_within_segment(a.box(), b.ends(), radius))
@@ -164,4 +164,4 @@ def within(a: Shape, b: Shape, radius: float) -> Column:
         return F.when(
             a.present() & b.present(), planar.segment_within_segment(a.ends(), b.ends(), radius)
         )
-    return distance2(a, b) <= float(radius) * float(radius)
+    return distance2(a, b) <= planar.square(radius)

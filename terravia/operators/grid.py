@@ -1,7 +1,8 @@
 """Spatial join as an equi-join on grid cells.
 
 Both sides are listed in the cells they may touch, joined on the cell, filtered by bounding box and
-then by an exact test.
+then by an exact test. A radius is one number, or the name of a column of the right side: each row then
+reaches as far as it says, and its level follows from that, in one plan whatever the number of radii.
 
 A shape that would cover many cells is listed in the few cells of a coarser level instead: level n
 has cells of ``cell * 4**n``. A shape is also listed in the cells above its own, at each level that
@@ -17,6 +18,7 @@ written and joined like any other; nothing about it is limited.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +44,24 @@ class Crowded:
     count: int = 0
 
 
+Radius = float | str
+
+
+def reach_of(radius: Radius) -> Column:
+    """How far a row reaches; a missing one, or one below zero, reaches nothing."""
+    return F.col(radius) if isinstance(radius, str) else F.lit(float(radius))
+
+
+def _no_reach(radius: Radius) -> bool:
+    return not isinstance(radius, str) and radius == 0
+
+
+def _reaching(df: DataFrame, shape: Shape, radius: Radius) -> DataFrame:
+    """Rows with a geometry and a radius."""
+    present = df.where(shape.present())
+    return present.where(F.col(radius) >= 0) if isinstance(radius, str) else present
+
+
 def cell_of(value: Column, cell) -> Column:
     size = cell if isinstance(cell, Column) else F.lit(float(cell))
     return F.floor(value / size).cast("bigint")
@@ -52,21 +72,22 @@ def size_of(cell: float, level) -> Column:
     return F.lit(float(cell)) * F.pow(F.lit(float(BASE)), level)
 
 
-def level_of(shape: Shape, cell: float, radius: float) -> Column:
+def level_of(shape: Shape, cell: float, radius: Radius) -> Column:
     """The least level at which the box of the shape, grown by ``radius``, spans few cells."""
     if isinstance(shape, Point):
-        extent = F.lit(2.0 * radius)
+        extent = 2.0 * reach_of(radius)
     else:
         xmin, ymin, xmax, ymax = shape.box()
-        extent = F.greatest(xmax - xmin, ymax - ymin) + 2.0 * radius
+        extent = F.greatest(xmax - xmin, ymax - ymin) + 2.0 * reach_of(radius)
     # a line is followed, so it meets about as many cells as it is long; an area the square of it
     span = MOST_CELLS / 4 if isinstance(shape, Segment) else MOST_CELLS**0.5 - 2
     steps = F.ceil(F.log(F.greatest(extent / (span * cell), F.lit(1.0))) / F.log(F.lit(float(BASE))))
     return F.least(F.lit(DEEPEST), F.greatest(F.lit(0), steps)).cast("int")
 
 
-def _listed(shape: Shape, cell: Column, radius: float) -> Column:
+def _listed(shape: Shape, cell: Column, radius: Radius) -> Column:
     """Array of cells ``struct<_cx,_cy>`` that cover the shape grown by ``radius``."""
+    radius = reach_of(radius)
     xmin, ymin, xmax, ymax = shape.box()
 
     def column_cells(cx, low, high):
@@ -92,29 +113,28 @@ def _listed(shape: Shape, cell: Column, radius: float) -> Column:
     return F.flatten(F.transform(F.sequence(cell_of(xmin - radius, cell), cell_of(xmax + radius, cell)), strip))
 
 
-def levels_of(df: DataFrame, shape: Shape, cell: float, radius: float = 0.0) -> list[int]:
-    """The levels that a side uses: at most ``DEEPEST`` + 1 numbers."""
-    if isinstance(shape, Point) and radius == 0:
-        return [0]
-    found = df.where(shape.present()).select(level_of(shape, cell, radius).alias("l")).distinct()
-    return sorted(r[0] for r in found.collect())
+def levels_of(sides, cell: float) -> list[int]:
+    """The levels that the sides ``(df, shape, radius)`` use: at most ``DEEPEST`` + 1 numbers."""
+    asked = [_reaching(df, s, r).select(level_of(s, cell, r).alias("l")) for df, s, r in sides if not (isinstance(s, Point) and _no_reach(r))]
+    found = {r[0] for r in reduce(DataFrame.unionByName, asked).distinct().collect()} if asked else set()
+    return sorted(found | ({0} if len(asked) < len(sides) else set()))
 
 
-def list_cells(df: DataFrame, shape: Shape, cell: float, radius: float = 0.0, levels=(0,)) -> DataFrame:
+def list_cells(df: DataFrame, shape: Shape, cell: float, radius: Radius = 0.0, levels=(0,)) -> DataFrame:
     """One row per (row, cell): its own level ``_own``, and ``_level, _cx, _cy`` at that level and at
     those of ``levels`` above it. Rows without a geometry are left out."""
-    present = df.where(shape.present()).withColumn("_own", level_of(shape, cell, radius))
+    present = _reaching(df, shape, radius).withColumn("_own", level_of(shape, cell, radius))
     above = F.filter(F.array(*[F.lit(v) for v in levels]).cast("array<int>"), lambda v: v > F.col("_own"))
     leveled = present.withColumn("_level", F.explode(F.concat(F.array("_own"), above)))
     size = size_of(cell, F.col("_level"))
-    if isinstance(shape, Point) and radius == 0:
+    if isinstance(shape, Point) and _no_reach(radius):
         return leveled.withColumns({"_cx": cell_of(F.col(shape.x), size), "_cy": cell_of(F.col(shape.y), size)})
     exploded = leveled.withColumn("_cell", F.explode(_listed(shape, size, radius)))
     return exploded.withColumns({"_cx": F.col("_cell._cx"), "_cy": F.col("_cell._cy")}).drop("_cell")
 
 
 def find_crowded(
-    left: DataFrame, right: DataFrame, cell: float, radius: float, cell_work: int = CELL_WORK,
+    left: DataFrame, right: DataFrame, cell: float, radius: Radius, cell_work: int = CELL_WORK,
     rows_per_salt: int = ROWS_PER_SALT,
 ) -> Crowded:
     """Count both sides per cell and write down the cells that would hold up one task.
@@ -123,12 +143,12 @@ def find_crowded(
     """
     keys = list(CELL_KEYS)
     a = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nl"))
-    b = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"))
+    b = right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_nr"), F.max(reach_of(radius)).alias("_reach"))
     both = a.join(b, keys, "full").na.fill(0, ["_nl", "_nr"])
     much = F.col("_nl").cast("double") * F.col("_nr") > cell_work
     work = both.where(much | (F.greatest("_nl", "_nr") > 20 * rows_per_salt))
     # a cut no finer than the radius, as the right rows are listed that far around
-    finest = F.lit(64.0) if radius == 0 else F.least(F.lit(64.0), 2 * size_of(cell, F.col("_level")) / radius)
+    finest = F.least(F.lit(64.0), 2 * size_of(cell, F.col("_level")) / F.nullif(F.col("_reach"), F.lit(0.0)))
     cut = F.least(finest, F.sqrt(F.greatest("_nl", "_nr") / 16)).cast("int")
     # what a cut leaves in the worst case, all rows at one spot, is dealt to salts
     per = F.lit(float(min(rows_per_salt, max(1, int(cell_work**0.5)))))
@@ -149,7 +169,7 @@ def _fine(value: Column, cell_no: Column, cell: Column, cut: Column) -> Column:
     return F.greatest(F.lit(0), F.least(cut - 1, step))
 
 
-def _spread(df: DataFrame, shape: Shape, cell: float, radius: float, crowded: Crowded, is_left: bool) -> DataFrame:
+def _spread(df: DataFrame, shape: Shape, cell: float, radius: Radius, crowded: Crowded, is_left: bool) -> DataFrame:
     """Add the fine cell and the salts; rows outside crowded cells get zeros."""
     if crowded.table is None:
         return df
@@ -164,8 +184,8 @@ def _spread(df: DataFrame, shape: Shape, cell: float, radius: float, crowded: Cr
         return F.sequence(_fine(low, number, size, F.col("_cut")), _fine(high, number, size, F.col("_cut")))
 
     for name, low, high, number in (
-        ("_fx", xmin - radius, xmax + radius, F.col("_cx")),
-        ("_fy", ymin - radius, ymax + radius, F.col("_cy")),
+        ("_fx", xmin - reach_of(radius), xmax + reach_of(radius), F.col("_cx")),
+        ("_fy", ymin - reach_of(radius), ymax + reach_of(radius), F.col("_cy")),
     ):
         marked = marked.withColumn(name, F.explode(span(low, high, number)))
     mine, other = ("_ls", "_rs") if is_left else ("_rs", "_ls")
@@ -180,7 +200,7 @@ def grid_candidates(
     right: DataFrame,
     right_shape: Shape,
     cell: float,
-    radius: float = 0.0,
+    radius: Radius = 0.0,
     balance: bool = True,
     cell_work: int = CELL_WORK,
     rows_per_salt: int = ROWS_PER_SALT,
@@ -195,7 +215,7 @@ def grid_candidates(
         raise LayerError(f"rename columns that both sides have: {same}")
     if cell <= 0:
         raise LayerError("the cell size must be positive")
-    levels = sorted({*levels_of(left, left_shape, cell), *levels_of(right, right_shape, cell, radius)})
+    levels = levels_of([(left, left_shape, 0.0), (right, right_shape, radius)], cell)
     listed_left = list_cells(left, left_shape, cell, 0.0, levels)
     listed_right = list_cells(right, right_shape, cell, radius, levels)
     crowded = Crowded(None)
@@ -205,7 +225,8 @@ def grid_candidates(
     b = _spread(listed_right, right_shape, cell, radius, crowded, False).withColumnRenamed("_own", "_rown")
     keys = list(KEYS if crowded.table is not None else CELL_KEYS)
     pairs = a.join(b, keys).where(F.col("_level") == F.greatest("_lown", "_rown"))
-    pairs = pairs.where(planar.boxes_meet(left_shape.box(), right_shape.box(), radius))
+    reach = reach_of(radius)
+    pairs = pairs.where(planar.boxes_meet(left_shape.box(), right_shape.box(), reach))
     extra = (*KEYS, "_lown", "_rown", "_cut")
     if isinstance(left_shape, Point) or needs_distinct(left_shape, right_shape):
         return pairs.drop(*extra)
@@ -213,7 +234,7 @@ def grid_candidates(
     lx, ly, *_ = left_shape.box()
     rx, ry, *_ = right_shape.box()
     size = size_of(cell, F.col("_level"))
-    corner_x, corner_y = F.greatest(lx, rx - radius), F.greatest(ly, ry - radius)
+    corner_x, corner_y = F.greatest(lx, rx - reach), F.greatest(ly, ry - reach)
     here = (cell_of(corner_x, size) == F.col("_cx")) & (cell_of(corner_y, size) == F.col("_cy"))
     if crowded.table is not None:
         cuts = crowded.table.drop("_lsalts", "_rsalts")
@@ -232,20 +253,20 @@ def needs_distinct(left_shape: Shape, right_shape: Shape) -> bool:
     return not isinstance(left_shape, Point) and Segment in (type(left_shape), type(right_shape))
 
 
-def choose_cell(df: DataFrame, shape: Shape, radius: float = 0.0, rows_per_cell: int = 8) -> float:
-    """Cell size from one aggregate pass: not under twice the radius or the mean box, and near
+def choose_cell(df: DataFrame, shape: Shape, radius: Radius = 0.0, rows_per_cell: int = 8) -> float:
+    """Cell size from one aggregate pass: not under twice the (mean) radius or the mean box, and near
     ``rows_per_cell`` rows per cell over the extent."""
     xmin, ymin, xmax, ymax = shape.box()
-    n, x0, y0, x1, y1, width, height = (
-        df.where(shape.present())
-        .select(xmin.alias("a"), ymin.alias("b"), xmax.alias("c"), ymax.alias("d"))
+    n, x0, y0, x1, y1, width, height, radius = (
+        _reaching(df, shape, radius)
+        .select(xmin.alias("a"), ymin.alias("b"), xmax.alias("c"), ymax.alias("d"), reach_of(radius).alias("r"))
         .agg(
             F.count(F.lit(1)), F.min("a"), F.min("b"), F.max("c"), F.max("d"),
-            F.avg(F.col("c") - F.col("a")), F.avg(F.col("d") - F.col("b")),
+            F.avg(F.col("c") - F.col("a")), F.avg(F.col("d") - F.col("b")), F.avg("r"),
         )
         .first()
     )
     if not n:
-        return max(1.0, 2 * radius)
+        return 1.0
     even = (max(x1 - x0, 1.0) * max(y1 - y0, 1.0) * rows_per_cell / n) ** 0.5
     return float(max(2 * radius, 2 * max(width, height), even, 1e-6))

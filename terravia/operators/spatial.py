@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from terravia.errors import LayerError
 from terravia.functions import geom as G
 from terravia.functions import shapes as S
-from terravia.operators.grid import choose_cell, grid_candidates, needs_distinct
+from terravia.operators.grid import Radius, choose_cell, grid_candidates, needs_distinct, reach_of
 from terravia.operators.joins import salted_join
 from terravia.operators.profile import require_same_srid
 from terravia.session import cut_lineage
 
 
+def _named(radius: Radius) -> list[str]:
+    """The column of a radius per row."""
+    return [radius] if isinstance(radius, str) else []
+
+
 def grid_join(
     left: DataFrame,
     left_shape: S.Shape,
@@ -21,7 +26,7 @@ def grid_join(
     right_shape: S.Shape,
     test: Column,
     cell: float | None = None,
-    radius: float = 0.0,
+    radius: Radius = 0.0,
     **options,
 ) -> DataFrame:
     """Every pair of rows within ``radius`` by bounding box that passes the exact ``test``, once each.
@@ -39,7 +44,7 @@ def grid_join(
     a = cut_lineage(left.withColumn("_ln", F.monotonically_increasing_id()), "left")
     b = cut_lineage(right.withColumn("_rn", F.monotonically_increasing_id()), "right")
     near = grid_candidates(
-        a.select("_ln", *left_shape.columns), left_shape, b.select("_rn", *right_shape.columns), right_shape, cell,
+        a.select("_ln", *left_shape.columns), left_shape, b.select("_rn", *right_shape.columns, *_named(radius)), right_shape, cell,
         radius, **options,
     )
     pairs = near.where(test).select("_ln", "_rn").distinct()
@@ -60,37 +65,37 @@ def within_distance_join(
     left_shape: S.Shape,
     right: DataFrame,
     right_shape: S.Shape,
-    radius: float,
+    radius: Radius,
     cell: float | None = None,
     **options,
 ) -> DataFrame:
-    """One row per pair at most ``radius`` apart."""
-    near = S.within(left_shape, right_shape, radius)
+    """One row per pair at most ``radius`` apart; a column of ``right`` may be the radius."""
+    near = S.within(left_shape, right_shape, reach_of(radius))
     return grid_join(left, left_shape, right, right_shape, near, cell, radius, **options)
 
 
-def _edges_of(df: DataFrame, key: str, shape: S.Shape, tag: str) -> tuple[DataFrame, S.Segment]:
-    """One row per straight edge of every geometry: key and four tagged columns."""
+def _edges_of(df: DataFrame, key: str, shape: S.Shape, tag: str, more: list[str]) -> tuple[DataFrame, S.Segment]:
+    """One row per straight edge of every geometry: key, four tagged columns and ``more``."""
     named = S.Segment(*[tag + c for c in ("x1", "y1", "x2", "y2")])
     present = df.where(shape.present())
     if isinstance(shape, S.Segment):
-        return present.select(key, *[F.col(c).alias(n) for c, n in zip(shape.columns, named.columns)]), named
-    listed = present.select(key, F.explode(G.edges(shape.geom())).alias("_e"))
-    return listed.select(key, *[F.col("_e")[c].alias(n) for c, n in zip(("x1", "y1", "x2", "y2"), named.columns)]), named
+        return present.select(key, *more, *[F.col(c).alias(n) for c, n in zip(shape.columns, named.columns)]), named
+    listed = present.select(key, *more, F.explode(G.edges(shape.geom())).alias("_e"))
+    return listed.select(key, *more, *[F.col("_e")[c].alias(n) for c, n in zip(("x1", "y1", "x2", "y2"), named.columns)]), named
 
 
-def _starts_of(df: DataFrame, key: str, shape: S.Shape, tag: str) -> tuple[DataFrame, S.Point]:
+def _starts_of(df: DataFrame, key: str, shape: S.Shape, tag: str, more: list[str]) -> tuple[DataFrame, S.Point]:
     """The first vertex of every part."""
     named = S.Point(tag + "px", tag + "py")
     present = df.where(shape.present())
     if isinstance(shape, S.Segment):
-        return present.select(key, F.col(shape.x1).alias(named.x), F.col(shape.y1).alias(named.y)), named
+        return present.select(key, *more, F.col(shape.x1).alias(named.x), F.col(shape.y1).alias(named.y)), named
     first = F.transform(shape.geom()["parts"], lambda p: F.get(p["pts"], F.lit(0)))
-    listed = present.select(key, F.explode(first).alias("_p"))
-    return listed.select(key, F.col("_p.x").alias(named.x), F.col("_p.y").alias(named.y)), named
+    listed = present.select(key, *more, F.explode(first).alias("_p"))
+    return listed.select(key, *more, F.col("_p.x").alias(named.x), F.col("_p.y").alias(named.y)), named
 
 
-def _holding(areas: DataFrame, area_key: str, area: S.Shape, others: DataFrame, key: str, shape: S.Shape, cell, options):
+def _holding(areas: DataFrame, area_key: str, area: S.Shape, others: DataFrame, key: str, shape: S.Shape, cell, options, more):
     """Pairs in which an area holds the first vertex of a part of the other geometry.
 
     Keys and boxes find the candidates; the polygon itself joins only them. Rows of the candidates
@@ -100,13 +105,13 @@ def _holding(areas: DataFrame, area_key: str, area: S.Shape, others: DataFrame,
     polygons = polygons.where(G.is_area(F.col("_polygon")))
     box = S.Box("_bx0", "_by0", "_bx1", "_by1")
     boxes = polygons.select(area_key, *[b.alias(n) for b, n in zip(G.bounds(F.col("_polygon")), box.columns)])
-    starts, point = _starts_of(others, key, shape, "_s")
-    found = grid_candidates(starts, point, boxes, box, cell, **options).select(area_key, key, point.x, point.y)
+    starts, point = _starts_of(others, key, shape, "_s", more)
+    found = grid_candidates(starts, point, boxes, box, cell, **options).select(area_key, key, *more, point.x, point.y)
     # one area may hold most of the points: its key is dealt to as many salts as they need
     held = salted_join(found, polygons, area_key).where(
         G.inside(F.col(point.x), F.col(point.y), G.edges(F.col("_polygon")))
     )
-    return held.select(area_key, key)
+    return held.select(area_key, key, *more)
 
 
 def geometry_pairs(
@@ -116,12 +121,14 @@ def geometry_pairs(
     right: DataFrame,
     right_key: str,
     right_shape: S.Shape,
-    radius: float = 0.0,
+    radius: Radius = 0.0,
     cell: float | None = None,
     **options,
 ) -> DataFrame:
     """Distinct ``(left_key, right_key)`` of geometries at most ``radius`` apart, of any kind.
 
+    A radius per row of ``right`` is a column that comes along: ``(left_key, right_key, radius)``.
+
     Two geometries are near when two of their edges are, or when an area holds the other one. Edges
     join edges on the grid as plain columns, so a geometry with many vertices is spread over many
     rows and no row compares all edges of one geometry with all of another.
@@ -130,18 +137,23 @@ def geometry_pairs(
         raise LayerError(f"both sides use the key {left_key!r}: rename one")
     if isinstance(left_shape, S.Geom) and isinstance(right_shape, S.Geom):
         left = require_same_srid(left, right, left_shape.column, right_shape.column)
-    a, a_shape = _edges_of(left, left_key, left_shape, "_a")
-    b, b_shape = _edges_of(right, right_key, right_shape, "_b")
+    own = _named(radius)
+    # a part that reaches nothing meets nothing, also by holding
+    right = right.where(F.col(radius) >= 0) if own else right
+    a, a_shape = _edges_of(left, left_key, left_shape, "_a", [])
+    b, b_shape = _edges_of(right, right_key, right_shape, "_b", own)
     cell = cell or choose_cell(b, b_shape, radius)
-    test = S.within(a_shape, b_shape, radius) if radius else S.intersects(a_shape, b_shape)
+    test = S.within(a_shape, b_shape, reach_of(radius)) if radius else S.intersects(a_shape, b_shape)
     edge_pairs = grid_candidates(a, a_shape, b, b_shape, cell, radius, **options).where(test)
-    found = edge_pairs.select(left_key, right_key)
+    found = edge_pairs.select(left_key, right_key, *own)
     if isinstance(left_shape, (S.Geom, S.Box)):
-        held = _holding(left, left_key, left_shape, right, right_key, right_shape, cell, options)
-        found = found.unionByName(held)
+        held = _holding(left, left_key, left_shape, right, right_key, right_shape, cell, options, own)
+        found = found.unionByName(held.select(left_key, right_key, *own))
     if isinstance(right_shape, (S.Geom, S.Box)):
-        held = _holding(right, right_key, right_shape, left, left_key, left_shape, cell, options)
-        found = found.unionByName(held.select(left_key, right_key))
+        keyed = right.withColumn("_area", F.struct(right_key, *own)) if own else right.withColumn("_area", F.col(right_key))
+        held = _holding(keyed, "_area", right_shape, left, left_key, left_shape, cell, options, [])
+        back = [F.col("_area")[c].alias(c) for c in (right_key, *own)] if own else [F.col("_area").alias(right_key)]
+        found = found.unionByName(held.select(left_key, *back))
     return found.distinct()
 
 
@@ -152,35 +164,57 @@ def buffer_intersects_join(
     parts: DataFrame,
     part_shape: S.Shape,
     route: str,
-    radius: float = 50.0,
+    radius: Radius = 50.0,
     cell: float | None = None,
     **options,
 ) -> DataFrame:
     """One row ``(key, route)`` per feature and route whose round buffer it meets.
 
     The buffer is a predicate: the exact distance to some part of the route is at most ``radius``.
-    Only the key and the geometry travel through the join; pairs are combined before the shuffle.
+    Each part may have a radius of its own: ``radius`` then names a column of ``parts``, which the rows
+    ``(key, route, radius)`` show; a part whose radius is missing or below zero has no buffer. Only the
+    key and the geometry travel through the join; pairs are combined before the shuffle.
     """
+    own = _named(radius)
     a = left.select(key, *left_shape.columns)
-    b = parts.select(route, *part_shape.columns)
+    b = parts.select(route, *part_shape.columns, *own)
     if isinstance(left_shape, S.Geom) or isinstance(part_shape, S.Geom):
         return geometry_pairs(a, key, left_shape, b, route, part_shape, radius, cell, **options)
     cell = cell or choose_cell(parts, part_shape, radius)
-    near = S.within(left_shape, part_shape, radius)
+    near = S.within(left_shape, part_shape, reach_of(radius))
     pairs = grid_candidates(a, left_shape, b, part_shape, cell, radius, **options).where(near)
-    return pairs.select(key, route).distinct()
+    return pairs.select(key, route, *own).distinct()
 
 
-def attach(pairs: DataFrame, df: DataFrame, key: str) -> DataFrame:
-    """Bring the attributes of ``df`` to the pairs found by key."""
-    return pairs.join(df, key)
+ROW = "_row"
 
 
-def touch_flag(df: DataFrame, key: str, pairs: DataFrame, flag: str = "touches") -> DataFrame:
-    """Does the row occur in any pair? Never NULL, one row per input row."""
-    hit = pairs.select(F.col(key).alias("_hit")).distinct()
-    joined = df.join(hit, df[key] == hit["_hit"], "left")
-    return joined.select(*[df[c] for c in df.columns], F.col("_hit").isNotNull().alias(flag))
+def number_rows(df: DataFrame) -> DataFrame:
+    """The rows, written, each with a number of its own: what stands for a row whatever its key is."""
+    return cut_lineage(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+
+
+def attach_buffers(
+    df: DataFrame, shape: S.Shape, parts: DataFrame, part_shape: S.Shape, route: str, radius: Radius, cell: float | None = None, **options
+) -> DataFrame:
+    """Every row of ``df`` once for each route buffer it meets, with the route and, if per part, the radius.
+
+    Rows are rows of their own: keys may repeat or be NULL.
+    """
+    rows = number_rows(df)
+    pairs = buffer_intersects_join(rows, shape, ROW, parts, part_shape, route, radius, cell, **options)
+    return rows.join(pairs, ROW).drop(ROW)
+
+
+def touch_flag(
+    df: DataFrame, shape: S.Shape, parts: DataFrame, part_shape: S.Shape, route: str, radius: Radius, flag: str = "touches",
+    cell: float | None = None, **options,
+) -> DataFrame:
+    """Does the row meet any buffer? Never NULL, one row per input row, whose key may repeat or be NULL."""
+    rows = number_rows(df)
+    pairs = buffer_intersects_join(rows, shape, ROW, parts, part_shape, route, radius, cell, **options)
+    hit = pairs.select(ROW).distinct().withColumn("_hit", F.lit(True))
+    return rows.join(hit, ROW, "left").select(*df.columns, F.col("_hit").isNotNull().alias(flag))
 
 
 def distinct_outcomes(n_left: DataFrame, n_right: DataFrame, pairs: DataFrame, name: str = "touches") -> DataFrame:

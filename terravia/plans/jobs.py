@@ -190,63 +190,54 @@ def read_buffers(spark, path: str, route: str = "lib_rte") -> DataFrame:
     return spark.read.parquet(path).select(route, "x1", "y1", "x2", "y2", "radius")
 
 
-def _pairs(layer: DataFrame, shape: S.Shape, key: str, buffers: DataFrame, route: str, cell: float | None) -> DataFrame:
-    """(key, route, radius) of the buffers met; parts of one radius join together, there are few."""
-    found = None
-    for (radius,) in buffers.select("radius").distinct().collect():
-        parts = buffers.where(F.col("radius") == radius)
-        near = spatial.buffer_intersects_join(layer, shape, key, parts, S.Segment(), route, radius, cell)
-        near = near.withColumn("radius", F.lit(radius))
-        found = near if found is None else found.unionByName(near)
-    if found is None:
-        return layer.select(key).limit(0).withColumns({route: F.lit(""), "radius": F.lit(0.0)})
-    return found
-
-
 def intersect_buffers(
     layer: DataFrame,
     shape: S.Shape,
-    key: str,
     buffers: DataFrame,
     path: str,
     name: str,
     kinds: tuple[str, ...],
-    partition: dict,
+    partition: dict | str,
     route: str = "lib_rte",
     cell: float | None = None,
     overwrite: bool = True,
 ) -> DataFrame:
-    """Rows of a layer with the columns of each route buffer they meet, written as one partition.
+    """Rows of a layer with the columns of each route buffer they meet, written by partition.
 
-    The layer name must be of one of ``kinds``; a rerun replaces the partition, or fails without
-    ``overwrite``. ``shape`` and ``key`` name the columns in lower case, as the load leaves them.
+    The layer name must be of one of ``kinds``. ``partition`` names the one partition that all rows belong
+    to, or the column that tells a row's; either way a run replaces the partitions of the layer, also
+    those left without rows, or fails without ``overwrite``. ``shape`` and the column are named in lower
+    case, as the load leaves them. Every stored part has a radius of its own. Rows are rows of their own,
+    whatever their key is.
     """
     kind = require_kind(name, kinds)
     layer = plain_fields(layer)
-    rows = spatial.attach(_pairs(layer, shape, key, buffers, route, cell), layer, key)
-    return sinks.write_partition(rows, path, {"layer": kind, **partition}, overwrite)
+    rows = spatial.attach_buffers(layer, shape, buffers, S.Segment(), route, "radius", cell)
+    if isinstance(partition, dict):
+        return sinks.write_partition(rows, path, {"layer": kind, **partition}, overwrite)
+    rows = rows.withColumn("layer", F.lit(kind))
+    return sinks.replace_partitions(rows, path, ["layer", partition], layer.select(F.lit(kind).alias("layer"), partition), overwrite)
 
 
-def commune_intersect(layer, shape, key, buffers, path, name, year, **options) -> DataFrame:
+def commune_intersect(layer, shape, buffers, path, name, year, **options) -> DataFrame:
     """Communes per route buffer for one vintage."""
-    return intersect_buffers(layer, shape, key, buffers, path, name, ("commune",), {"millesime": year}, **options)
+    return intersect_buffers(layer, shape, buffers, path, name, ("commune",), {"millesime": year}, **options)
 
 
-def parcel_intersect(layer, shape, key, buffers, path, name, dep, **options) -> DataFrame:
-    """Parcels or address points per route buffer for one département."""
-    return intersect_buffers(
-        layer, shape, key, buffers, path, name, ("parcelle", "localisant"), {"dep": dep}, **options
-    )
+def parcel_intersect(layer, shape, buffers, path, name, dep=None, column="dep", **options) -> DataFrame:
+    """Parcels or address points per route buffer: of one département, or of all that ``column`` names."""
+    partition = column if dep is None else {"dep": dep}
+    return intersect_buffers(layer, shape, buffers, path, name, ("parcelle", "localisant"), partition, **options)
 
 
 def departement_flag(
-    layer: DataFrame, shape: S.Shape, key: str, buffers: DataFrame, table: str, path: str, route: str = "lib_rte",
+    layer: DataFrame, shape: S.Shape, buffers: DataFrame, table: str, path: str, route: str = "lib_rte",
     cell: float | None = None, flag: str = FLAG, **options,
 ) -> Imported:
     """Import the départements with a flag: does each meet any route buffer?"""
     require_kind(table, ("departement",))
 
     def flagged(ready: DataFrame) -> DataFrame:
-        return spatial.touch_flag(ready, key, _pairs(ready, shape, key, buffers, route, cell), flag)
+        return spatial.touch_flag(ready, shape, buffers, S.Segment(), route, "radius", flag, cell)
 
     return import_layer(layer, table, path, shape=shape, enriched=flagged, **options)

@@ -118,7 +118,7 @@ def job_commune_intersect(spark, sf):
     done = jobs.import_layer(layer(spark, sf, "rect"), "commune_2016", scratch_path(spark, "layer"), shape=S.Box(),
                              primary_key="id")
     return jobs.commune_intersect(
-        done.layer.drop("gid"), S.Box(), "id", _buffers(spark, sf), scratch_path(spark, "commune"), name, YEAR, cell=CELL
+        done.layer.drop("gid"), S.Box(), _buffers(spark, sf), scratch_path(spark, "commune"), name, YEAR, cell=CELL
     )
 
 
@@ -130,14 +130,28 @@ def job_commune_intersect(spark, sf):
       and {sql.box_near_segment(50)} and {sql.box_segment()} <= 2500""",
 )
 def job_parcel_intersect(spark, sf):
-    """Parcels of every département by route buffer: one job a département, into one folder."""
-    buffers, path = _buffers(spark, sf), scratch_path(spark, "parcel")
-    parcels = jobs.import_layer(layer(spark, sf, "parcel"), "parcelle", scratch_path(spark, "layer"), shape=S.Box()).layer
-    stored = None
-    for dep in DEPS:
-        mine = parcels.where(F.col("dep") == dep).drop("dep", "gid")
-        stored = jobs.parcel_intersect(mine, S.Box(), "id", buffers, path, f"geo/PARCELLE_{dep}", dep, cell=CELL)
-    return sinks.read_partitions(spark, path, stored.schema)
+    """Parcels of every département by route buffer: one join, stored by département."""
+    parcels = jobs.import_layer(layer(spark, sf, "parcel"), "parcelle", scratch_path(spark, "layer"), shape=S.Box(), primary_key="id")
+    return jobs.parcel_intersect(
+        parcels.layer.drop("gid"), S.Box(), _buffers(spark, sf), scratch_path(spark, "parcel"), "geo/PARCELLE", cell=CELL
+    )
+
+
+@query(
+    "job_commune_intersect_repeats",
+    with_views("rect", "segment") + f""", twice as (
+        select id % 40 as id, xmin, ymin, xmax, ymax from rect union all select null, xmin, ymin, xmax, ymax from rect where id % 5 = 0)
+    select distinct id, xmin, ymin, xmax, ymax, lib_rte, 50.0::double as radius, 'commune' as layer, {YEAR} as millesime
+    from twice, segment where gestionnaire = 'OWN' and {sql.box_near_segment(50)} and {sql.box_segment()} <= 2500""",
+)
+def job_commune_intersect_repeats(spark, sf):
+    """Communes whose key repeats or is missing: each row has its own buffers."""
+    rect = view(spark, sf, "rect")
+    missing = rect.where("id % 5 = 0").withColumn("id", F.lit(None).cast("bigint"))
+    rows = rect.withColumn("id", F.col("id") % 40).unionByName(missing)
+    return jobs.commune_intersect(
+        rows, S.Box(), _buffers(spark, sf), scratch_path(spark, "commune"), "geo/COMMUNE_2016", YEAR, cell=CELL
+    )
 
 
 @query(
@@ -151,7 +165,7 @@ def job_localisant_intersect(spark, sf):
     """Address points by route buffer."""
     done = jobs.import_layer(layer(spark, sf, "feat"), "localisant_14", scratch_path(spark, "layer"), shape=FEAT)
     return jobs.parcel_intersect(
-        done.layer, FEAT, "gid", _buffers(spark, sf), scratch_path(spark, "parcel"), "geo/localisant_14", DEPS[0], cell=CELL
+        done.layer, FEAT, _buffers(spark, sf), scratch_path(spark, "parcel"), "geo/localisant_14", DEPS[0], cell=CELL
     )
 
 
@@ -164,6 +178,6 @@ def job_localisant_intersect(spark, sf):
 )
 def job_departement_flag(spark, sf):
     done = jobs.departement_flag(
-        layer(spark, sf, "rect"), S.Box(), "id", _buffers(spark, sf), "DEPARTEMENT", scratch_path(spark, "layer"), cell=CELL
+        layer(spark, sf, "rect"), S.Box(), _buffers(spark, sf), "DEPARTEMENT", scratch_path(spark, "layer"), cell=CELL
     )
     return spark.table(done.view).drop("gid")

@@ -243,8 +243,44 @@ def buffer_intersects_join_polygon(spark, sf):
 def touch_flag(spark, sf):
     rect = view(spark, sf, "rect")
     managed = view(spark, sf, "segment").where("gestionnaire = 'OWN'")
-    pairs = spatial.buffer_intersects_join(rect, S.Box(), "id", managed, S.Segment(), "lib_rte", 50.0, CELL)
-    return spatial.touch_flag(rect.select("id"), "id", pairs)
+    return spatial.touch_flag(rect, S.Box(), managed, S.Segment(), "lib_rte", 50.0, cell=CELL).select("id", "touches")
+
+
+@query(
+    "touch_flag_repeats",
+    with_views("rect", "segment") + f""", twice as (
+        select id % 40 as id, id % 7 as part, xmin, ymin, xmax, ymax from rect
+        union all select null, id % 7, xmin, ymin, xmax, ymax from rect where id % 5 = 0),
+    flagged as (
+        select *, exists (select 1 from segment where gestionnaire = 'OWN' and {sql.box_near_segment(50)}
+                          and {sql.box_segment()} <= 2500) as touches from twice)
+    select id, part, xmin, ymin, touches from flagged""",
+)
+def touch_flag_repeats(spark, sf):
+    """Each row its own flag where keys repeat or are missing."""
+    rect = view(spark, sf, "rect")
+    named = rect.withColumns({"part": F.col("id") % 7, "key": F.col("id") % 40})
+    missing = named.where("id % 5 = 0").withColumn("key", F.lit(None).cast("bigint"))
+    rows = named.unionByName(missing).drop("id").withColumnRenamed("key", "id")
+    managed = view(spark, sf, "segment").where("gestionnaire = 'OWN'")
+    flagged = spatial.touch_flag(rows, S.Box(), managed, S.Segment(), "lib_rte", 50.0, cell=CELL)
+    return flagged.select("id", "part", "xmin", "ymin", "touches")
+
+
+def _radius_sql(text):
+    return f"(case when {text} % 9 = 4 then null when {text} % 3 = 0 then 400.0 else 20.0 + {text} % 25 * 5 end)"
+
+
+@query(
+    "buffer_intersects_join_radii",
+    with_views("parcel", "segment") + f""", part as (select *, {_radius_sql('seg_id')} as r from segment)
+    select distinct id, lib_rte, cast(r as double) as radius from parcel, part
+    where {sql.box_near_segment(400)} and {sql.box_segment()} <= r * r""",
+)
+def buffer_intersects_join_radii(spark, sf):
+    """Parcels by route buffers whose parts have a radius each, or none."""
+    parts = view(spark, sf, "segment").withColumn("radius", F.expr(_radius_sql("seg_id")).cast("double"))
+    return spatial.buffer_intersects_join(layer(spark, sf, "parcel"), S.Box(), "id", parts, S.Segment(), "lib_rte", "radius")
 
 
 @query(

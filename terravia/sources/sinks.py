@@ -60,6 +60,35 @@ def write_partitions(df: DataFrame, path: str, partition_by) -> DataFrame:
     return read_partitions(df.sparkSession, path, df.schema)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], wanted: DataFrame, overwrite: bool = True) -> DataFrame:
+    """Write by partition columns; every partition that ``wanted`` names is replaced, also one without rows.
+
+    One write for all of them. A partition of ``wanted`` that got no rows is emptied after it; without
+    ``overwrite`` an existing one of ``wanted`` is an error before anything is written.
+    """
+    spark, names = df.sparkSession, list(partition_by)
+    # the partitions themselves: as many as there are folders
+    asked = [tuple(r) for r in wanted.select(*names).distinct().collect()]
+    folders = {a: "/".join([path.rstrip("/"), *[_folder(n, v) for n, v in zip(names, a)]]) for a in asked}
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def held(folder: str) -> set[str] | None:
+        """Names of the files in a folder, None where there is none."""
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return {f.getPath().getName() for f in files.listStatus(place)} if files.exists(place) else None
+
+    before = {a: names_of for a in asked if (names_of := held(folders[a])) is not None}
+    if before and not overwrite:
+        raise LayerError(f"partitions exist: {sorted(map(str, before))}")
+    write_partitions(df, path, names)
+    for a, old in before.items():
+        # a partition that this run wrote has other files than before
+        if old and held(folders[a]) == old:
+            df.drop(*names).limit(0).write.mode("overwrite").parquet(folders[a])
+    return read_partitions(spark, path, df.schema)
+
+
 def read_partitions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All partitions below a folder, with the given types also for the partition columns."""
     return spark.read.schema(schema).option("basePath", path).parquet(path)

@@ -154,10 +154,38 @@ def test_same_column_names_are_refused(spark):
 
 
 def test_touch_flag_is_never_null(spark):
-    df = _points(spark, 4, 1)
-    pairs = spark.createDataFrame([(1, "A"), (1, "B")], "gid long, lib_rte string")
-    assert [tuple(r) for r in spatial.touch_flag(df, "gid", pairs).select("gid", "touches").orderBy("gid").collect()] == [
-        (0, False), (1, True), (2, False), (3, False)]
+    """One row each, also where the key repeats or is NULL, and false without a geometry."""
+    rows = [(1, 0.0, 0.0), (1, 9e5, 0.0), (None, 3.0, 0.0), (None, 9e5, 9.0), (4, None, 0.0), (5, 10.0, 0.0), (5, 10.0, 0.0)]
+    df = spark.createDataFrame(rows, "gid long, x double, y double")
+    parts = spark.createDataFrame([("A", 0.0, 0.0, 5.0, 0.0), ("B", 0.0, 0.0, 5.0, 0.0)], "lib_rte string, x1 double, y1 double, x2 double, y2 double")
+    got = spatial.touch_flag(df, S.Point(), parts, S.Segment(), "lib_rte", 5.0).collect()
+    want = [(*r, r[1] is not None and r[1] <= 10) for r in rows]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
+@pytest.mark.parametrize("options", [{}, FORCED, {"balance": False}])
+@pytest.mark.parametrize("shape", ["box", "point", "segment", "geom"])
+def test_radius_per_row_equals_brute_force(spark, shape, options):
+    """Radii from nothing to a thousand times the cell, some missing, one below zero."""
+    parts = _segments(spark, 60, 5).withColumn("n", F.monotonically_increasing_id() % 9)
+    radii = F.when(F.col("n") == 0, None).when(F.col("n") == 1, -5.0).when(F.col("n") == 2, 0.0).when(F.col("n") == 3, 4000.0).otherwise(F.col("n") * 17.5)
+    parts = parts.withColumn("radius", radii).drop("n")
+    left, mine = {
+        "box": lambda: (_boxes(spark, 80, 3), S.Box()),
+        "point": lambda: (_points(spark, 80, 3).withColumnRenamed("gid", "id"), S.Point()),
+        "segment": lambda: (_segments(spark, 80, 9).select(F.monotonically_increasing_id().alias("id"), *[F.col(c).alias("l" + c) for c in ("x1", "y1", "x2", "y2")]), S.Segment("lx1", "ly1", "lx2", "ly2")),
+        "geom": lambda: (_boxes(spark, 40, 3).select("id", S.Box().geom().alias("geom")), S.Geom()),
+    }[shape]()
+    brute = left.join(parts).where((F.col("radius") >= 0) & (S.distance2(mine, S.Segment()) <= F.col("radius") * F.col("radius")))
+    found = spatial.buffer_intersects_join(left, mine, "id", parts, S.Segment(), "lib_rte", "radius", 150.0, **options)
+    assert _set(found) == _set(brute.select("id", "lib_rte", "radius").distinct())
+
+
+def test_many_radii_make_one_plan(spark):
+    parts = _segments(spark, 300, 5).withColumn("radius", F.monotonically_increasing_id() * 0.5)
+    plan = spatial.buffer_intersects_join(_boxes(spark, 50, 3), S.Box(), "id", parts, S.Segment(), "lib_rte", "radius", 200.0, balance=False)
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Join Inner") == 1 and "Union" not in text
 
 
 @pytest.mark.parametrize("hits,a,b,expected", [(0, 2, 3, [False]), (6, 2, 3, [True]), (2, 2, 3, [False, True]), (0, 0, 3, [])])

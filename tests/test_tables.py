@@ -260,7 +260,7 @@ def test_intersect_jobs_without_rows_leave_no_old_ones(spark):
     far = spark.createDataFrame([(1, 9e5, 9e5)], "gid int, x double, y double")
     parts = spark.createDataFrame([("A", 0.0, 0.0, 1.0, 0.0, 50.0)], "lib_rte string, x1 double, y1 double, x2 double, y2 double, radius double")
     path = scratch_path(spark, "dep")
-    run = lambda df, buffers: jobs.parcel_intersect(df, S.Point(), "gid", buffers, path, "parcelle", "01").collect()
+    run = lambda df, buffers: jobs.parcel_intersect(df, S.Point(), buffers, path, "parcelle", "01").collect()
     assert run(far, parts) == []
     (row,) = run(near, parts)
     assert (row.gid, row.lib_rte, row.radius, row.layer, row.dep) == (1, "A", 50.0, "parcelle", "01")
@@ -268,6 +268,27 @@ def test_intersect_jobs_without_rows_leave_no_old_ones(spark):
     assert run(near, parts.limit(0)) == []
 
 
+def test_one_run_replaces_all_its_partitions(spark):
+    """Départements from a column, keys that repeat or are missing, and one that is left without rows."""
+    schema = "gid int, x double, y double, dep string"
+    parts = spark.createDataFrame([("A", 0.0, 0.0, 1.0, 0.0, 50.0), ("B", 0.0, 0.0, 1.0, 0.0, 200.0), ("C", 0.0, 0.0, 1.0, 0.0, None)],
+                                  "lib_rte string, x1 double, y1 double, x2 double, y2 double, radius double")
+    path = scratch_path(spark, "deps")
+
+    def run(rows, **options):
+        done = jobs.parcel_intersect(spark.createDataFrame(rows, schema), S.Point(), parts, path, "parcelle", **options)
+        return sorted(map(repr, map(tuple, done.select("gid", "x", "lib_rte", "radius", "dep").collect())))
+
+    first = [(1, 0.0, 0.0, "01"), (1, 9e5, 0.0, "01"), (None, 10.0, 0.0, "2A"), (2, 100.0, 0.0, "2A"), (3, 20.0, 0.0, None)]
+    of_01 = [(1, 0.0, "A", 50.0, "01"), (1, 0.0, "B", 200.0, "01")]
+    others = [(None, 10.0, "A", 50.0, "2A"), (None, 10.0, "B", 200.0, "2A"), (2, 100.0, "B", 200.0, "2A"), (3, 20.0, "A", 50.0, None), (3, 20.0, "B", 200.0, None)]
+    assert run(first) == sorted(map(repr, of_01 + others))
+    # 01 has no rows any more; 2A and the rows without a département are not part of the second run
+    assert run([(1, 9e5, 0.0, "01")]) == sorted(map(repr, others))
+    with pytest.raises(LayerError):
+        run([(1, 0.0, 0.0, "2A")], overwrite=False)
+
+
 def test_dense_gid_does_not_depend_on_the_layout(spark):
     rows = spark.range(4000).select((F.col("id") % 5).alias("k"), (F.col("id") * 7919 % 4000).alias("v"), F.lit("x").alias("t"))
     got = [
@@ -418,15 +439,15 @@ def test_jobs_refuse_a_wrong_layer_name(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0)], "gid int, x double, y double")
     parts = spark.createDataFrame([("A", 0.0, 0.0, 1.0, 0.0, 50.0)], PART)
     with pytest.raises(LayerError):
-        jobs.commune_intersect(df, S.Point(), "gid", parts, "/nowhere", "parcelle_14", 2014)
+        jobs.commune_intersect(df, S.Point(), parts, "/nowhere", "parcelle_14", 2014)
     with pytest.raises(LayerError):
-        jobs.departement_flag(df, S.Point(), "gid", parts, "commune", "/nowhere")
+        jobs.departement_flag(df, S.Point(), parts, "commune", "/nowhere")
 
 
 def test_departement_flag_is_stored_and_published(spark):
     df = spark.createDataFrame([(1, 0.0, 0.0), (2, 9e5, 0.0)], "gid int, x double, y double")
     parts = spark.createDataFrame([("A", 0.0, 0.0, 1.0, 0.0, 50.0)], PART)
-    done = jobs.departement_flag(df, S.Point(), "gid", parts, "departement", scratch_path(spark, "d"), flag="near")
+    done = jobs.departement_flag(df, S.Point(), parts, "departement", scratch_path(spark, "d"), flag="near")
     assert _rows(spark.table(done.view).select("gid", "near")) == [(1, True), (2, False)]
     assert _rows(spark.table(done.table).select("gid", "near")) == [(1, True), (2, False)]
 
@@ -436,10 +457,10 @@ def test_parcels_and_address_points_do_not_share_a_partition(spark):
     parts = spark.createDataFrame([("A", 0.0, 0.0, 1.0, 0.0, 50.0)], PART)
     path = scratch_path(spark, "dep")
     for name in ("parcelle", "localisant", "parcelle"):
-        jobs.parcel_intersect(df, S.Point(), "gid", parts, path, name, 14)
+        jobs.parcel_intersect(df, S.Point(), parts, path, name, 14)
     assert _rows(spark.read.parquet(path).select("layer", "dep", "gid")) == [("localisant", 14, 1), ("parcelle", 14, 1)]
     with pytest.raises(PySparkException):
-        jobs.parcel_intersect(df, S.Point(), "gid", parts, path, "parcelle", 14, overwrite=False)
+        jobs.parcel_intersect(df, S.Point(), parts, path, "parcelle", 14, overwrite=False)
 
 
 def test_a_cluster_session_without_a_shared_folder_is_refused():
