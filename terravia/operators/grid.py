@@ -204,13 +204,14 @@ def grid_candidates(
     balance: bool = True,
     cell_work: int = CELL_WORK,
     rows_per_salt: int = ROWS_PER_SALT,
+    also: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Pairs whose bounding boxes come within ``radius``.
+    """Pairs whose bounding boxes come within ``radius`` and that agree in the columns ``also`` (of the right side, once).
 
     The pairs are unique unless a side is a segment, whose cover follows the line (see
     ``needs_distinct``). Column names of both sides must differ.
     """
-    same = sorted(set(left.columns) & set(right.columns))
+    same = sorted((set(left.columns) & set(right.columns)) - set(also))
     if same:
         raise LayerError(f"rename columns that both sides have: {same}")
     if cell <= 0:
@@ -223,7 +224,7 @@ def grid_candidates(
         crowded = find_crowded(listed_left, listed_right, cell, radius, cell_work, rows_per_salt)
     a = _spread(listed_left, left_shape, cell, 0.0, crowded, True).withColumnRenamed("_own", "_lown")
     b = _spread(listed_right, right_shape, cell, radius, crowded, False).withColumnRenamed("_own", "_rown")
-    keys = list(KEYS if crowded.table is not None else CELL_KEYS)
+    keys = [*also, *(KEYS if crowded.table is not None else CELL_KEYS)]
     pairs = a.join(b, keys).where(F.col("_level") == F.greatest("_lown", "_rown"))
     reach = reach_of(radius)
     pairs = pairs.where(planar.boxes_meet(left_shape.box(), right_shape.box(), reach))

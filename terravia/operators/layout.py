@@ -63,6 +63,53 @@ def write_grid(
     return stored
 
 
+FINE = 16.0  # metres; the code of a place has 20 bits a side, so files of any size are cut along one curve
+
+
+def write_files(df: DataFrame, shape: Shape, path: str, overwrite: bool = True) -> DataFrame:
+    """Write a layer in files along a space-filling curve, with a manifest of what lies in each.
+
+    How many files there are follows from the bytes: Spark merges small ranges and keeps the rest (its
+    advisory partition size). The manifest, beside the folder, has a row per file: rows, rows with a
+    geometry and their box. Rows without a geometry come first.
+    """
+    xmin, ymin, *_ = shape.box()
+    code = interleave(cell_of(xmin, FINE), cell_of(ymin, FINE))
+    keys = [F.when(shape.present(), code), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(keys[0])
+    ranged.write.mode("overwrite" if overwrite else "errorifexists").parquet(path)
+    stored = df.sparkSession.read.schema(ranged.schema).parquet(path)
+    box = [F.when(shape.present(), v).alias(n) for n, v in zip(BOX, shape.box())]
+    described = stored.select(F.input_file_name().alias("file"), *box).groupBy("file").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("xmin").alias("placed"),
+        F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"), F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"),
+    )
+    described.write.mode("overwrite").parquet(_files(path))
+    return stored
+
+
+BOX = ("xmin", "ymin", "xmax", "ymax")
+
+
+def _files(path: str) -> str:
+    return path.rstrip("/") + ".files"
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a layer written by ``write_files``: ``file, rows, placed`` and the box."""
+    return spark.read.parquet(_files(path))
+
+
+def read_files(spark: SparkSession, path: str, shape: Shape, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:
+    """Rows whose geometry's box meets the given one, from the files that the manifest names; no others are opened."""
+    near = (F.col("xmin") <= xmax) & (F.col("xmax") >= xmin) & (F.col("ymin") <= ymax) & (F.col("ymax") >= ymin)
+    files = [r["file"] for r in manifest(spark, path).where(near).select("file").collect()]
+    whole = spark.read.parquet(path)
+    rows = spark.read.schema(whole.schema).parquet(*files) if files else whole.limit(0)
+    x0, y0, x1, y1 = shape.box()
+    return rows.where(shape.present() & (x0 <= xmax) & (x1 >= xmin) & (y0 <= ymax) & (y1 >= ymin))
+
+
 def _about(path: str) -> str:
     return path.rstrip("/") + ".layout"
 

@@ -11,7 +11,7 @@ from terravia.functions import shapes as S
 from terravia.operators.grid import Radius, choose_cell, grid_candidates, needs_distinct, reach_of
 from terravia.operators.joins import salted_join
 from terravia.operators.profile import require_same_srid
-from terravia.session import cut_lineage
+from terravia.session import cut_lineage, use_all_cores
 
 
 def _named(radius: Radius) -> list[str]:
@@ -191,7 +191,7 @@ ROW = "_row"
 
 def number_rows(df: DataFrame) -> DataFrame:
     """The rows, written, each with a number of its own: what stands for a row whatever its key is."""
-    return cut_lineage(df.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    return cut_lineage(use_all_cores(df).withColumn(ROW, F.monotonically_increasing_id()), "rows")
 
 
 def attach_buffers(

@@ -17,7 +17,6 @@ from terravia.sources.layers import has_geometry, require_kind
 
 TAG_LENGTH = 40
 BUFFER_RADIUS = 50.0
-LAYOUT_CELL = 1000.0
 MANAGER = "OWN"
 FLAG = "on_network"
 
@@ -63,7 +62,6 @@ def import_layer(
     primary_key=None,
     shape: S.Shape | None = None,
     enriched: Callable[[DataFrame], DataFrame] | None = None,
-    cell: float = LAYOUT_CELL,
     schema: str = "layers",
     **preparation,
 ) -> Imported:
@@ -79,12 +77,11 @@ def import_layer(
     if shape is None:
         stored = sinks.write_layer(ready, path, overwrite)
     else:
-        layout.write_grid(ready, shape, cell, path, overwrite=overwrite)
-        stored = df.sparkSession.read.parquet(path).select(*[F.col(f"`{c}`") for c in ready.columns])
+        stored = layout.write_files(ready, shape, path, overwrite)
     described = profile.geometry_profile({table: (stored, shape)})
     return Imported(
         stored, quality.choose_key(stored, primary_key), sinks.publish_view(stored, table),
-        sinks.register_table(df.sparkSession, schema, table, path), described,
+        sinks.register_table(df.sparkSession, schema, table, path, stored.schema), described,
     )
 
 
@@ -177,11 +174,10 @@ def load_network(network: DataFrame, path: str, year: int | None = None, manager
 
 
 def store_buffers(
-    network: DataFrame, path: str, route: str = "lib_rte", radius: float = BUFFER_RADIUS, manager: str = MANAGER,
-    cell: float = LAYOUT_CELL,
+    network: DataFrame, path: str, route: str = "lib_rte", radius: float = BUFFER_RADIUS, manager: str = MANAGER
 ) -> DataFrame:
     """Dissolve and buffer a loaded network once; later jobs read what lies at ``path``."""
-    layout.write_grid(network_buffer(network, route=route, radius=radius, manager=manager), S.Segment(), cell, path)
+    layout.write_files(network_buffer(network, route=route, radius=radius, manager=manager), S.Segment(), path)
     return read_buffers(network.sparkSession, path, route)
 
 

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from terravia.functions import geom as G
 from terravia.functions import shapes as S
-from terravia.operators import dissolve, nearest, spatial
+from terravia.operators import dissolve, nearest, spatial, tiles
 from terravia.plans import oracle_sql as sql
 from terravia.plans.fixtures import layer, view, with_views
 from terravia.plans.registry import milli, milli_sql, query
+from terravia.session import scratch_path
 
 CELL = 2000.0
 D2_CENTRE = sql.point_point("f.x", "f.y", "c.x", "c.y")
@@ -300,6 +301,21 @@ def distinct_expr(spark, sf):
     )
 
 
+@query(
+    "grid_layout_join",
+    with_views("parcel", "segment") + f"""
+    select id, dep, seg_id from parcel, segment where {sql.box_near_segment(50)} and {sql.box_segment()} <= 2500""",
+)
+def grid_layout_join(spark, sf):
+    """Parcels stored in balanced tiles, joined to segments up to 50 m away without a shuffle of the parcels."""
+    path = scratch_path(spark, "tiles")
+    spark.sql("create schema if not exists layers")
+    table = "layers.parcel_" + path[-32:]
+    tiles.write_tiles(layer(spark, sf, "parcel"), S.Box(), table, path, tile_rows=20_000)
+    right = view(spark, sf, "segment").select("seg_id", *S.Segment().columns)
+    return tiles.tile_join(spark, table, path, S.Box(), right, S.Segment(), 50.0).select("id", "dep", "seg_id")
+
+
 # -- routes ------------------------------------------------------------------------------------
 
 PARTS_SQL = """parts as (

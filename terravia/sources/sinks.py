@@ -122,16 +122,18 @@ def save_table(df: DataFrame, schema: str, table: str, overwrite: bool = False)
     return full
 
 
-def register_table(spark: SparkSession, schema: str, table: str, path: str) -> str:
+def register_table(spark: SparkSession, schema: str, table: str, path: str, columns: T.StructType | None = None) -> str:
     """Register what lies at ``path`` as a catalog table with statistics; returns the full name.
 
+    ``columns``, where they are known and none is in the folder names, spare the reading of every file for them.
+
     The table is external: registering again or dropping it leaves the files alone.
     """
     full = f"{catalog_name(schema)}.{catalog_name(table)}"
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {catalog_name(schema)}")
     spark.sql(f"DROP TABLE IF EXISTS {full}")
-    spark.catalog.createTable(full, path=path, source="parquet")
-    if any(c.isPartition for c in spark.catalog.listColumns(full)):
+    spark.catalog.createTable(full, path=path, source="parquet", schema=columns)
+    if columns is None and any(c.isPartition for c in spark.catalog.listColumns(full)):
         spark.catalog.recoverPartitions(full)
     refresh_statistics(spark, full)
     return full
