@@ -25,8 +25,9 @@ from pyspark.sql import types as T
 from terravia.llm.rows import append, without
 from terravia.llm.words import text_chunks
 
-#: Distinct pre-tokens that a task remembers, and the longest of them; bytes of text that share a queue.
-REMEMBERED, LONGEST = 250_000, 64
+#: Distinct pre-tokens of each of the two generations that a worker remembers, and the longest of them; bytes of text
+#: that share a queue.
+REMEMBERED, LONGEST = 400_000, 64
 TOGETHER = 1 << 20
 
 
@@ -41,7 +42,10 @@ class Coder:
         self.byte_pair = np.array([ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)], np.int32)
         self.pairs: dict[tuple[int, int], int] = {}
         self.lower = [0] * ((max(ranks.values(), default=0) >> 8) + 1)
-        self.known: dict[str, tuple[int, ...]] = {}
+        # What was used lately, and what was used before that: a full generation becomes the older one, and what is
+        # used again comes back from there. So frequent pre-tokens stay, for as long as the worker lives.
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Coder:
@@ -58,13 +62,13 @@ class Coder:
         self.pairs[pair] = rank
         return rank
 
-    def merge(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each pre-token. One queue serves them all: their lists are separate, so they do not mix."""
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each pre-token, four bytes each. One queue serves them all: their lists are separate, so they do not mix."""
         joined = np.frombuffer(b"".join(words), np.uint8)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         n = len(joined)
         if not n:
-            return [()] * len(words)
+            return [b""] * len(words)
         last = (np.cumsum(lengths) - 1)[lengths > 0]
         first = np.concatenate(([0], last[:-1] + 1))
         start_ids = self.byte[joined]
@@ -148,24 +152,26 @@ class Coder:
                     break
         held = np.frombuffer(ids, np.int32)
         stay = held >= 0
-        flat = held[stay].tolist()
-        ends = np.concatenate(([0], np.cumsum(stay)))[np.concatenate(([0], np.cumsum(lengths)))].tolist()
-        return [tuple(flat[a:b]) for a, b in zip(ends, ends[1:])]
+        flat = held[stay].tobytes()
+        ends = (4 * np.concatenate(([0], np.cumsum(stay)))[np.concatenate(([0], np.cumsum(lengths)))]).tolist()
+        return [flat[a:b] for a, b in zip(ends, ends[1:])]
 
     def encode_all(self, texts: list[str | None]) -> Iterator[list[int]]:
         """Ids of each text. The pre-tokens that are new go through the queue together, each once."""
         found = [self.find(t) if t else [] for t in texts]
-        used = set(chain.from_iterable(found))
-        new = list(used.difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {w: self.known[w] for w in used.intersection(self.known)}
-        known = self.known
+        missing = set(chain.from_iterable(found)).difference(self.known)
+        known, older = self.known, self.older
+        again = missing.intersection(older)
+        known.update((w, older[w]) for w in again)
+        new = list(missing.difference(again))
         known.update(zip(new, self.merge([w.encode() for w in new])))
         for words in found:
-            yield list(chain.from_iterable(map(known.__getitem__, words)))
+            yield np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32).tolist()
         for w in new:
             if len(w) > LONGEST:
                 del known[w]
+        if len(known) > REMEMBERED:
+            self.older, self.known = known, {}
 
     def encode(self, text: str | None) -> list[int]:
         return next(self.encode_all([text]))
@@ -178,7 +184,7 @@ class Coder:
 
     def __exit__(self, *_) -> None:
         """At the end of a task: the worker lives on for other work, so what was remembered goes."""
-        self.known, self.pairs = {}, {}
+        self.known, self.older, self.pairs = {}, {}, {}
 
 
 _CODERS: dict[tuple[str, str], Coder] = {}
@@ -191,11 +197,18 @@ def coder(path: str, pattern: str) -> Coder:
     return _CODERS[path, pattern]
 
 
+def _checked(own: Coder, text: str | None, ids: list[int]) -> list[int]:
+    if own.decode(ids) != (text or "").encode():
+        raise ValueError("a text does not come back from its ids")
+    return ids
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """Add ``ids`` (array of int): the whole text of every row encoded, special tokens not recognised.
 
     ``path`` names a file of ranks that every executor has at that place. Null and empty texts give no ids. Equal rows
-    each get their own; an input column named ``ids`` is replaced.
+    each get their own; an input column named ``ids`` is replaced. Every text is decoded again in its task, and one
+    that does not come back byte for byte is an error.
     """
     docs = without(docs, "ids")
     schema = append(docs.schema, ("ids", T.ArrayType(T.IntegerType())))
@@ -204,7 +217,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
         with coder(path, pattern) as own:
             for batch in batches:
                 for a, b, texts in text_chunks(batch.column(batch.schema.get_field_index(text)), TOGETHER):
-                    ids = pa.array((np.array(x, np.int32) for x in own.encode_all(texts)), pa.list_(pa.int32()))
+                    coded = (_checked(own, t, x) for t, x in zip(texts, own.encode_all(texts), strict=True))
+                    ids = pa.array((np.array(x, np.int32) for x in coded), pa.list_(pa.int32()))
                     yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, ids], schema.names)
 
     return docs.mapInArrow(work, schema)
@@ -233,16 +247,17 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-        with coder(path, pattern) as own:
-            for batch in batches:
-                for a, b, texts in text_chunks(batch.column(1), TOGETHER):
-                    n, ids_hash, decoded_hash = [], [], []
-                    for ids in own.encode_all(texts):
-                        n.append(len(ids))
-                        ids_hash.append(hashlib.sha256(" ".join(map(own.names.__getitem__, ids)).encode()).hexdigest())
-                        decoded_hash.append(hashlib.sha256(own.decode(ids)).hexdigest())
-                    columns = [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string())]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(decoded_hash, pa.string())], names)
+        # What the worker has merged serves its next tasks too.
+        own = coder(path, pattern)
+        for batch in batches:
+            for a, b, texts in text_chunks(batch.column(1), TOGETHER):
+                n, ids_hash, decoded_hash = [], [], []
+                for ids in own.encode_all(texts):
+                    n.append(len(ids))
+                    ids_hash.append(hashlib.sha256(" ".join(map(own.names.__getitem__, ids)).encode()).hexdigest())
+                    decoded_hash.append(hashlib.sha256(own.decode(ids)).hexdigest())
+                columns = [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(ids_hash, pa.string())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(decoded_hash, pa.string())], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
