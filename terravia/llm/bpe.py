@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from terravia.llm.rows import append, without
-from terravia.llm.words import text_chunks
+from terravia.llm.words import give_back, text_chunks
 
 #: Distinct pre-tokens of each of the two generations that a worker remembers, and the longest of them; bytes of text
 #: that share a queue.
@@ -174,7 +174,8 @@ class Coder:
             self.older, self.known = known, {}
 
     def encode(self, text: str | None) -> list[int]:
-        return next(self.encode_all([text]))
+        (ids,) = self.encode_all([text])
+        return ids
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -214,6 +215,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     schema = append(docs.schema, ("ids", T.ArrayType(T.IntegerType())))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         with coder(path, pattern) as own:
             for batch in batches:
                 for a, b, texts in text_chunks(batch.column(batch.schema.get_field_index(text)), TOGETHER):

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terravia.llm.rows import append, without
-from terravia.llm.words import U, Words, mix, shingles, text_chunks
+from terravia.llm.words import U, Words, give_back, mix, shingles, text_chunks
 from terravia.session import cut_lineage
 
 #: Words of a window, of a shingle, and bytes of item text that one pass holds.
@@ -71,6 +71,14 @@ class Windows:
         self.window_of, self.offset = np.array(windows, np.int64)[order], np.array(offsets, np.int64)[order]
 
 
+    def lookups(self) -> dict[int, Lookup]:
+        """The prefix tokens of each shingle size, with their first places in the prefix table."""
+        found = {size: Lookup(np.unique(self.prefix[self.size[self.window_of] == size])) for size in sorted(set(self.size.tolist()))}
+        for lookup in found.values():
+            lookup.first = np.searchsorted(self.prefix, lookup.values)
+        return found
+
+
 class Lookup:
     """Members of a sorted array among many numbers, by a bitmap first."""
 
@@ -136,6 +144,7 @@ def _frequency(docs: DataFrame, text: str, w: Windows) -> np.ndarray:
     vocabulary = docs.sparkSession.sparkContext.broadcast((w.vocabulary, sorted(set(w.size.tolist()))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         values, sizes = vocabulary.value
         lookup, total = Lookup(values), np.zeros(len(values), np.int64)
         for batch in batches:
@@ -168,9 +177,7 @@ def _block(docs: DataFrame, text: str, items: list[tuple[str, str]], window: int
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = held.value
-        lookups = {size: Lookup(np.unique(w.prefix[w.size[w.window_of] == size])) for size in sorted(set(w.size.tolist()))}
-        for lookup in lookups.values():
-            lookup.first = np.searchsorted(w.prefix, lookup.values)
+        lookups = w.lookups()
         hits_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         for batch in batches:
             for a, b, texts in text_chunks(batch.column(batch.schema.get_field_index(text))):
@@ -242,21 +249,58 @@ def find_overlaps(
     Without items every document has no hits.
     """
     docs = without(docs, "n_words", "hits", "items")
+    for b, block in enumerate(_blocks(items, item_id, item_text, block_bytes)):
+        docs = _block(cut_lineage(docs, "overlaps") if b else docs, text, block, window, shingle, threshold)
+    return docs
+
+
+def _blocks(items: DataFrame, item_id: str, item_text: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """The items, a bounded number of bytes at a time; at least one block."""
     source = items.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text")).dropna()
     size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     for b in range(blocks):
-        block = source.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
-        docs = _block(docs, text, [tuple(r) for r in block.collect()], window, shingle, threshold)
-        if b + 1 < blocks:
-            docs = cut_lineage(docs, "overlaps")
-    return docs
+        yield [tuple(r) for r in source.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).collect()]
+
+
+def _shares(held):
+    """Does a text hold an occurrence of a window of the broadcast block? Only texts go to the workers."""
+
+    @F.arrow_udf(T.BooleanType())
+    def shares(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        give_back()
+        w = held.value
+        lookups = w.lookups()
+        for column in columns:
+            found = []
+            for a, b, texts in text_chunks(column):
+                words = Words(texts)
+                begin, _ = _joined(words, w, _Firsts.of(lookups))
+                hit = np.zeros(b - a, bool)
+                hit[np.searchsorted(words.first, begin, side="right") - 1] = True
+                found.append(hit)
+            yield pa.array(np.concatenate(found) if found else np.empty(0, bool))
+
+    return shares
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents that share no window with an item, with their own columns."""
-    marked = find_overlaps(docs.select(F.struct("*").alias("_row"), F.col(options.get("text", "text")).alias("_text")), items, **{**options, "text": "_text"})
-    return marked.filter(F.size("hits") == 0).select("_row.*")
+def remove_contaminated(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    shingle: int = SHINGLE,
+    threshold: float = 1.0,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The documents that share no window with an item (see ``find_overlaps``), with their own columns."""
+    for block in _blocks(items, item_id, item_text, block_bytes):
+        w = Windows(block, window, shingle, threshold)
+        w.rank(_frequency(docs, text, w))
+        docs = docs.filter(~_shares(docs.sparkSession.sparkContext.broadcast(w))(F.col(text)))
+    return docs
 
 
 def report(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

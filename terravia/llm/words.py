@@ -6,6 +6,7 @@ pattern ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` on the text. Null is a text wi
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -106,6 +107,25 @@ def chunks(sizes: list[int], limit: int = CHUNK) -> Iterator[tuple[int, int]]:
         yield at, len(sizes)
 
 
+def _trim():
+    """The C library's way of handing freed memory back to the system, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+_TRIM = _trim()
+
+
+def give_back() -> None:
+    """Return what a worker has freed: it lives on between tasks, and other stages need the memory."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    _TRIM(0)
+
+
 def text_chunks(column, limit: int = CHUNK) -> Iterator[tuple[int, int, list[str | None]]]:
     """An Arrow string column as lists of texts, a bounded number of bytes at a time."""
     import pyarrow.compute as pc
