@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from terravia.errors import LayerError
 from terravia.functions import shapes as S
 from terravia.functions.text import this_year
-from terravia.operators import dissolve, enrich, filters, layout, load, nearest, profile, quality, spatial
+from terravia.operators import dissolve, enrich, filters, layout, load, nearest, nearest_shapes, profile, quality, spatial
 from terravia.sources import sinks
 from terravia.sources.layers import has_geometry, require_kind
 
@@ -107,15 +107,19 @@ def tag_centre_and_district(
     field: str | None = None,
     key: str = "gid",
     normalise: bool = False,
+    centre_shape: S.Shape | None = None,
 ) -> DataFrame:
     """Add ``_cei`` from the chosen field (checked against the lookup) or from the nearest centre,
-    then its ``_district``."""
+    then its ``_district``. Centres are points ``x, y``, or what ``centre_shape`` says: lines or areas too."""
     _need_field_or_shape(field, shape)
     if field is not None:
         filters.require_domain(layer, field, lookup, "cei")
         tagged = filters.attribute_tag(layer, field, "_cei")
     else:
-        found = nearest.nearest_centre(layer, shape, centres, key=key)
+        if centre_shape is None:
+            found = nearest.nearest_centre(layer, shape, centres, key=key)
+        else:
+            found = nearest_shapes.nearest_shape(layer, shape, centres, centre_shape)
         tagged = found.withColumnRenamed("libcei", "_cei").drop("cgid", "distance")
     tagged = _fits(tagged, "_cei")
     return _fits(
@@ -130,28 +134,32 @@ def tag_district(
     shape: S.Shape | None = None,
     field: str | None = None,
     key: str = "gid",
+    centre_shape: S.Shape | None = None,
 ) -> DataFrame:
     """Add ``_district`` only: from a field checked against the districts, or by nearest centre."""
     _need_field_or_shape(field, shape)
     if field is not None:
         filters.require_domain(layer, field, lookup, "district")
         return _fits(filters.attribute_tag(layer, field, "_district"), "_district")
-    return tag_centre_and_district(layer, lookup, centres, shape, key=key).drop("_cei")
+    return tag_centre_and_district(layer, lookup, centres, shape, key=key, centre_shape=centre_shape).drop("_cei")
 
 
-def import_tagged(df, table, path, lookup, centres=None, shape=None, field=None, normalise=False, **options) -> Imported:
+def import_tagged(
+    df, table, path, lookup, centres=None, shape=None, field=None, normalise=False, centre_shape=None, **options
+) -> Imported:
     """Import a layer with its centre and district."""
-    return import_layer(
-        df, table, path, shape=shape, **options,
-        enriched=lambda layer: tag_centre_and_district(layer, lookup, centres, shape, field, normalise=normalise),
-    )
+
+    def enriched(layer: DataFrame) -> DataFrame:
+        return tag_centre_and_district(layer, lookup, centres, shape, field, normalise=normalise, centre_shape=centre_shape)
+
+    return import_layer(df, table, path, shape=shape, **options, enriched=enriched)
 
 
-def import_districts(df, table, path, lookup, centres=None, shape=None, field=None, **options) -> Imported:
+def import_districts(df, table, path, lookup, centres=None, shape=None, field=None, centre_shape=None, **options) -> Imported:
     """Import a layer with its district only."""
     return import_layer(
         df, table, path, shape=shape, **options,
-        enriched=lambda layer: tag_district(layer, lookup, centres, shape, field),
+        enriched=lambda layer: tag_district(layer, lookup, centres, shape, field, centre_shape=centre_shape),
     )
 
 

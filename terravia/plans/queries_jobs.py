@@ -47,6 +47,27 @@ def job_cei_by_geometry(spark, sf):
     return spark.table(done.view)
 
 
+@query(
+    "job_cei_by_nearest_area",
+    with_views("feat", "rect", "lookup") + f""", zone as (
+        select id as zid, libcei, xmin, ymin, xmax, ymax from rect join (select gid, libcei from centre_names) n on gid = id % 25),
+    best as (select gid, min({{'d2': {sql.point_box('x', 'y')}, 'zid': zid, 'libcei': libcei}}) as b from feat, zone group by gid)
+    select f.gid, x, y, b.libcei as _cei, district as _district
+    from feat f join best on best.gid = f.gid left join lookup on cei = b.libcei""".replace(
+        "select gid, libcei from centre_names", "select n_nationkey as gid, n_name as libcei from nation"
+    ),
+)
+def job_cei_by_nearest_area(spark, sf):
+    """Features with the centre whose zone is nearest, and its district; zones are areas."""
+    names = view(spark, sf, "centre").select(F.col("gid").alias("n"), "libcei")
+    zones = view(spark, sf, "rect").withColumn("n", F.col("id") % 25).join(names, "n").withColumnRenamed("id", "gid")
+    done = jobs.import_tagged(
+        view(spark, sf, "feat"), "feat_zone", scratch_path(spark, "cei"), view(spark, sf, "lookup"), zones, FEAT,
+        centre_shape=S.Box(),
+    )
+    return spark.table(done.view).select("gid", "x", "y", "_cei", "_district")
+
+
 @query(
     "job_cei_by_attribute",
     with_views("feat_valid", "lookup") + """

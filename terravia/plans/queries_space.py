@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from terravia.functions import geom as G
 from terravia.functions import shapes as S
-from terravia.operators import dissolve, nearest, spatial, tiles
+from terravia.operators import dissolve, nearest, nearest_shapes, spatial, tiles
 from terravia.plans import oracle_sql as sql
 from terravia.plans.fixtures import layer, view, with_views
 from terravia.plans.registry import milli, milli_sql, query
@@ -58,6 +58,34 @@ def nearest_centre_many(spark, sf):
     return found.select("gid", "cgid", "libcei", milli(F.col("distance")).alias("distance"))
 
 
+@query(
+    "nearest_centre_lines",
+    with_views("feat", "segment") + f""", best as (
+        select gid, min({{'d2': {sql.point_segment('x', 'y')}, 'cgid': seg_id}}) as b from feat, segment group by gid)
+    select gid, b.cgid as cgid, lib_rte, {milli_sql('sqrt(b.d2)')} as distance from best join segment on seg_id = b.cgid""",
+)
+def nearest_centre_lines(spark, sf):
+    """Points to the nearest line."""
+    found = nearest_shapes.nearest_shape(
+        layer(spark, sf, "feat"), S.Point(), view(spark, sf, "segment"), S.Segment(), label="lib_rte", gid="seg_id"
+    )
+    return found.select("gid", "cgid", "lib_rte", milli(F.col("distance")).alias("distance"))
+
+
+@query(
+    "nearest_centre_areas",
+    with_views("rect", "segment") + f""", best as (
+        select seg_id, min({{'d2': {sql.box_segment()}, 'cgid': id}}) as b from segment, rect group by seg_id)
+    select seg_id, b.cgid as cgid, {milli_sql('sqrt(b.d2)')} as distance from best""",
+)
+def nearest_centre_areas(spark, sf):
+    """Lines to the nearest area, both as general geometries; 0 where they meet or one holds the other."""
+    lines = view(spark, sf, "segment").select("seg_id", S.Segment().geom().alias("line"))
+    areas = view(spark, sf, "rect").select("id", F.lit("area").alias("libcei"), S.Box().geom().alias("geom"))
+    found = nearest_shapes.nearest_shape(lines, S.Geom("line"), areas, S.Geom(), gid="id")
+    return found.select("seg_id", "cgid", milli(F.col("distance")).alias("distance"))
+
+
 @query(
     "min_distance",
     with_views("segment", "centre") + f"""
