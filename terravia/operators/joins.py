@@ -9,14 +9,8 @@ from terravia.session import cut_lineage
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 16 << 20
-HOT_SHARE = 1024
-
-
-def hot_keys(df: DataFrame, key: Column, share: int = HOT_SHARE) -> list:
-    """Keys with more than 1/``share`` of all rows: never more than ``share`` of them."""
-    counted = df.where(key.isNotNull()).groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    return [r["k"] for r in counted.where(F.col("n") > total / share).select("k").collect()]
+ROWS_PER_SALT = 100_000
+NULL_SALTS = 1 << 20  # rows without a key meet nothing; they only have to be spread
 
 
 def fits_broadcast(table: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
@@ -49,21 +43,27 @@ def salted_join(big: DataFrame, small: DataFrame, on, rows_per_salt: int = 100_0
 
 
 def lookup_join(
-    df: DataFrame, on: Column, table: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS, share: int = HOT_SHARE
+    df: DataFrame, on: Column, table: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS, rows_per_salt: int = ROWS_PER_SALT
 ) -> DataFrame:
     """``df`` left joined to ``table`` (one row per ``key``) on ``on == key``.
 
-    A table of measured small size is broadcast. A larger one is shuffled, except for its rows of the
-    hot keys of ``df``: those are at most ``share`` rows, so they are broadcast to the rows that need
-    them, which then never meet in one partition.
+    A table of measured small size is broadcast. Otherwise both are shuffled, and a key of ``df`` with many rows becomes
+    as many join keys as it needs: its rows are dealt to salts and the one row of ``table`` is copied to each. There is
+    no limit to such keys or their salts; their table is written and joined like any other.
     """
     if fits_broadcast(table, broadcast_rows):
         return df.join(F.broadcast(table), on == F.col(key), "left")
-    hot = hot_keys(df, on, share)
-    if not hot:
-        return df.join(table, on == F.col(key), "left")
-    is_hot = F.coalesce(on.isin(hot), F.lit(False))
-    few = F.broadcast(table.where(F.col(key).isin(hot)))
-    return df.where(is_hot).join(few, on == F.col(key), "left").unionByName(
-        df.where(~is_hot).join(table, on == F.col(key), "left")
-    )
+    counted = df.where(on.isNotNull()).groupBy(on.alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    salts = F.ceil(F.col("_n") / rows_per_salt).cast("int")
+    hot = cut_lineage(counted.where(F.col("_n") > rows_per_salt).select("_k", salts.alias("_salts")), "hot-keys")
+    # the rows are written, so the number of a row stays the same when a task is run again
+    stored = cut_lineage(df.withColumn("_k", on), "lookup")
+    number = F.monotonically_increasing_id()
+    marked = stored.withColumn("_n", number).join(hot, "_k", "left")
+    salt = F.when(F.col("_k").isNull(), F.pmod("_n", F.lit(NULL_SALTS))).otherwise(F.pmod("_n", F.coalesce("_salts", F.lit(1))))
+    spread = marked.withColumn("_salt", salt.cast("int")).drop("_salts", "_n")
+    copies = table.join(hot, F.col(key) == F.col("_k"), "left").withColumn(
+        "_copy", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    ).drop("_k", "_salts")
+    joined = spread.join(copies, (F.col("_k") == F.col(key)) & (F.col("_salt") == F.col("_copy")), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"`{c}`") for c in table.columns])

@@ -60,9 +60,24 @@ def test_lookup_join_splits_hot_keys(spark):
                                  .otherwise(F.col("id")).alias("k"))
     table = spark.range(0, 400, 1).select(F.col("id").alias("t"), (F.col("id") * 2).alias("v"))
     plain = df.join(table, F.col("k") == F.col("t"), "left")
-    split = joins.lookup_join(df, F.col("k"), table, "t", broadcast_rows=10, share=10)
-    assert joins.hot_keys(df, F.col("k"), 10) == [7]
-    assert _rows(split) == _rows(plain)
+    for rows_per_salt in (10, 1, 1000):
+        split = joins.lookup_join(df, F.col("k"), table, "t", broadcast_rows=10, rows_per_salt=rows_per_salt)
+        assert split.columns == plain.columns
+        assert _rows(split) == _rows(plain)
+
+
+def test_lookups_without_broadcast_equal_the_broadcast_ones(spark, monkeypatch):
+    """Hot, missing and unknown keys; a key with two rows still fails in the task that asks for it."""
+    from terravia.operators import enrich
+
+    df = spark.range(300).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("K"), F.col("id"))).alias("k"), F.lit("old").alias("v"))
+    source = spark.createDataFrame([("hot", "a"), ("K1", "b"), ("K4", None), ("two", "c"), ("two", "d")], "k string, v string")
+    want = [_rows(enrich.update_from(df, source, "k", "v", "v")), _rows(enrich.lookup_value(df.drop("v"), source, "k", "k", "v", "w"))]
+    monkeypatch.setattr(joins, "fits_broadcast", lambda *a: False)
+    monkeypatch.setattr(joins.lookup_join, "__defaults__", (joins.BROADCAST_ROWS, 7))
+    assert [_rows(enrich.update_from(df, source, "k", "v", "v")), _rows(enrich.lookup_value(df.drop("v"), source, "k", "k", "v", "w"))] == want
+    with pytest.raises(PySparkException):
+        enrich.lookup_value(spark.createDataFrame([("two",)], "k string"), source, "k", "k", "v", "w").collect()
 
 
 def test_domain_check_reports_null_and_require_domain_raises(spark):
