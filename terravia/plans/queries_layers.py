@@ -12,7 +12,7 @@ from terravia.operators import layout, load, profile
 from terravia.plans.fixtures import table, view, with_views
 from terravia.plans.registry import milli, milli_sql, query
 from terravia.session import scratch_path
-from terravia.sources import layers, sinks
+from terravia.sources import layers, sinks, versions
 
 BOUNDS = ("xmin", "ymin", "xmax", "ymax")
 
@@ -89,6 +89,19 @@ def layer_write_overwrite(spark, sf):
     return sinks.write_layer(feat.where(F.col("gid") % 2 == 0), path, overwrite=True)
 
 
+@query(
+    "layer_write_versioned",
+    with_views("feat") + " select gid, x, y, 1 as version from feat union all select gid, x, y, 2 from feat where gid % 2 = 0",
+)
+def layer_write_versioned(spark, sf):
+    """Write a layer, make a second version of it from the first, and read both."""
+    path = scratch_path(spark, "layer")
+    versions.write_version(view(spark, sf, "feat"), path)
+    versions.write_version(versions.read_version(spark, path).where(F.col("gid") % 2 == 0), path)
+    first, current = versions.read_version(spark, path, 1), versions.read_version(spark, path)
+    return first.withColumn("version", F.lit(1)).unionByName(current.withColumn("version", F.lit(2)))
+
+
 @query("lowercase_fields", "select * from customer")
 def lowercase_fields(spark, sf):
     customer = table(spark, sf, "customer")
