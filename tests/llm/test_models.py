@@ -93,54 +93,72 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.severity(docs.limit(0), none).count() == 0
 
 
-def plain_lm(docs, targets, size, rare):
+def plain_lm(docs, targets, size, classes):
+    """Means by document from plain counts of every bigram; ``docs`` may repeat a document."""
     def split(t):
         return Words([t]).hash.tolist()
 
     every = Counter(w for _, t in docs for w in split(t))
     signed = lambda h: h - (1 << 64) if h >> 63 else h
     vocabulary = set(sorted(every, key=lambda w: (-every[w], signed(w)))[:size])
-    name = lambda w: w if w in vocabulary else None
-    n = sum(every.values())
+    name = lambda w: (w, True) if w in vocabulary else ((w >> 20) % classes, False)
     out = {}
     uni, bi = [Counter(), Counter()], [Counter(), Counter()]
     for d, t in docs:
         own = [name(w) for w in split(t)]
         for m in (0, 1) if d in targets else (1,):
             uni[m].update(own)
-            bi[m].update(zip([None, *own], own))
-    kept = {b for b, c in bi[1].items() if c >= n * rare}
+            bi[m].update(zip([(0, False), *own], own))
     for d, t in docs:
         own = [name(w) for w in split(t)]
         loss = [0.0, 0.0]
-        for v, w in zip([None, *own], own):
+        for v, w in zip([(0, False), *own], own):
             for m in (0, 1):
-                p = (uni[m][w] + 1) / (sum(uni[m].values()) + len(vocabulary) + 1)
-                c = bi[m][v, w] if (v, w) in kept else 0
-                loss[m] -= math.log2((c + lm_score.MASS * p) / (uni[m][v] + lm_score.MASS))
-        out[d] = (len(own), loss[0] / len(own) if own else None, loss[1] / len(own) if own else None)
+                p = (uni[m][w] + 1) / (sum(uni[m].values()) + len(vocabulary) + classes)
+                loss[m] -= math.log2((bi[m][v, w] + lm_score.MASS * p) / (uni[m][v] + lm_score.MASS))
+        out[d, t] = (len(own), loss[0] / len(own) if own else None, loss[1] / len(own) if own else None)
     return out
 
 
-@pytest.mark.parametrize("size, rare", [(1000, 0.0), (8, 0.01)])
-def test_scores_against_plain_models(spark, size, rare):
+@pytest.mark.parametrize("size, classes, rare, bucket", [(1000, 1, 0.0, 1 << 22), (8, 1, 0.01, 100), (8, 5, 2.0, 50), (0, 64, 2.0, 300), (20, 1 << 18, 0.003, 1)])
+def test_scores_against_plain_models(spark, monkeypatch, size, classes, rare, bucket):
+    monkeypatch.setattr(lm_score, "HELD", 100)
     chance = random.Random(size)
     words = [f"w{i}" for i in range(30)]
-    docs = [(i, " ".join(chance.choices(words, range(1, 31), k=chance.randrange(0, 50)))) for i in range(50)] + [(50, None), (51, "")]
+    docs = [(i, " ".join(chance.choices(words, range(1, 31), k=chance.randrange(0, 50)))) for i in range(50)]
+    docs += [(50, None), (51, ""), (52, "w1 w2 " * 400), (7, "w1 w9"), (None, "w3 w4 w5"), (None, None)] + docs[:4] * 2
     df = spark.createDataFrame([(*r, 0) for r in docs], "doc_id long, text string, score int").repartition(4)
-    targets = spark.createDataFrame([(i,) for i in range(0, 50, 3)] + [(None,), (3,), (999,)], "doc_id long")
-    got = lm_score.score(df, lm_score.train(df, targets, vocabulary=size, rare=rare)).collect()
-    expected = plain_lm(docs, set(range(0, 50, 3)), size, rare)
-    for r in got:
-        n, target, background = expected[r["doc_id"]]
-        assert r["n_tokens"] == n
-        if n:
-            assert r["target_bits"] == pytest.approx(target, rel=1e-4)
-            assert r["background_bits"] == pytest.approx(background, rel=1e-4)
-            assert r["score"] == pytest.approx(target - background, abs=1e-3)
-        else:
-            assert r["score"] is None
-    assert lm_score.score(df.limit(0), lm_score.train(df.limit(0), targets)).count() == 0
+    wanted = set(range(0, 50, 3)) | {52}
+    targets = spark.createDataFrame([(i,) for i in wanted] + [(None,), (3,), (999,)], "doc_id long")
+    for few in (lm_score.FEW_TARGETS, 0):
+        monkeypatch.setattr(lm_score, "FEW_TARGETS", few)
+        trained = lm_score.train(df, targets, vocabulary=size, classes=classes, rare=rare, bucket=bucket)
+        got = lm_score.score(df.withColumn("key", F.lit(1)), trained).collect()
+        expected = plain_lm(docs, wanted, size, classes)
+        assert Counter(r["doc_id"] for r in got) == Counter(d for d, _ in docs)
+        means = sorted((r["doc_id"] or -1, r["n_tokens"], r["target_bits"] or 0, r["background_bits"] or 0, r["score"] or 0) for r in got)
+        plain = sorted((d or -1, n, t or 0, b or 0, (t or 0) - (b or 0)) for (d, _), (n, t, b) in ((r, expected[r]) for r in docs))
+        assert np.allclose(np.array(means), np.array(plain), rtol=1e-9, atol=1e-9)
+        assert all((r["score"] is None) == (r["n_tokens"] == 0) for r in got)
+    none = lm_score.train(df.limit(0), targets)
+    assert lm_score.score(df.limit(0), none).count() == 0
+    assert lm_score.score(df, none).count() == len(docs)
+
+
+@pytest.mark.parametrize("others", [100, 3000])
+def test_a_bigram_of_the_target_counts_however_large_the_corpus(spark, others):
+    """Ten wanted texts share a pair of words; the pair is in the models at every size."""
+    chance = random.Random(others)
+    words = [f"x{i}" for i in range(200)]
+    docs = [(i, "rare pair " + " ".join(chance.choices(words, k=8))) for i in range(10)]
+    docs += [(10 + i, " ".join(chance.choices(words, k=60))) for i in range(others)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    trained = lm_score.train(df, df.filter("doc_id < 10"))
+    asked = spark.createDataFrame([(1, "rare pair"), (2, "pair rare")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in lm_score.score(asked, trained).collect()}
+    assert got[1]["target_bits"] < got[2]["target_bits"] - 1
+    held = [np.cumsum(lm_score._unpack(r["items"], np.int64)) for r in trained.bigrams.collect()]
+    assert sum(len(x) for x in held) == len({b for _, t in docs for b in zip([None, *t.split()], t.split())})
 
 
 def test_wanted_text_scores_lower(spark):
