@@ -248,12 +248,14 @@ def train(
     return Trained(Models(known, words, got["item"].to_numpy(np.int64), got[["target", "n"]].to_numpy(np.float64).T, buckets), bigrams)
 
 
-PARTS = "bucket long, items binary, owners binary, keys binary, words binary, losses binary"
+PARTS = "bucket long, home long, items binary, owners binary, keys binary, words binary, losses binary"
+FOUND = "home long, keys binary, copies binary, words binary, losses binary"
 SUMS = "key long, copies long, n long, target double, background double"
 
 
 def _parts(batches, held: Broadcast) -> Iterator[pa.RecordBatch]:
-    """The bigrams of (key, text) that are not in every task, by bucket; the sums of the texts go with one of the parts."""
+    """The bigrams of (key, text) that are not in every task, by bucket; the sums of the texts go with one of the parts.
+    ``home`` is where the sums of these texts are put together."""
     models = held.value
     window: list[tuple] = []
     size = 0
@@ -265,13 +267,14 @@ def _parts(batches, held: Broadcast) -> Iterator[pa.RecordBatch]:
         made = []
         for bucket, at in _by_bucket(items, models.buckets):
             texts, owner = np.unique(owners[at], return_inverse=True)
-            made.append([bucket, _pack_sorted(items[at]), _pack(owner.astype(np.uint32)), _pack(keys[texts]), None, None, None])
+            made.append([bucket, _pack_sorted(items[at]), _pack(owner.astype(np.uint32)), _pack(keys[texts]), None, None])
         # which bucket takes the sums follows from the texts, so that all take their share
-        made.append([int(mix(keys[:1].view(np.uint64))[0] % U(models.buckets)), None, None, None, _pack(keys), _pack(n), _pack(losses.reshape(-1))])
-        rows = [(b, i, o, k if w is None else w, c, s) for b, i, o, k, w, c, s in made]
+        home = int(mix(keys[:1].view(np.uint64))[0] % U(models.buckets))
+        made.append([home, None, None, _pack(keys), _pack(n), _pack(losses.reshape(-1))])
+        rows = [(b, home, *rest) for b, *rest in made]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] + [pa.binary()] * 5, strict=True)],
-            ["bucket", "items", "owners", "keys", "words", "losses"],
+            [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 2 + [pa.binary()] * 5, strict=True)],
+            ["bucket", "home", "items", "owners", "keys", "words", "losses"],
         )
 
     texts_held = 0
@@ -290,33 +293,53 @@ def _parts(batches, held: Broadcast) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _added(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, copies, words, losses [2, key]) with every key once."""
+    keys, copies, words, losses = (np.concatenate(x, axis=-1) for x in zip(*parts, strict=True))
+    key, place = np.unique(keys, return_inverse=True)
+    copies, words = (np.bincount(place, c, len(key)).astype(np.int64) for c in (copies, words))
+    return key, copies, words, np.stack([np.bincount(place, x, len(key)) for x in losses])
+
+
 def _looked_up(parts: pa.Table, runs: pa.Table, held: Broadcast) -> pa.Table:
-    """Sums by document of what one bucket knows: its bigrams' gains, and the losses that were sent with them."""
+    """What one bucket knows, a row for each home: its bigrams' gains by document, and the losses sent with them."""
     models = held.value
     known, gain = np.empty(0, np.int64), np.zeros((2, 0))
     if runs.num_rows:
         known = _unpack_sorted(runs["items"][0].as_py())
         counts = np.stack([_unpack(runs[c][0].as_py(), np.int64) for c in ("target", "n")])
         gain = models.gains(known, counts)
-    found: list[tuple] = []
-    for part in parts.select(["items", "owners", "keys", "words", "losses"]).to_pylist():
+    found: dict[int, list[tuple]] = {}
+    for part in parts.select(["home", "items", "owners", "keys", "words", "losses"]).to_pylist():
         keys = _unpack(part["keys"], np.int64)
         if part["items"] is None:
-            n = _unpack(part["words"], np.int64)
-            found.append((keys, np.ones(len(keys), np.int64), n, _unpack(part["losses"], np.float64).reshape(2, -1)))
-            continue
-        items, owner = _unpack_sorted(part["items"]), _unpack(part["owners"], np.uint32)
-        sums, none = np.zeros((2, len(keys))), np.zeros(len(keys), np.int64)
-        if len(known):
-            at = np.searchsorted(known, items)
-            at[at == len(known)] = 0
-            same = known[at] == items
-            sums = np.stack([-np.bincount(owner[same], gain[m][at[same]], len(keys)) for m in (0, 1)])
-        found.append((keys, none, none, sums))
-    keys, copies, n, sums = (np.concatenate(x, axis=-1) for x in zip(*found, strict=True)) if found else (known[:0], known[:0], known[:0], gain[:, :0])
-    key, place = np.unique(keys, return_inverse=True)
-    columns = [np.bincount(place, c, len(key)) for c in (copies, n, *sums)]
-    return pa.table([pa.array(key, pa.int64()), *[pa.array(c.astype(np.int64)) for c in columns[:2]], *[pa.array(c, pa.float64()) for c in columns[2:]]], names=["key", "copies", "n", "target", "background"])
+            made = (np.ones(len(keys), np.int64), _unpack(part["words"], np.int64), _unpack(part["losses"], np.float64).reshape(2, -1))
+        else:
+            items, owner = _unpack_sorted(part["items"]), _unpack(part["owners"], np.uint32)
+            sums, none = np.zeros((2, len(keys))), np.zeros(len(keys), np.int64)
+            if len(known):
+                at = np.searchsorted(known, items)
+                at[at == len(known)] = 0
+                same = known[at] == items
+                sums = np.stack([-np.bincount(owner[same], gain[m][at[same]], len(keys)) for m in (0, 1)])
+            made = (none, none, sums)
+        found.setdefault(part["home"], []).append((keys, *made))
+    rows = []
+    for home in sorted(found):
+        key, copies, words, losses = _added(found.pop(home))
+        rows.append((home, _pack_sorted(key), _pack(copies), _pack(words), _pack(losses.reshape(-1))))
+    columns = zip(*rows, strict=True) if rows else [()] * 5
+    kinds = [pa.int64()] + [pa.binary()] * 4
+    return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["home", "keys", "copies", "words", "losses"])
+
+
+def _at_home(found: pa.Table) -> pa.Table:
+    """Sums by document of all buckets."""
+    key, copies, words, losses = _added([
+        (_unpack_sorted(r["keys"]), _unpack(r["copies"], np.int64), _unpack(r["words"], np.int64), _unpack(r["losses"], np.float64).reshape(2, -1))
+        for r in found.to_pylist()
+    ])
+    return pa.table([pa.array(c) for c in (key, copies, words, *losses)], names=["key", "copies", "n", "target", "background"])
 
 
 def score(docs: DataFrame, trained: Trained, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -327,7 +350,9 @@ def score(docs: DataFrame, trained: Trained, doc_id: str = "doc_id", text: str =
     keyed = with_key(docs.select(doc_id, text), doc_id, text)
     parts = keyed.select(KEY, F.col(text).alias("text")).mapInArrow(lambda batches: _parts(batches, held), PARTS)
     met = parts.groupBy("bucket").cogroup(trained.bigrams.groupBy("bucket"))
-    sums = met.applyInArrow(lambda part, run: _looked_up(part, run, held), SUMS)
+    # packed by home on their way back, as a document has bigrams in most of the buckets
+    found = met.applyInArrow(lambda part, run: _looked_up(part, run, held), FOUND)
+    sums = found.groupBy("home").applyInArrow(_at_home, SUMS)
     sums = sums.groupBy(F.col("key").alias(KEY)).agg(*[F.sum(c).alias(f"_{c}") for c in ("copies", "n", "target", "background")])
     mean = {m: F.when(F.col("_n") > 0, F.col(f"_{m}") / F.col("_n")) for m in ("target", "background")}
     return keyed.select(F.col(doc_id), KEY).join(sums, KEY, "left").select(
