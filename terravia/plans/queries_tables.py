@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terravia.operators import enrich, evolve, filters, quality
+from terravia.operators import enrich, evolve, filters, key_runs, quality
 from terravia.plans.fixtures import TABLES, table, view, with_views
 from terravia.plans.registry import query
+from terravia.session import scratch_path
 
 PRIVILEGES = ("click", "error", "purchase", "signup", "view")
 
@@ -326,6 +327,32 @@ def check_primary_key_choice(spark, sf):
     return rows[0].unionByName(rows[1])
 
 
+@query(
+    "check_primary_key_incremental",
+    """select l_orderkey, l_suppkey, count(*) as n from lineitem group by 1, 2
+       having count(*) > 1 or l_orderkey is null or l_suppkey is null""",
+)
+def check_primary_key_incremental(spark, sf):
+    """A key that repeats, checked in three batches of which each meets only the stored keys of those before it."""
+    lineitem, path = table(spark, sf, "lineitem"), scratch_path(spark, "keys")
+    for batch in ("l_linenumber <= 2 or l_linenumber is null", "l_linenumber in (3, 4)", "l_linenumber > 4"):
+        key_runs.add_keys(lineitem.where(batch), ["l_orderkey", "l_suppkey"], path)
+    return key_runs.broken_keys(spark, path)
+
+
+@query(
+    "check_foreign_key_incremental",
+    """select o_orderkey, o_custkey from orders where o_custkey not in
+       (select c_custkey from customer where c_acctbal >= 0 or c_mktsegment = 'BUILDING')""",
+)
+def check_foreign_key_incremental(spark, sf):
+    """Orders whose customer is in neither of two batches of customers."""
+    customer, path = table(spark, sf, "customer"), scratch_path(spark, "keys")
+    key_runs.add_keys(customer.where("c_acctbal >= 0"), "c_custkey", path)
+    key_runs.add_keys(customer.where("c_acctbal < 0 and c_mktsegment = 'BUILDING'"), "c_custkey", path)
+    return key_runs.without_parent(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey", path)
+
+
 @query("check_unique", "select c_nationkey, c_mktsegment, count(*) as n from customer group by 1, 2 having count(*) > 1")
 def check_unique(spark, sf):
     return quality.check_unique(table(spark, sf, "customer"), ["c_nationkey", "c_mktsegment"])
