@@ -8,7 +8,7 @@ from terravia.functions import geom as G
 from terravia.functions import shapes as S
 from terravia.functions import text
 from terravia.functions.wkb import to_wkb
-from terravia.operators import layout, load, profile
+from terravia.operators import layout, load, profile, sketches
 from terravia.plans.fixtures import table, view, with_views
 from terravia.plans.registry import milli, milli_sql, query
 from terravia.session import scratch_path
@@ -363,6 +363,42 @@ def column_profile(spark, sf):
     return profile.column_profile(table(spark, sf, "lineitem"), exact=True)
 
 
+def _merged_sql():
+    # a zero is 0.0 whatever its sign
+    value = {c: f"{c} + 0.0" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")}
+    return " union all ".join(
+        f"select '{c}' as column_name, count(*) as n_rows, count(*) - count({c}) as n_nulls, "
+        f"cast(min({value.get(c, c)}) as varchar) as min_value, cast(max({value.get(c, c)}) as varchar) as max_value, "
+        "true as distinct_close, true as quartiles_close from lineitem"
+        for c in PROFILED
+    )
+
+
+@query("column_profile_merged", _merged_sql())
+def column_profile_merged(spark, sf):
+    """A profile merged from the sketches of three partitions, one of them loaded twice, and whether its estimates hold."""
+    lineitem, path = table(spark, sf, "lineitem"), scratch_path(spark, "sketches")
+    sketches.add_partition(lineitem.where("l_linenumber > 2"), "late", path)
+    sketches.add_partition(lineitem.where("l_linenumber <= 2 or l_linenumber is null"), "early", path)
+    sketches.add_partition(lineitem.where("l_linenumber in (3, 4)"), "middle", path)
+    sketches.add_partition(lineitem.where("l_linenumber > 4"), "late", path)
+    merged = sketches.merged_profile(spark, path)
+    # the estimates are a few numbers a column; one pass counts the rows at or below each
+    estimates = {r["column_name"]: r["quartiles"] for r in merged.select("column_name", "quartiles").collect()}
+    ranks = []
+    for name, quartiles in estimates.items():
+        column, close = sketches.as_number(lineitem.schema[name], F.col(name)), F.lit(True)
+        for q, share in zip(quartiles or (), sketches.QUARTERS if quartiles else (), strict=True):
+            close &= (F.count_if(column < q) <= (share + 0.02) * F.count(column)) & (F.count_if(column <= q) >= (share - 0.02) * F.count(column))
+        ranks.append(F.struct(F.lit(name).alias("column_name"), close.alias("quartiles_close")))
+    held = lineitem.agg(F.array(*ranks).alias("r")).select(F.inline("r"))
+    exact = profile.column_profile(lineitem, exact=True).select("column_name", F.col("n_distinct").alias("exact"))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * 0.04)
+    return merged.join(held, "column_name").join(exact, "column_name").select(
+        "column_name", "n_rows", "n_nulls", "min_value", "max_value", near.alias("distinct_close"), "quartiles_close"
+    )
+
+
 @query(
     "table_profile",
     """with listed as (select column_name, column_type, "null" as nulls, row_number() over () as position
