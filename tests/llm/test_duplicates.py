@@ -361,3 +361,29 @@ def test_pipeline_stages(spark, tmp_path):
     assert passage not in own.decode(done[4]["ids"]).decode()
     got = corpus_pipeline.accept_language(spark, docs, "")
     assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == [0, 1, 2, 3, 4, 5, 8, 9]
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Empty tables; repeated rows, one id of two texts, null ids and columns named like the results."""
+    chance = random.Random(31)
+    text = lambda n: " ".join("the of and to in that it was for " + " ".join(made_text(chance, 9)) for _ in range(n // 18))
+    kinds = "doc_id long, text string, lang string, source string, n_chars long"
+    benchmark = "item_id long, text string"
+    empty = tmp_path / "empty"
+    spark.createDataFrame([], kinds).write.parquet(str(empty / "documents.parquet"))
+    spark.createDataFrame([], benchmark).write.parquet(str(empty / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0
+    a, b, c, d = text(200), text(150), text(120), text(90)
+    rows = [(1, a, "en", "s"), (1, a, "en", "s"), (1, b, None, None), (None, c, "en", None), (None, c, "en", None), (None, d, None, "s"), (None, None, None, None), (2, "", "", "")]
+    docs = spark.createDataFrame([(i, t, la, s, len(t or "")) for i, t, la, s in rows], kinds)
+    names = ["_key", "class_id", "n_hit", "contaminated", "language", "accepted", "Posterior"]
+    odd = docs.withColumns({n: F.lit("kept") for n in names})
+    folder = tmp_path / "odd"
+    odd.write.parquet(str(folder / "documents.parquet"))
+    spark.createDataFrame([(None, None), (1, ""), (1, ""), (None, "not in any of these texts")], benchmark).write.parquet(str(folder / "benchmark.parquet"))
+    from terravia.llm.bpe import coder
+
+    own = coder(corpus_pipeline.RANKS, corpus_pipeline.public_tokenizers.PATTERN)
+    got = corpus_pipeline.run(spark, str(folder)).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(((r["doc_id"], own.decode(r["ids"]).decode()) for r in got), key=key) == sorted([(1, a), (1, b), (None, c), (None, d)], key=key)
