@@ -133,6 +133,12 @@ def broken_keys(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{next(r['folder'] for r in state if r['kind'] == 'broken')}")
 
 
+def repeated_keys(spark: SparkSession, path: str) -> DataFrame:
+    """The repeated key values without a NULL, as the full check of a unique key would return them."""
+    broken = broken_keys(spark, path)
+    return broken.where(~_any_null([c for c in broken.columns if c != COUNT]))
+
+
 def without_parent(child: DataFrame, child_keys, path: str) -> DataFrame:
     """Rows whose key is in no stored batch of the parent; a key with a NULL passes.
 

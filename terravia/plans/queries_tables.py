@@ -353,6 +353,19 @@ def check_foreign_key_incremental(spark, sf):
     return key_runs.without_parent(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_custkey", path)
 
 
+@query(
+    "check_unique_incremental",
+    "select c_nationkey, c_mktsegment, count(*) as n from customer where c_nationkey is not null and c_mktsegment is not null "
+    "group by 1, 2 having count(*) > 1",
+)
+def check_unique_incremental(spark, sf):
+    """The same in two batches of customers."""
+    customer, path = table(spark, sf, "customer"), scratch_path(spark, "keys")
+    for batch in ("c_acctbal >= 0", "c_acctbal < 0 or c_acctbal is null"):
+        key_runs.add_keys(customer.where(batch), ["c_nationkey", "c_mktsegment"], path)
+    return key_runs.repeated_keys(spark, path)
+
+
 @query("check_unique", "select c_nationkey, c_mktsegment, count(*) as n from customer group by 1, 2 having count(*) > 1")
 def check_unique(spark, sf):
     return quality.check_unique(table(spark, sf, "customer"), ["c_nationkey", "c_mktsegment"])

@@ -30,6 +30,7 @@ def test_same_violations_as_the_full_check(spark, keys):
         so_far = batch if so_far is None else so_far.unionByName(batch)
         full = rows(quality.check_primary_key(so_far, keys))
         assert rows(key_runs.broken_keys(spark, path)) == full
+        assert rows(key_runs.repeated_keys(spark, path)) == rows(quality.check_unique(so_far, keys))
         mine = {tuple(r) for r in batch.select(*keys).collect()}
         assert rows(found) == [r for r in full if r[:-1] in mine]
 
