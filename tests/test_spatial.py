@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -398,3 +399,43 @@ def test_mixed_srids_are_refused_by_every_join(spark):
     ):
         with pytest.raises(PySparkException, match="SRID"):
             join().collect()
+
+
+def test_a_box_and_a_segment_meet_in_one_cell(spark):
+    """Each pair once, without telling pairs apart afterwards; on either side, with a radius, in cut cells and many cells."""
+    boxes, lines = _boxes(spark, 120, 21), _segments(spark, 120, 22)
+    brute = boxes.join(lines, S.within(S.Box(), S.Segment(), 30.0))
+    boxes_of = [S.Box(), S.Segment()]
+    want = brute.count()
+    assert want > 0
+    for options in ({}, {"cell_work": 50, "rows_per_salt": 5}):
+        for cell in (40.0, 700.0):
+            one = grid.grid_candidates(boxes, S.Box(), lines, S.Segment(), cell, 30.0, **options)
+            two = grid.grid_candidates(lines, S.Segment(), boxes, S.Box(), cell, 30.0, **options)
+            for found in (one, two):
+                assert found.where(S.within(*boxes_of, 30.0)).count() == want
+
+
+def test_general_geometries_are_compared_in_pieces(monkeypatch):
+    import pyarrow as pa
+
+    from terravia.functions import edge_pairs
+
+    rng = np.random.default_rng(3)
+    kind = pa.struct([("srid", pa.int32()), ("kind", pa.string()), ("dim", pa.int32()), (
+        "parts", pa.list_(pa.struct([("ring", pa.int32()), ("pts", pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))])))])
+
+    def geoms(n, corners):
+        made = []
+        for i in range(n):
+            pts = [{"x": float(x), "y": float(y)} for x, y in rng.integers(0, 40, (corners, 2))]
+            made.append(None if i % 17 == 5 else {"srid": 1, "kind": "POLYGON" if corners > 2 else "LINESTRING", "dim": 2, "parts": [{"ring": 0, "pts": [*pts, *pts[: corners > 2]]}]})
+        return pa.array(made, kind)
+
+    a, b = geoms(300, 4), geoms(300, 2)
+    whole = [edge_pairs.on_both(a, b, ("POLYGON",), *how).to_pylist() for how in ((edge_pairs.distance2, pa.float64()), (edge_pairs.intersects, pa.bool_()))]
+    monkeypatch.setattr(edge_pairs, "PAIRS", 3)
+    pieces = [edge_pairs.on_both(a, b, ("POLYGON",), *how).to_pylist() for how in ((edge_pairs.distance2, pa.float64()), (edge_pairs.intersects, pa.bool_()))]
+    assert whole == pieces and whole[0][5] is None and whole[1][5] is None
+    assert [None if d is None else d == 0 for d in whole[0]] == whole[1]
+    assert 0 < sum(bool(v) for v in whole[1]) < 283
