@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from terravia.errors import LayerError
 from terravia.functions import geom as G
 from terravia.functions import shapes as S
-from terravia.operators import grid, nearest, spatial
+from terravia.operators import first_hits, grid, nearest, spatial
 
 FORCED = {"cell_work": 50, "rows_per_salt": 20}  # makes nearly every cell crowded
 
@@ -439,3 +439,61 @@ def test_general_geometries_are_compared_in_pieces(monkeypatch):
     assert whole == pieces and whole[0][5] is None and whole[1][5] is None
     assert [None if d is None else d == 0 for d in whole[0]] == whole[1]
     assert 0 < sum(bool(v) for v in whole[1]) < 283
+
+
+FIRST = {"dense": 0.0, "cell_pairs": 0.0}
+
+
+@pytest.mark.parametrize("more", [{}, {"hit_work": 50, "rows_per_salt": 20}])
+@pytest.mark.parametrize("kind", ["box", "point", "segment", "polygon"])
+def test_first_hits_equal_brute_force(spark, monkeypatch, kind, more):
+    """One hit of a row and a route is enough, and none is lost."""
+    left, shape, key = {
+        "box": (_boxes(spark, 150, 5), S.Box(), "id"),
+        "point": (_points(spark, 150, 6), S.Point("x", "y"), "gid"),
+        "segment": (_segments(spark, 150, 7).toDF("_r", "ax1", "ay1", "ax2", "ay2").withColumn("id", F.monotonically_increasing_id()),
+                    S.Segment("ax1", "ay1", "ax2", "ay2"), "id"),
+        "polygon": (_boxes(spark, 150, 5).select("id", S.Box().geom().alias("geom")), S.Geom(), "id"),
+    }[kind]
+    parts = _segments(spark, 200, 8).withColumn("lib_rte", F.expr("nullif(lib_rte, 'R3')")).cache()
+    called = []
+    search = first_hits._search
+    monkeypatch.setattr(first_hits, "_search", lambda *a: called.append(1) or search(*a))
+    found = spatial.buffer_intersects_join(left, shape, key, parts, S.Segment(), "lib_rte", 50.0, 400.0, **FIRST, **more)
+    brute = left.join(parts).where(S.within(shape, S.Segment(), 50.0)).select(key, "lib_rte").distinct()
+    both = [sorted(map(str, df.collect())) for df in (found, brute)]
+    assert both[0] == both[1] and called
+
+
+def test_first_hits_with_a_radius_per_part(spark):
+    left, parts = _boxes(spark, 150, 5), _segments(spark, 200, 8).withColumn("r", F.expr("case lib_rte when 'R1' then null when 'R2' then 0.0 else 60.0 end")).cache()
+    found = spatial.buffer_intersects_join(left, S.Box(), "id", parts, S.Segment(), "lib_rte", "r", 400.0, **FIRST, hit_work=50, rows_per_salt=20)
+    brute = left.join(parts).where("r is not null").where(S.within(S.Box(), S.Segment(), F.col("r"))).select("id", "lib_rte", "r").distinct()
+    assert _set(found) == _set(brute)
+
+
+def test_first_hits_leave_a_group_at_its_first_hit(monkeypatch):
+    """Tests of a row grow with the groups, not with the parts that it meets."""
+    tested = []
+    within = first_hits._within
+    monkeypatch.setattr(first_hits, "_within", lambda kind, mine, seg, r2: tested.append(len(r2)) or within(kind, mine, seg, r2))
+    n, m = 100, 500
+    mine = [np.zeros(n), np.zeros(n), np.full(n, 10.0), np.full(n, 10.0)]
+    seg = [np.full(m, 5.0)] * 4
+    row, part = first_hits.first_hits(S.Box, mine, seg, np.full(m, 1.0), np.arange(m) % 5)
+    assert len(row) == n * 5 and sum(tested) == n * 5 and set(part % 5) == set(range(5))
+
+
+def test_a_crowded_cell_is_cut_no_finer_than_its_shapes(spark):
+    """Wide shapes in a crowded cell are dealt to salts, not copied to hundreds of fine cells."""
+    wide = spark.range(400).selectExpr("id", "0d as xmin", "0d as ymin", "900d as xmax", "900d as ymax")
+    other = _other_boxes(wide)
+    listed = [grid.list_cells(d, s, 1000.0) for d, s in ((wide, S.Box()), (other, OTHER))]
+    crowded = grid.find_crowded(*listed, 1000.0, 0.0, 1000, 100, S.Box(), OTHER)
+    assert crowded.table.agg(F.max("_cut")).first()[0] == 1
+    joined = spatial.intersects_join(wide, S.Box(), other, OTHER, 1000.0, cell_work=1000, rows_per_salt=100)
+    assert joined.count() == 160_000
+
+
+def _other_boxes(df):
+    return df.toDF(*["b_" + c for c in df.columns])
