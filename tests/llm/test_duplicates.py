@@ -323,6 +323,46 @@ def test_passages_of_odd_tables(spark):
     assert passages.without_passages(df.limit(0)).count() == 0
 
 
+def pieces_of(passage, chance, size=45, step=20):
+    """All short runs of a passage, but none of 50 words."""
+    return sum((passage[i : i + size] + made_text(chance, 70) for i in range(0, len(passage) - size + step, step)), [])
+
+
+def test_passages_whose_seeds_have_other_holders(spark):
+    # The first document with any seed, and the one before, have parts of the passage only; an earlier one has it whole.
+    chance = random.Random(8)
+    docs, wanted = [], []
+    for size, edits in ((50, ()), (60, ()), (100, (47, 70)), (120, (45, 90))):
+        passage = made_text(chance, size)
+        edited = ["changed" if i in edits else w for i, w in enumerate(passage)]
+        docs.append(pieces_of(passage, chance))
+        docs.append(made_text(chance, 40) + passage + made_text(chance, 30))
+        docs += [pieces_of(passage, chance), pieces_of(passage, chance)]
+        docs.append(made_text(chance, 25) + edited + made_text(chance, 60))
+        wanted.append((len(docs) - 1, size))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(docs)], "doc_id long, text string").repartition(3)
+    found = passages.repeated_passages(df).collect()
+    got = spans(found)
+    for d, size in wanted:
+        assert set(range(30, 20 + size)) <= got.get(d, set()), d
+        assert d - 3 in {r["other_id"] for r in found if r["doc_id"] == d}
+    assert got.keys() == {d for d, _ in wanted}
+    for d, places in exact_repeats(dict(enumerate(docs))).items():
+        assert places <= got[d], d
+
+
+def test_points_of_a_range_s_first_document(spark):
+    # A document that begins a range has the seed of the range before more than once: all its occurrences are linked.
+    rows = [(5, d, p, 6) for d in range(40) for p in range(50)]
+    seeds = spark.createDataFrame(rows, "seed long, _key long, place int, size int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        points = passages._joined(seeds).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {(r["a"], r["pa"]) for r in points} == {(d, p) for d in range(1, 40) for p in range(50)}
+
+
 def test_points_go_on_over_ranges_and_batches(spark):
     # One seed in very many documents, in small batches and ranges: every document but the first is linked.
     seeds = spark.range(3000).select(F.lit(5).cast("long").alias("seed"), F.col("id").alias("_key"), F.lit(1).alias("place"), F.lit(6).alias("size"))
