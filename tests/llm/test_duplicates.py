@@ -351,6 +351,53 @@ def test_passages_whose_seeds_have_other_holders(spark):
         assert places <= got[d], d
 
 
+def test_a_common_line_makes_no_pairs(spark, monkeypatch):
+    # A line of 45 words in 60 texts: no passage, so nothing is compared; two of them go on alike beyond a changed word.
+    chance = random.Random(9)
+    line, more = made_text(chance, 45), made_text(chance, 12)
+    docs = [made_text(chance, 70) + line + made_text(chance, 70) for _ in range(60)]
+    docs[17][116:128] = more
+    docs[41][116:128] = more
+    docs[41] = docs[41][3:]
+    # more than COMMON go on alike, after one or two changed words: classes
+    members = range(20, 60, 2)
+    assert len(members) > passages.COMMON
+    after = made_text(chance, 12)
+    for i in members:
+        at = 116 + (i % 4 == 0)
+        docs[i][at : at + 12] = after
+    seen = []
+    compared = passages._compared
+    monkeypatch.setattr(passages, "_compared", lambda keyed, chained, *more: (seen.append(chained.count()), compared(keyed, chained, *more))[1])
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(docs)], "doc_id long, text string").repartition(3)
+    found = passages.repeated_passages(df).collect()
+    got = spans(found)
+    assert (41, 17) in {(r["doc_id"], r["other_id"]) for r in found}
+    assert set(range(67, 125)) <= got[41]
+    assert set(got) == {41, *members[1:]}
+    assert all(set(range(70, 115)) <= got[i] for i in members[1:])
+    assert len(seen) == 2 and seen[1] <= 60
+    plain = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(docs[:17])], "doc_id long, text string")
+    assert passages.repeated_passages(plain).count() == 0
+    assert seen[3] == 0
+
+
+def test_bound_of_passages_against_all_spans():
+    chance = np.random.default_rng(4)
+    for _ in range(200):
+        known = chance.random(90) < chance.choice([0.6, 0.8, 0.95])
+        place, size, least, reach = int(chance.integers(0, 70)), int(chance.integers(9, 20)), 50, 60
+        sure = known.copy()
+        sure[place : place + size] = True
+        total = np.concatenate(([0], np.cumsum(np.where(sure, 1, -passages.MISS))))
+        expected = any(
+            sure[u] and sure[v - 1] and v - u >= least and total[v] >= total[u]
+            for u in range(place + 1) for v in range(place + size, len(known) + 1)
+        )
+        got = passages.can_be_passages(known, np.array([place]), size, reach, least)
+        assert got.tolist() == [expected]
+
+
 def test_points_of_a_range_s_first_document(spark):
     # A document that begins a range has the seed of the range before more than once: all its occurrences are linked.
     rows = [(5, d, p, 6) for d in range(40) for p in range(50)]
