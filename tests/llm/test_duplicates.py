@@ -6,6 +6,7 @@ from collections import Counter
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -299,6 +300,66 @@ def test_chains_against_all_orders():
         assert all(lo < hi and blo < bhi for lo, hi, blo, bhi in found)
 
 
+def test_stretches_that_can_score_are_those_that_align_looks_into():
+    chance = np.random.default_rng(8)
+    pairs = [(np.empty(0, np.uint32), np.empty(0, np.uint32))]
+    for i in range(600):
+        x = chance.integers(0, chance.integers(2, 60), chance.integers(0, 150)).astype(np.uint32)
+        y = chance.permutation(x) if i % 3 else x[chance.integers(0, len(x) + 1) :]
+        y = np.where(chance.random(len(y)) < 0.1, 99, y).astype(np.uint32) if i % 3 == 2 else y
+        pairs.append((x, np.concatenate((y, x[: chance.integers(0, len(x) + 1)]))))
+    columns = [pa.array([p[k].tobytes() for p in pairs], pa.binary()) for k in (0, 1)]
+    for low, high in ((0, len(pairs)), (5, 90), (0, 1), (7, 7)):
+        can = passages.can_score(*(c.slice(low, high - low) for c in columns), 50)
+        found = [bool(passages.align(x, y)) for x, y in pairs[low:high]]
+        assert len(can) == len(found) and all(can[i] for i, f in enumerate(found) if f)
+    can = passages.can_score(*columns, 50)
+    # all words known or none: what the bound stands for
+    for (x, y), c in zip(pairs, can, strict=True):
+        runs = {tuple(y[i : i + passages.RUN]) for i in range(len(y) - passages.RUN + 1)}
+        known = np.zeros(len(x), bool)
+        for i in range(len(x) - passages.RUN + 1):
+            if tuple(x[i : i + passages.RUN]) in runs:
+                known[i : i + passages.RUN] = True
+        total = np.concatenate(([0], np.cumsum(np.where(known, 1, -passages.MISS))))
+        best = max((total[j] - total[: j - 49].min() for j in range(50, len(total))), default=0)
+        assert c == (best > 0 and len(y) >= 50)
+
+
+@pytest.mark.parametrize("at_once", [None, 4])
+def test_rows_of_points_are_chained_as_points(spark, monkeypatch, at_once):
+    if at_once:
+        monkeypatch.setattr(passages, "POINTS", at_once)
+    chance = random.Random(4)
+    rows = [
+        (chance.randrange(3), chance.randrange(90), 10 + chance.randrange(2), chance.randrange(90), 9, chance.randrange(1, 30), chance.randrange(2))
+        for _ in range(60)
+    ]
+    names = "a long, pa int, b long, pb int, size int"
+    packed = spark.createDataFrame(rows, names + ", n int, rises int").repartition(3)
+    plain = spark.createDataFrame([(a, x + i, b, y + i * up, s) for a, x, b, y, s, n, up in rows for i in range(n)], names)
+    got, expected = (sorted(map(tuple, passages._chained(p, 6, 50).collect())) for p in (packed, plain))
+    assert expected and got == expected
+
+
+def test_a_word_repeated_all_along_gives_few_rows(spark, monkeypatch):
+    chance = random.Random(12)
+    words = [f"word{i}" for i in range(5)]
+    docs = [(i, " ".join(sum(([chance.choice(words)] * chance.randrange(12, 45) for _ in range(8)), []))) for i in range(60)]
+    rows, points = [], []
+
+    def counted(given, *more):
+        # the last call is that of the open wide seeds
+        rows.append(given.count())
+        points.append(given.agg(F.sum("n")).first()[0] if "n" in given.columns else rows[-1])
+        return chained(given, *more)
+
+    chained = passages._chained
+    monkeypatch.setattr(passages, "_chained", counted)
+    passages.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).count()
+    assert points[-1] > 2000 and points[-1] > 5 * rows[-1]
+
+
 def test_cut_passages_keep_the_first(spark, shared):
     rows = [(i, ", ".join(t) + ".", "en", len(t)) for i, t in shared.items()] + [(70, None, None, None), (71, "", "en", 0)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long").repartition(3)
