@@ -472,6 +472,25 @@ def test_first_hits_with_a_radius_per_part(spark):
     assert _set(found) == _set(brute)
 
 
+@pytest.mark.parametrize("radius, more", [("r", {"hit_work": 50, "rows_per_salt": 20}), (60.0, {})])
+@pytest.mark.parametrize("keys", ["id", "nullif(id % 120, 7)"])
+def test_rows_with_a_cell_of_their_own_are_found_once(spark, monkeypatch, keys, radius, more):
+    """What dense cells find of rows with a key of their own is not shuffled again; wide rows and keys that repeat or are missing are as ever."""
+    wide = spark.range(3).selectExpr("id + 1000 as id", "100d as xmin", "100d as ymin", "1700d + id as xmax", "900d as ymax")
+    small = _boxes(spark, 300, 5)
+    for left in (small, small.unionByName(wide)):
+        left = left.withColumn("id", F.expr(keys))
+        parts = _segments(spark, 200, 8).withColumns({"r": F.expr("case lib_rte when 'R1' then null when 'R2' then 0.0 else 60.0 end"), "lib_rte": F.expr("nullif(lib_rte, 'R3')")}).cache()
+        found = spatial.buffer_intersects_join(left, S.Box(), "id", parts, S.Segment(), "lib_rte", radius, 400.0, **FIRST, **more)
+        reach = F.col("r") if radius == "r" else F.lit(60.0)
+        names = ["id", "lib_rte", *(["r"] if radius == "r" else [])]
+        brute = left.join(parts).where(reach.isNotNull()).where(S.within(S.Box(), S.Segment(), reach)).select(*names).distinct()
+        both = [sorted(map(str, df.collect())) for df in (found, brute)]
+        assert both[0] == both[1]
+    plan = spatial.buffer_intersects_join(small, S.Box(), "id", parts, S.Segment(), "lib_rte", radius, 400.0, **FIRST, **more)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Aggregate" not in plan
+
+
 def test_first_hits_leave_a_group_at_its_first_hit(monkeypatch):
     """Tests of a row grow with the groups, not with the parts that it meets."""
     tested = []
