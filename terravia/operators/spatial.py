@@ -236,8 +236,7 @@ def attach_buffers(
     Rows are rows of their own: keys may repeat or be NULL.
     """
     rows = number_rows(df)
-    pairs = buffer_intersects_join(rows, shape, ROW, parts, part_shape, route, radius, cell, **options)
-    return rows.join(pairs, ROW).drop(ROW)
+    return _buffer_pairs(rows, shape, ROW, parts, part_shape, route, radius, cell, unique=True, carry=df.columns, **options).drop(ROW)
 
 
 def touch_flag(

@@ -491,6 +491,21 @@ def test_rows_with_a_cell_of_their_own_are_found_once(spark, monkeypatch, keys,
     assert "FlatMapCoGroupsInArrow" in plan and "Aggregate" not in plan
 
 
+@pytest.mark.parametrize("more", [{}, {"hit_work": 50, "rows_per_salt": 20}])
+def test_buffers_of_dense_rows_come_with_their_columns(spark, more):
+    wide = spark.range(2).selectExpr("id", "100d as xmin", "100d as ymin", "1700d as xmax", "900d as ymax")
+    left = _boxes(spark, 150, 5).unionByName(wide).selectExpr("id % 9 as id", "*").drop("id").selectExpr("pmod(hash(*), 9) as id", "*", "named_struct('a', xmin) as more")
+    parts = _segments(spark, 200, 8).cache()
+    for rows in (left, left.where("xmax < 1700")):
+        found = spatial.attach_buffers(rows, S.Box(), parts, S.Segment(), "lib_rte", 60.0, 400.0, **FIRST, **more)
+        brute = rows.withColumn("_row", F.monotonically_increasing_id()).join(parts).where(S.within(S.Box(), S.Segment(), F.lit(60.0)))
+        brute = brute.select("_row", *rows.columns, "lib_rte").distinct().drop("_row")
+        assert found.columns == brute.columns
+        both = [sorted(map(str, df.collect())) for df in (found, brute)]
+        assert both[0] == both[1] and both[0]
+    assert "Join Inner" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_first_hits_leave_a_group_at_its_first_hit(monkeypatch):
     """Tests of a row grow with the groups, not with the parts that it meets."""
     tested = []
